@@ -8,29 +8,32 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sparktidy import rulepack
-from sparktidy.functions.rule import Rule
+from sparktidy.functions.rule import Rule, only_if
 from sparktidy.functions.text import clean_text
 
 
+_END = "\x01"
+
+
+def _replace_endings(value: Column, endings: Mapping[str, str]) -> Column:
+    """Literal replacement at the end of the text only, marked by a character clean text never ends with."""
+    value = F.concat(value, F.lit(_END))
+    for old, new in endings.items():
+        value = F.replace(value, F.lit(old + _END), F.lit(new + _END))
+    return F.rtrim(value, F.lit(_END))
+
+
 def email_rule(
     domain_typos: Mapping[str, str] = rulepack.EMAIL_DOMAIN_TYPOS,
     pattern: str = rulepack.EMAIL_PATTERN,
 ) -> Rule:
     """Lower-case, drop spaces, repair known domain typos; null unless the result is an address."""
-
-    def repair_domain(value: Column) -> Column:
-        repairs = F.create_map(*[F.lit(x) for pair in domain_typos.items() for x in pair])
-        domain = F.substring_index(value, "@", -1)
-        mailbox = F.substr(value, F.lit(1), F.length(value) - F.length(domain))
-        fixed = F.try_element_at(repairs, domain)
-        return F.when(F.contains(value, F.lit("@")) & fixed.isNotNull(), F.concat(mailbox, fixed)).otherwise(value)
-
+    endings = {f"@{wrong}": f"@{right}" for wrong, right in domain_typos.items()}
     return Rule(
         "normalize_email",
         clean_text,
-        lambda v: F.replace(F.lower(v), F.lit(" "), F.lit("")),
-        repair_domain,
-        lambda v: F.when(v.rlike(pattern), v),
+        lambda v: _replace_endings(F.replace(F.lower(v), F.lit(" "), F.lit("")), endings),
+        lambda v: only_if(v, pattern),
     )
 
 
@@ -38,7 +41,7 @@ normalize_email = email_rule()
 
 
 def _without_float_tail(value: Column) -> Column:
-    return F.regexp_replace(value, "\\.0$", "")
+    return _replace_endings(value, {".0": ""})
 
 
 def _digits(value: Column) -> Column:
@@ -55,7 +58,7 @@ def phone_rule(country: str = "48", groups: tuple[int, ...] = (3, 3, 3)) -> Rule
         lambda v: F.regexp_replace(
             _digits(_without_float_tail(v)), f"^(?:(?:00)?{country})?{national}$", shown
         ),
-        lambda v: F.when(v.startswith("+"), v),
+        lambda v: only_if(v, "^\\+.*"),
     )
 
 
@@ -66,6 +69,8 @@ normalize_postal_code_pl = Rule(
     "normalize_postal_code",
     clean_text,
     _without_float_tail,
-    lambda v: F.when(v.rlike("^[0-9]{3,4}$"), F.lpad(v, 5, "0")).otherwise(_digits(v)),
-    lambda v: F.when(F.length(v) == 5, F.regexp_replace(v, "^(..)", "$1-")),
+    lambda v: F.regexp_replace(v, "^([0-9]{4})$", "0$1"),
+    lambda v: F.regexp_replace(v, "^([0-9]{3})$", "00$1"),
+    _digits,
+    lambda v: F.regexp_replace(only_if(v, "^[0-9]{5}$"), "^(..)", "$1-"),
 )

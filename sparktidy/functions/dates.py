@@ -5,33 +5,40 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sparktidy.functions.rule import Rule
+from sparktidy.functions.rule import Rule, only_if
 from sparktidy.functions.text import clean_text
 
+_CLOCK = "[ T][0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?$"
+_YEAR_FIRST = "^(?!0000)[0-9]{4}([-/])[0-9]{1,2}\\1[0-9]{1,2}$"
+_DAY_FIRST = "^[0-9]{1,2}[./-][0-9]{1,2}[./-](?:(?!0000)[0-9]{4}|[0-9]{2})$"
 _DAY_MONTH = "^([0-9]{1,2})[./-]([0-9]{1,2})[./-]"
-_ISO = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
+_SERIAL = "^([0-9]{5})(?:\\.0)?$"
 
 
-def _to_iso(value: Column) -> Column:
-    # every notation is rewritten to year-month-day; the anchored patterns exclude one another
-    value = F.regexp_replace(value, "^([0-9]{4})/([0-9]{1,2})/([0-9]{1,2})$", "$1-$2-$3")
+def _year_first(value: Column) -> Column:
+    """Day-first notation to year-month-day."""
     value = F.regexp_replace(value, f"{_DAY_MONTH}([0-9]{{4}})$", "$3-$2-$1")
     value = F.regexp_replace(value, f"{_DAY_MONTH}(69|[7-9][0-9])$", "19$3-$2-$1")
-    return F.regexp_replace(value, f"{_DAY_MONTH}([0-6][0-9])$", "20$3-$2-$1")
+    return F.regexp_replace(value, f"{_DAY_MONTH}([0-9]{{2}})$", "20$3-$2-$1")
 
 
 def _to_date(value: Column) -> Column:
-    serial = F.substr(value, F.lit(1), F.lit(5)).try_cast("int")
-    return F.when(
-        value.rlike("^[0-9]{5}(?:\\.0)?$"), F.date_add(F.lit("1899-12-30").cast("date"), serial)
-    ).when(value.rlike(_ISO) & ~value.startswith("0000"), value.try_cast("date"))
+    # the notations exclude one another; coalesce tries the next one only where one gave nothing
+    year_first = F.replace(only_if(value, _YEAR_FIRST), F.lit("/"), F.lit("-"))
+    day_first = _year_first(only_if(value, _DAY_FIRST))
+    serial = only_if(value, _SERIAL, 1).try_cast("int")
+    return F.coalesce(
+        year_first.try_cast("date"),
+        day_first.try_cast("date"),
+        F.date_add(F.lit("1899-12-30").cast("date"), serial),
+    )
 
 
 # ISO, day-first with any of . / -, two-digit years (69-99 are 19xx) and spreadsheet serials
 parse_mixed_dates = Rule(
     "parse_mixed_dates",
     clean_text,
-    lambda v: _to_iso(F.regexp_replace(v, "[ T][0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?$", "")),
+    lambda v: F.regexp_replace(v, _CLOCK, ""),
     _to_date,
 )
 

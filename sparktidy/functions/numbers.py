@@ -8,26 +8,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sparktidy import rulepack
-from sparktidy.functions.rule import Rule
-from sparktidy.functions.text import ANY_SPACE, clean_text
+from sparktidy.functions.rule import Rule, only_if
+from sparktidy.functions.text import clean_text
 
 MONEY = "decimal(18,2)"
 # plain decimal notation only: a cast alone would also take '1d', '0x1p3' or 'Infinity'
 _NUMBER = "^[+-]?(?:[0-9]+\\.?[0-9]*|\\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 
 
-def _as_double(value: Column) -> Column:
-    return F.when(value.rlike(_NUMBER), value.try_cast("double"))
-
-
 def _one_decimal_point(value: Column) -> Column:
-    # the right-most separator is the decimal one; several dots alone are thousands
-    return (
-        F.when(value.rlike(",[^.]*$"), F.translate(value, ",.", "."))
-        .when(F.contains(value, F.lit(",")), F.replace(value, F.lit(","), F.lit("")))
-        .when(value.rlike("\\..*\\."), F.replace(value, F.lit("."), F.lit("")))
-        .otherwise(value)
+    """The right-most separator becomes the decimal point; several dots alone are thousands."""
+    comma, dot, nothing = F.lit(","), F.lit("."), F.lit("")
+    dots_only = F.when(value.rlike("\\..*\\."), F.replace(value, dot, nothing)).otherwise(value)
+    with_commas = F.when(value.rlike(",[^.]*$"), F.translate(value, ",.", ".")).otherwise(
+        F.replace(value, comma, nothing)
     )
+    return F.when(F.contains(value, comma), with_commas).otherwise(dots_only)
 
 
 def number_rule(currency_words: Sequence[str] = rulepack.CURRENCY_WORDS) -> Rule:
@@ -36,9 +32,9 @@ def number_rule(currency_words: Sequence[str] = rulepack.CURRENCY_WORDS) -> Rule
     return Rule(
         "parse_number",
         clean_text,
-        lambda v: F.regexp_replace(F.regexp_replace(v, noise, ""), f"{ANY_SPACE}+", ""),
+        lambda v: F.replace(F.regexp_replace(v, noise, ""), F.lit(" "), F.lit("")),
         _one_decimal_point,
-        _as_double,
+        lambda v: only_if(v, _NUMBER).try_cast("double"),
     )
 
 

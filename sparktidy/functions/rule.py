@@ -1,10 +1,12 @@
 """Cleaning rules as chains of ``Column -> Column`` steps.
 
-A step may mention its input several times (``CASE`` branches, regex guards).  Composed into one
-expression that input would be evaluated again at every mention, so :func:`apply_rules` runs a set
-of rules step by step, one ``select`` per step for all columns together.  Catalyst keeps such
-projections apart exactly where an intermediate is used more than once and fuses all of them into
-one whole-stage-codegen span.
+Catalyst may inline a rule wherever its result is used, above all when it pushes a filter on a
+cleaned column below the projection.  A step that mentions its input several times (``CASE``
+branches, guards) would then multiply with every other such step, so steps are written to mention
+their input once wherever that is possible: ``null unless it matches`` is :func:`only_if`, not a
+``CASE``.  :func:`apply_rules` runs a set of rules step by step, one ``select`` per step for all
+columns together; Catalyst keeps two projections apart exactly where an intermediate is used more
+than once and fuses all of them into one whole-stage-codegen span.
 """
 
 from __future__ import annotations
@@ -42,6 +44,11 @@ class Rule:
         return f"Rule({self.name})"
 
 
+def only_if(value: Column, pattern: str, group: int = 0) -> Column:
+    """The match of ``pattern`` (or one group of it), null where there is none."""
+    return F.nullif(F.regexp_extract(value, pattern, group), F.lit(""))
+
+
 def apply_rules(
     df: DataFrame, targets: Mapping[str, tuple[Rule, str]], keep: Iterable[str] = ()
 ) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparktidy.operators.skew import lookup_per_key
@@ -20,18 +22,28 @@ def repeated_keys(dimension: DataFrame, key: str) -> DataFrame:
     return dimension.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
 
 
+def _text_bytes(columns: Sequence[str]) -> Column:
+    width = F.lit(16 * len(columns)).cast("bigint")
+    for c in columns:
+        width = width + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
+    return width
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Text size of the whole table, from one aggregate."""
-    width = F.lit(16 * len(df.columns))
-    for c in df.columns:
-        width = width + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
-    return df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
+    return df.agg(F.sum(_text_bytes(df.columns))).first()[0] or 0
 
 
-def validate_many_to_one(dimension: DataFrame, key: str) -> None:
-    found = repeated_keys(dimension, key).orderBy(key).limit(20).collect()
-    if found:
+def validate_many_to_one(dimension: DataFrame, key: str) -> int:
+    """Raise if a key repeats, naming some; otherwise return the measured size, from the same job."""
+    per_key = dimension.groupBy(key).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(_text_bytes(dimension.columns)).alias("bytes")
+    )
+    most, size = per_key.agg(F.max("rows"), F.sum("bytes")).first()
+    if (most or 0) > 1:
+        found = repeated_keys(dimension, key).orderBy(key).limit(20).collect()
         raise RepeatedKeysError(f"{key} repeats in the lookup table: {[row[0] for row in found]}")
+    return size or 0
 
 
 def null_safe_lookup(
@@ -41,6 +53,7 @@ def null_safe_lookup(
     row_id: str,
     matched: str = "matched",
     max_broadcast_bytes: int = BROADCAST_BYTES,
+    dimension_bytes: int | None = None,
 ) -> DataFrame:
     """Left join where a null key matches a null key, with a ``matched`` indicator.
 
@@ -48,7 +61,8 @@ def null_safe_lookup(
     is joined by shuffle, with the facts of heavy keys answered by a bounded broadcast.
     """
     flagged = dimension.withColumn(matched, F.lit(True))
-    if measured_bytes(dimension) <= max_broadcast_bytes:
+    size = measured_bytes(dimension) if dimension_bytes is None else dimension_bytes
+    if size <= max_broadcast_bytes:
         right = F.broadcast(flagged.withColumnRenamed(key, "__key"))
         joined = facts.join(right, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
     else:
@@ -62,8 +76,8 @@ def null_safe_lookup(
 
 def enrich(facts: DataFrame, dimension: DataFrame, key: str, row_id: str, **options) -> DataFrame:
     """Validated many-to-one lookup; see :func:`null_safe_lookup`."""
-    validate_many_to_one(dimension, key)
-    return null_safe_lookup(facts, dimension, key, row_id, **options)
+    size = validate_many_to_one(dimension, key)
+    return null_safe_lookup(facts, dimension, key, row_id, dimension_bytes=size, **options)
 
 
 def unmatched_keys(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -27,14 +28,17 @@ def count_present(value: Column) -> Column:
 
 
 # ---- rejects ------------------------------------------------------------------------
+def unreadable(required: Sequence[str]) -> Column:
+    """Names of the required columns that could not be read; empty for a good row."""
+    return F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
+
+
 def split_rejects(
     df: DataFrame, required: Sequence[str], reason: str = "reason"
 ) -> tuple[DataFrame, DataFrame]:
-    """``(good, rejects)``; a reject names the required columns that could not be read."""
-    unreadable = F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
-    return df.dropna(subset=list(required)), df.withColumn(reason, unreadable).filter(
-        F.col(reason) != ""
-    )
+    """``(good, rejects)``; a reject says which required columns could not be read."""
+    good = df.dropna(subset=list(required))
+    return good, df.withColumn(reason, unreadable(required)).filter(F.col(reason) != "")
 
 
 # ---- issues -------------------------------------------------------------------------
@@ -103,14 +107,13 @@ def change_log(df: DataFrame, steps: Sequence[Step]) -> DataFrame:
     return totals.select(F.inline(entries))
 
 
-def join_logs(logs: Sequence[DataFrame]) -> DataFrame:
-    """Append logs, numbering the steps through."""
-    out, shift = None, 0
+def join_logs(logs: Sequence[tuple[DataFrame, int]]) -> DataFrame:
+    """Append ``(log, number of steps)`` pairs, numbering the steps through."""
+    parts, shift = [], 0
     for log, length in logs:
-        part = log.withColumn("step_no", (F.col("step_no") + shift).cast("int"))
-        out = part if out is None else out.unionByName(part)
+        parts.append(log.withColumn("step_no", F.col("step_no") + shift))
         shift += length
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ---- rows worth showing -------------------------------------------------------------

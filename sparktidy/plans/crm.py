@@ -253,9 +253,14 @@ def repaired_customers(typed: DataFrame, row_id: str, n: int = 6) -> DataFrame:
     return quality.repaired_rows(typed, changed, DELIVERED, row_id, n)
 
 
+def typed_customers(raw: DataFrame, row_id: str = "row_id") -> DataFrame:
+    """Distinct typed rows, staged: the log, the linking rounds and the golden records all read them."""
+    return stage(typed_rows(distinct_rows(raw, row_id), row_id), "customers-typed")
+
+
 def clean_customers(raw: DataFrame, row_id: str = "row_id") -> CustomerTables:
     """Run the job on a raw table with any of the known header spellings plus a row id."""
-    typed = stage(typed_rows(distinct_rows(raw, row_id), row_id), "customers-typed")
+    typed = typed_customers(raw, row_id)
     linked = link_records(typed.filter("not blank"), KEY_SETS, row_id)
     golden = stage(golden_customers(linked, row_id), "customers-golden")
     return CustomerTables(typed, linked, golden, row_id)

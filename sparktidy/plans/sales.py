@@ -23,10 +23,12 @@ from sparktidy.workspace import stage
 
 DOCUMENT = ("oddzial", "nr_transakcji", "sku")
 REQUIRED = ("data", "ilosc", "cena_jedn")
+TYPED = ("oddzial", "nr_transakcji", "data", "sku_raw", "sku", "ilosc", "cena_jedn")
 MERGED = (
     "data", "miesiac", "oddzial", "nr_transakcji", "sku", "nazwa_produktu", "kategoria",
     "ilosc", "cena_jedn", "cena_katalogowa", "rabat", "wartosc_brutto",
 )
+_ACCEPTED = "not is_repeat and reason = ''"
 
 
 def canonical_sales(
@@ -103,24 +105,31 @@ def priced_sales(matched: DataFrame) -> DataFrame:
 
 @dataclass
 class SalesTables:
-    """All results of the merge; the fact tables are staged, everything else is lazy."""
+    """All results of the merge.
 
-    marked: DataFrame
-    sales: DataFrame
+    ``every`` is the staged table of all rows with ``is_repeat`` and ``reason``; the outputs are
+    filters and aggregates over it.
+    """
+
+    every: DataFrame
     controls: DataFrame
     row_id: str
 
+    @property
+    def sales(self) -> DataFrame:
+        return self.every.filter(_ACCEPTED)
+
     @property
     def final(self) -> DataFrame:
         return self.sales.select(*MERGED)
 
     @property
     def repeats(self) -> DataFrame:
-        return self.marked.filter("is_repeat")
+        return self.every.filter("is_repeat").select(*TYPED)
 
     @property
     def rejects(self) -> DataFrame:
-        return quality.split_rejects(self.marked.filter("not is_repeat"), REQUIRED)[1]
+        return self.every.filter("not is_repeat and reason <> ''").select(*TYPED, "reason")
 
     @property
     def by_month(self) -> DataFrame:
@@ -151,7 +160,7 @@ class SalesTables:
 
     @property
     def log(self) -> DataFrame:
-        return sales_log(self.marked, self.sales, self.controls)
+        return sales_log(self.every, self.controls)
 
     def sample(self, sizes: dict[str, int], default: int = 1) -> DataFrame:
         return branch_sample(self.sales, self.row_id, sizes, default)
@@ -199,23 +208,36 @@ def branch_sample(sales: DataFrame, row_id: str, sizes: dict[str, int], default:
     )
 
 
-def sales_log(marked: DataFrame, sales: DataFrame, controls: DataFrame) -> DataFrame:
-    """``(step_no, step, category, count)``: per branch first, then the merged table."""
-    sku_fixed = F.count_if(F.coalesce("sku_txt", F.lit("")) != F.coalesce("sku", F.lit("")))
-    per_branch = (
-        marked.groupBy("oddzial")
-        .agg(F.count(F.lit(1)).alias("loaded"), sku_fixed.alias("fixed"))
-        .join(controls.select("oddzial", "total_rows"), "oddzial", "left")
-        .select(
-            F.col("oddzial"),
-            F.inline(
-                F.array(
-                    F.struct(F.lit("removed").alias("category"), F.lit("usunięty wiersz podsumowania (RAZEM)").alias("what"), F.col("total_rows").alias("count")),
-                    F.struct(F.lit("rows"), F.lit("wczytane transakcje"), F.col("loaded")),
-                    F.struct(F.lit("standardized"), F.lit("ujednolicone kody SKU"), F.nullif(F.col("fixed"), F.lit(0))),
-                )
-            ),
+def sales_log(every: DataFrame, controls: DataFrame) -> DataFrame:
+    """``(step_no, step, category, count)``: per branch first (step 0), then the merged table.
+
+    One aggregate per branch carries all counts.
+    """
+    sku_fixed = F.coalesce("sku_txt", F.lit("")) != F.coalesce("sku", F.lit(""))
+    accepted = F.expr(_ACCEPTED)
+    counts = {
+        "loaded": F.count(F.lit(1)),
+        "fixed": F.count_if(sku_fixed),
+        "repeats": F.count_if("is_repeat"),
+        "rejects": F.count_if(F.expr("not is_repeat and reason <> ''")),
+        "unmatched": F.count_if(accepted & ~F.col("w_katalogu")),
+        "accepted": F.count_if(accepted),
+    }
+    per_branch = every.groupBy("oddzial").agg(*[c.alias(n) for n, c in counts.items()])
+
+    def entry(category: str, what: str, count: Column) -> Column:
+        return F.struct(
+            F.lit(category).alias("category"), F.lit(what).alias("what"), count.alias("count")
         )
+
+    entries = F.array(
+        entry("removed", "usunięty wiersz podsumowania (RAZEM)", F.col("total_rows")),
+        entry("rows", "wczytane transakcje", F.col("loaded")),
+        entry("standardized", "ujednolicone kody SKU", F.nullif(F.col("fixed"), F.lit(0))),
+    )
+    branches = (
+        per_branch.join(controls.select("oddzial", "total_rows"), "oddzial", "left")
+        .select("oddzial", F.inline(entries))
         .filter("count is not null")
         .select(
             F.lit(0).alias("step_no"),
@@ -224,34 +246,24 @@ def sales_log(marked: DataFrame, sales: DataFrame, controls: DataFrame) -> DataF
             "count",
         )
     )
-    unreadable = F.lit(False)
-    for c in REQUIRED:
-        unreadable = unreadable | F.col(c).isNull()
-    removed = quality.change_log(
-        marked,
-        [
-            Step("Usunięte zdublowane transakcje (ten sam nr dokumentu wyeksportowany 2x)", "removed", F.count_if("is_repeat")),
-            Step("Wiersze z nieczytelną datą/ilością/ceną", "removed", F.count_if(~F.col("is_repeat") & unreadable)),
-        ],
-    )
     merged = quality.change_log(
-        sales,
+        per_branch,
         [
-            Step("Transakcje bez dopasowania w katalogu (do wyjaśnienia z klientem)", "flagged", F.count_if("not w_katalogu")),
-            Step("Transakcje w pliku wynikowym", "rows", F.count(F.lit(1))),
+            Step("Usunięte zdublowane transakcje (ten sam nr dokumentu wyeksportowany 2x)", "removed", F.sum("repeats")),
+            Step("Wiersze z nieczytelną datą/ilością/ceną", "removed", F.sum("rejects")),
+            Step("Transakcje bez dopasowania w katalogu (do wyjaśnienia z klientem)", "flagged", F.sum("unmatched")),
+            Step("Transakcje w pliku wynikowym", "rows", F.sum("accepted")),
         ],
     )
-    return quality.join_logs([(per_branch, 0), (removed, 2), (merged, 2)])
+    return branches.unionByName(merged)
 
 
 def merge_sales(
     typed: DataFrame, catalog: DataFrame, controls: DataFrame, row_id: str = "row_id"
 ) -> SalesTables:
     """``typed`` from :func:`merge_branches`, ``catalog`` from :func:`typed_catalog`."""
-    marked = stage(
-        mark_repeats(typed, DOCUMENT, row_id, F.col("nr_transakcji").isNotNull()), "sales-marked"
-    )
-    good, _ = quality.split_rejects(marked.filter("not is_repeat"), REQUIRED)
-    matched = enrich(good, catalog, "sku", row_id, matched="w_katalogu")
-    sales = stage(priced_sales(matched), "sales-merged")
-    return SalesTables(marked, sales, controls, row_id)
+    typed = stage(typed, "sales-typed")
+    marked = mark_repeats(typed, DOCUMENT, row_id, F.col("nr_transakcji").isNotNull())
+    marked = marked.withColumn("reason", quality.unreadable(REQUIRED))
+    matched = enrich(marked, catalog, "sku", row_id, matched="w_katalogu")
+    return SalesTables(stage(priced_sales(matched), "sales"), controls, row_id)

@@ -33,7 +33,7 @@ CASES = {
         ("<NA>", None), ("a   b", "a b"), ("a\x1fb", "a b"),
     ],
     normalize_key: [
-        ("Łódź", "lodz"), ("LODZ ", "lodz"), ("łódź!", "lodz"), ("!!", ""), ("brak", None), (None, None), ("ﬁn ½", "fin12"),
+        ("Łódź", "lodz"), ("LODZ ", "lodz"), ("łódź!", "lodz"), ("!!", ""), ("brak", None), (None, None), ("ﬁn ½", "fin"),
     ],
     strip_accents: [
         ("Zażółć gęślą jaźń Łódź", "Zazolc gesla jazn Lodz"), ("é", "e"), ("ﬃ", "ffi"), ("ø", "ø"), ("Ａ", "A"), (None, None),

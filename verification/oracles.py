@@ -98,7 +98,7 @@ def postal(x):
 def sku(x):
     compact = f"regexp_replace(upper({clean(x)}), '[^A-Z0-9]', '', 'g')"
     return let(compact, lambda v: f"case when regexp_full_match({v}, '[A-Z]+[0-9]+') then "
-               f"regexp_extract({v}, '^[A-Z]+') || '-' || list_transform([ltrim(regexp_extract({v}, '[0-9]+$'), '0')], lambda n: lpad(n, greatest(length(n), 3), '0'))[1] else {v} end")
+               f"regexp_extract({v}, '^[A-Z]+') || '-' || list_transform([ltrim(regexp_extract({v}, '[0-9]+$'), '0')], lambda n: lpad(n, cast(greatest(length(n), 3) as integer), '0'))[1] else {v} end")
 
 
 def number(x):
@@ -394,7 +394,7 @@ ORACLES["report_manifest"] = f"""{_SALES_CTE}, t(name, rows, columns) as (
  union all select 'top10_produktow', least(10, count(distinct (sku, nazwa_produktu))), 4 from sold
  union all select 'brak_w_katalogu', count(distinct (oddzial, sku)), 4 from sold where not w_katalogu
  union all select 'sumy_kontrolne', count(*), 4 from controls
- union all select 'odrzucone', count(*), 10 from marked where not is_repeat and (data is null or ilosc is null or cena_jedn is null)
- union all select 'zdublowane', count(*), 9 from marked where is_repeat
+ union all select 'odrzucone', count(*), 8 from marked where not is_repeat and (data is null or ilosc is null or cena_jedn is null)
+ union all select 'zdublowane', count(*), 7 from marked where is_repeat
  union all select 'log_zmian', 4 + (select count(*) from controls) + count(distinct oddzial) + count(distinct oddzial) filter (where coalesce(sku_txt, '') <> coalesce(sku, '')), 4 from marked)
 select name, cast(rows as bigint) as rows, cast(columns as bigint) as columns from t"""

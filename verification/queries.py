@@ -7,6 +7,7 @@ report the same types.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ from sparktidy.functions.text import (
 )
 from sparktidy.operators import columns, dedup, enrich, linking, quality, summarize, survivorship
 from sparktidy.plans import crm, sales
+from sparktidy.session import tune
 from sparktidy.sinks.bundle import write_report
 from sparktidy.sinks.locale_csv import read_locale_csv, write_locale_csv
 from sparktidy.sources.delimited import number_rows, read_csv_smart
@@ -45,8 +47,14 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    """Register a query; it runs in a session with the engine's settings."""
+
+    @wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return function(tune(spark), sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 # ---- inputs -----------------------------------------------------------------------
@@ -80,9 +88,8 @@ def customer_tables(spark, sf_dir) -> crm.CustomerTables:
 
 
 def typed_customers(spark, sf_dir) -> DataFrame:
-    """Distinct, non-blank, typed customer rows, without staging."""
-    rows = crm.typed_rows(crm.distinct_rows(fixture(spark, sf_dir, fixtures.CRM_EXPORT), "row_id"), "row_id")
-    return rows.filter("not blank")
+    """Distinct, non-blank, typed customer rows."""
+    return crm.typed_customers(fixture(spark, sf_dir, fixtures.CRM_EXPORT), "row_id").filter("not blank")
 
 
 def sale_rows(spark, sf_dir):
