@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparktidy.functions.render import plain_text
-from sparktidy.functions.text import clean_text, header_key
+from sparktidy.functions.text import header_key, is_nothing
 
 
 class MissingColumnsError(KeyError):
@@ -75,9 +76,9 @@ def with_optional_column(df: DataFrame, name: str, aliases: Iterable[str]) -> Da
     return df.withColumn(name, F.lit(None).cast("string"))
 
 
-def is_blank(columns: Sequence[str], cleaned: bool = False) -> Column:
+def is_blank(columns: Sequence[str]) -> Column:
     """All of ``columns`` empty or placeholders."""
-    return F.coalesce(*[F.col(c) if cleaned else clean_text(F.col(quoted(c))) for c in columns]).isNull()
+    return reduce(and_, [is_nothing(F.col(quoted(c))) for c in columns])
 
 
 def drop_blank_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

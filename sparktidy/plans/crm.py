@@ -26,7 +26,7 @@ from sparktidy.functions.text import (
     split_full_name,
 )
 from sparktidy.operators import quality
-from sparktidy.operators.columns import is_blank, standardize_columns
+from sparktidy.operators.columns import standardize_columns
 from sparktidy.operators.dedup import dedup_exact
 from sparktidy.operators.linking import link_records
 from sparktidy.operators.quality import Step
@@ -85,7 +85,7 @@ def typed_rows(distinct: DataFrame, row_id: str) -> DataFrame:
         "copies",
         *raw,
         *texts,
-        is_blank(texts, cleaned=True).alias("blank"),
+        F.coalesce(*texts).isNull().alias("blank"),
         F.col("id_klienta_txt").alias("id_klienta"),
         "full_name",
         first.alias("imie"),

@@ -39,7 +39,7 @@ from sparktidy.sources.delimited import number_rows, read_csv_smart
 from sparktidy.sources.grid import detect_header_row, read_grid_smart
 from sparktidy.sources.profile import profile_files, raw_lines
 from sparktidy.sources.totals import extract_control_totals
-from sparktidy.workspace import scratch_path
+from sparktidy.workspace import scratch_path, stage
 from verification import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,12 +93,13 @@ def typed_customers(spark, sf_dir) -> DataFrame:
 
 
 def sale_rows(spark, sf_dir):
-    return sales.typed_sales(fixture(spark, sf_dir, fixtures.SALES), "row_id")
+    """Typed sales, staged as in the job, because several branches of a query read them."""
+    return stage(sales.typed_sales(fixture(spark, sf_dir, fixtures.SALES), "row_id"), "sales-typed")
 
 
 def branch_exports(spark, sf_dir) -> list[tuple[DataFrame, str, str]]:
     """The three exports with the headers of their systems: (table, first column, last column)."""
-    rows = fixture(spark, sf_dir, fixtures.EXPORTS)
+    rows = stage(fixture(spark, sf_dir, fixtures.EXPORTS), "exports")
     a = rows.filter("oddzial = 'A'").selectExpr(
         "row_id", "oddzial", "data as `order_date`", "nr_transakcji as `order_id`", "sku", "ilosc as `quantity`",
         "cena_jedn as `unit_price`", "wartosc as `value`")
