@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktidy.operators.skew import lookup_per_key
+from sparktidy.operators.skew import lookup_per_key, text_bytes
 
 # a dimension is broadcast only after its size was measured
 BROADCAST_BYTES = 64 << 20
@@ -22,22 +20,15 @@ def repeated_keys(dimension: DataFrame, key: str) -> DataFrame:
     return dimension.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
 
 
-def _text_bytes(columns: Sequence[str]) -> Column:
-    width = F.lit(16 * len(columns)).cast("bigint")
-    for c in columns:
-        width = width + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
-    return width
-
-
 def measured_bytes(df: DataFrame) -> int:
     """Text size of the whole table, from one aggregate."""
-    return df.agg(F.sum(_text_bytes(df.columns))).first()[0] or 0
+    return df.agg(F.sum(text_bytes(df.columns))).first()[0] or 0
 
 
 def validate_many_to_one(dimension: DataFrame, key: str) -> int:
     """Raise if a key repeats, naming some; otherwise return the measured size, from the same job."""
     per_key = dimension.groupBy(key).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(_text_bytes(dimension.columns)).alias("bytes")
+        F.count(F.lit(1)).alias("rows"), F.sum(text_bytes(dimension.columns)).alias("bytes")
     )
     most, size = per_key.agg(F.max("rows"), F.sum("bytes")).first()
     if (most or 0) > 1:

@@ -9,13 +9,22 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys are broadcast, so the broadcast side is bounded however large the data is.
-# Every other key holds less than 1/HEAVY_KEYS of the rows and is safe in one shuffle partition.
-HEAVY_KEYS = 1000
+# At most HEAVY_KEYS keys of at most HEAVY_BYTES each are broadcast, 20 MB however large the data is.
+# Every other key holds less than 1/HEAVY_KEYS of the rows, which one shuffle partition can take.
+HEAVY_KEYS = 5000
 HEAVY_ROWS = 100_000
+HEAVY_BYTES = 4096
 _SPREAD = 1 << 16
 
 
+def text_bytes(columns: Sequence[str]) -> Column:
+    """Size of a row as text."""
+    width = F.lit(16 * len(columns)).cast("bigint")
+    for c in columns:
+        width = width + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
+    return width
+
+
 def lookup_per_key(
     df: DataFrame,
     per_key: DataFrame,
@@ -32,7 +41,9 @@ def lookup_per_key(
     """
     values = [c for c in per_key.columns if c not in keys]
     heavy = (
-        per_key.orderBy(F.desc(weight), *keys).limit(HEAVY_KEYS).filter(F.col(weight) >= HEAVY_ROWS)
+        per_key.filter((F.col(weight) >= HEAVY_ROWS) & (text_bytes(per_key.columns) <= HEAVY_BYTES))
+        .orderBy(F.desc(weight), *keys)
+        .limit(HEAVY_KEYS)
     )
     heavy = F.broadcast(
         heavy.select(

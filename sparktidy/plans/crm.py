@@ -210,11 +210,12 @@ class CustomerTables:
         return repaired_customers(self.typed.filter("not blank"), self.row_id, n)
 
     def report_tables(self) -> dict[str, DataFrame]:
+        """The delivered tables, in delivery order."""
         return {
-            "klienci": self.final,
-            "scalone_duplikaty": self.merged,
-            "do_weryfikacji": self.to_verify,
-            "log_zmian": self.log,
+            "klienci": self.final.orderBy("id_klienta"),
+            "scalone_duplikaty": self.merged.orderBy("id_klienta"),
+            "do_weryfikacji": self.to_verify.orderBy("id_klienta"),
+            "log_zmian": self.log.orderBy("step_no"),
         }
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,12 +76,12 @@ def typed_sales(canonical: DataFrame, row_id: str, source: str = "oddzial") -> D
 
 
 def merge_branches(branches: Iterable[DataFrame], row_id: str, source: str = "oddzial") -> DataFrame:
-    """Append exports with different headers; each carries ``source`` and a row id."""
-    out = None
-    for branch in branches:
-        typed = typed_sales(canonical_sales(branch, row_id, source), row_id, source)
-        out = typed if out is None else out.unionByName(typed)
-    return out
+    """Append exports with different headers, then type them all in one projection.
+
+    Each export carries ``source`` and a row id.
+    """
+    canonical = [canonical_sales(branch, row_id, source) for branch in branches]
+    return typed_sales(reduce(DataFrame.unionByName, canonical), row_id, source)
 
 
 def typed_catalog(df: DataFrame, synonyms: Mapping[str, Iterable[str]] = rulepack.CATALOG_HEADERS) -> DataFrame:
@@ -166,16 +167,17 @@ class SalesTables:
         return branch_sample(self.sales, self.row_id, sizes, default)
 
     def report_tables(self) -> dict[str, DataFrame]:
+        """The delivered tables, in delivery order."""
         return {
-            "dane": self.final,
-            "miesiace_x_oddzialy": self.by_month,
-            "kategorie": self.by_category,
+            "dane": self.final.orderBy("data", "oddzial"),
+            "miesiace_x_oddzialy": self.by_month.orderBy("miesiac"),
+            "kategorie": self.by_category.orderBy("kategoria"),
             "top10_produktow": self.top_products(),
-            "brak_w_katalogu": self.unmatched,
-            "sumy_kontrolne": self.checks,
-            "odrzucone": self.rejects,
-            "zdublowane": self.repeats,
-            "log_zmian": self.log,
+            "brak_w_katalogu": self.unmatched.orderBy("oddzial", "sku"),
+            "sumy_kontrolne": self.checks.orderBy("oddzial"),
+            "odrzucone": self.rejects.orderBy("oddzial", "data"),
+            "zdublowane": self.repeats.orderBy("oddzial", "data"),
+            "log_zmian": self.log.orderBy("step_no", "step"),
         }
 
 

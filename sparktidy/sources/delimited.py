@@ -121,3 +121,16 @@ def number_rows(df: DataFrame, name: str = ROW_ID) -> DataFrame:
     if len(df.inputFiles()) == 1:
         return df.select("*", F.col("_metadata.row_index").alias(name))
     return df.withColumn(name, F.monotonically_increasing_id())
+
+
+def spread_scan(df: DataFrame, *keys: str) -> DataFrame:
+    """Distribute a plain scan over all cores if it has fewer splits than there are cores.
+
+    Rules are CPU-bound, and a file with a single row group is a single task however many cores are
+    idle.  A scan that already has enough splits, like any large input, is returned as it is.  Hashing
+    by ``keys`` keeps the distribution the same when a lost task is repeated.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)

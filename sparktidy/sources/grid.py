@@ -59,8 +59,12 @@ def header_rows(grid: DataFrame) -> DataFrame:
 
 
 def detect_header_row(grid: DataFrame) -> DataFrame:
-    """``(source_file, header_row, <cells of that row, trimmed>)``, one row per file."""
-    positions = header_rows(grid).withColumnRenamed("header_row", ROW_NO)
+    """``(source_file, header_row, <cells of that row, trimmed>)``, one row per file.
+
+    The positions are broadcast: one row per file is no more than the file list of the scan, which
+    the driver holds already.
+    """
+    positions = F.broadcast(header_rows(grid).withColumnRenamed("header_row", ROW_NO))
     return grid.join(positions, [SOURCE_FILE, ROW_NO]).select(
         SOURCE_FILE,
         F.col(ROW_NO).alias("header_row"),

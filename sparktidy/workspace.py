@@ -31,8 +31,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark)}/sparktidy/{uuid.uuid4().hex}/{name}"
+    """A new path under the shared folder, removed when the application ends."""
+    root = f"{shared_dir(spark)}/sparktidy-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    storage = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if storage.mkdirs(path):
+        storage.deleteOnExit(path)
+    return f"{root}/{uuid.uuid4().hex}/{name}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -117,7 +117,9 @@ def test_sales_summaries(merged):
 
 
 def plan_text(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    jvm = df.sparkSession._jvm
+    mode = jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
 
 
 def test_rows_never_leave_the_jvm(merged, customers):
@@ -128,7 +130,7 @@ def test_rows_never_leave_the_jvm(merged, customers):
 def test_status_filters_reach_the_scan(merged):
     plan = plan_text(merged.unmatched)
     assert "EqualTo(reason,)" in plan
-    assert "ReadSchema: struct<oddzial:string,sku:string,is_repeat:boolean,reason:string,w_katalogu:boolean,wartosc" in plan
+    assert "ReadSchema: struct<oddzial:string,sku:string,is_repeat:boolean,reason:string,w_katalogu:boolean,wartosc_brutto:decimal(18,2)>" in plan
 
 
 def test_rules_run_on_a_stream(spark, tmp_path):

@@ -35,7 +35,7 @@ from sparktidy.plans import crm, sales
 from sparktidy.session import tune
 from sparktidy.sinks.bundle import write_report
 from sparktidy.sinks.locale_csv import read_locale_csv, write_locale_csv
-from sparktidy.sources.delimited import number_rows, read_csv_smart
+from sparktidy.sources.delimited import number_rows, read_csv_smart, spread_scan
 from sparktidy.sources.grid import detect_header_row, read_grid_smart
 from sparktidy.sources.profile import profile_files, raw_lines
 from sparktidy.sources.totals import extract_control_totals
@@ -62,10 +62,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+INPUT_KEYS = {"customer": "c_custkey", "part": "p_partkey", "documents": "doc_id", "conversations": "conv_id"}
+
+
 def fixture(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    inputs = {n: table(spark, sf_dir, n) for n in ("customer", "part", "documents", "conversations") if "{%s}" % n in text}
+    inputs = {
+        name: spread_scan(table(spark, sf_dir, name), key) for name, key in INPUT_KEYS.items() if "{%s}" % name in text
+    }
     if "{lineitem}" in text:
-        inputs["lineitem"] = number_rows(table(spark, sf_dir, "lineitem"))
+        inputs["lineitem"] = spread_scan(number_rows(table(spark, sf_dir, "lineitem")), "row_id")
     return spark.sql(text, **inputs)
 
 
