@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sparktidy.functions.rule import Rule, only_if
+from sparktidy.functions.rule import Rule, only_if, reuses_input
 from sparktidy.functions.text import clean_text
 
 _CLOCK = "[ T][0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?$"
@@ -22,6 +22,7 @@ def _year_first(value: Column) -> Column:
     return F.regexp_replace(value, f"{_DAY_MONTH}([0-9]{{2}})$", "20$3-$2-$1")
 
 
+@reuses_input
 def _to_date(value: Column) -> Column:
     # the notations exclude one another; coalesce tries the next one only where one gave nothing
     year_first = F.replace(only_if(value, _YEAR_FIRST), F.lit("/"), F.lit("-"))

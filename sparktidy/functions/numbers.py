@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sparktidy import rulepack
-from sparktidy.functions.rule import Rule, only_if
+from sparktidy.functions.rule import Rule, only_if, reuses_input
 from sparktidy.functions.text import clean_text
 
 MONEY = "decimal(18,2)"
@@ -16,6 +16,7 @@ MONEY = "decimal(18,2)"
 _NUMBER = "^[+-]?(?:[0-9]+\\.?[0-9]*|\\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 
 
+@reuses_input
 def _one_decimal_point(value: Column) -> Column:
     """The right-most separator becomes the decimal point; several dots alone are thousands."""
     comma, dot, nothing = F.lit(","), F.lit("."), F.lit("")

@@ -4,9 +4,9 @@ Catalyst may inline a rule wherever its result is used, above all when it pushes
 cleaned column below the projection.  A step that mentions its input several times (``CASE``
 branches, guards) would then multiply with every other such step, so steps are written to mention
 their input once wherever that is possible: ``null unless it matches`` is :func:`only_if`, not a
-``CASE``.  :func:`apply_rules` runs a set of rules step by step, one ``select`` per step for all
-columns together; Catalyst keeps two projections apart exactly where an intermediate is used more
-than once and fuses all of them into one whole-stage-codegen span.
+``CASE``.  The others are marked :func:`reuses_input`, and :func:`apply_rules` computes their input
+in a ``select`` of its own, for all columns together; Catalyst keeps two projections apart exactly
+where an intermediate is used more than once and fuses them into one whole-stage-codegen span.
 """
 
 from __future__ import annotations
@@ -49,22 +49,38 @@ def only_if(value: Column, pattern: str, group: int = 0) -> Column:
     return F.nullif(F.regexp_extract(value, pattern, group), F.lit(""))
 
 
+def reuses_input(step: Step) -> Step:
+    """Mark a step that mentions its input more than once."""
+    step.reuses_input = True
+    return step
+
+
+def _segments(rule: Rule) -> list[list[Step]]:
+    """Steps that may share one expression; a step that reuses its input starts a new segment."""
+    segments: list[list[Step]] = [[]]
+    for step in rule.steps:
+        if getattr(step, "reuses_input", False) and segments[-1]:
+            segments.append([])
+        segments[-1].append(step)
+    return segments
+
+
 def apply_rules(
     df: DataFrame, targets: Mapping[str, tuple[Rule, str]], keep: Iterable[str] = ()
 ) -> DataFrame:
     """``keep`` columns unchanged, then one column per target: ``{new: (rule, source column)}``."""
     keep = list(keep)
-    working = {name: f"__rule_{i}" for i, name in enumerate(targets)}
-    depth = max((len(rule.steps) for rule, _ in targets.values()), default=0)
-    df = df.select(*keep, *[F.col(src).alias(working[name]) for name, (_, src) in targets.items()])
+    segments = {name: _segments(rule) for name, (rule, _) in targets.items()}
+    current = {name: source for name, (_, source) in targets.items()}
+    depth = max((len(parts) for parts in segments.values()), default=0)
     for level in range(depth):
-        df = df.select(
-            *keep,
-            *[
-                rule.steps[level](F.col(working[name])).alias(working[name])
-                if level < len(rule.steps)
-                else F.col(working[name])
-                for name, (rule, _) in targets.items()
-            ],
-        )
-    return df.select(*keep, *[F.col(working[name]).alias(name) for name in targets])
+        last = level == depth - 1
+        working = {name: name if last else f"__rule_{i}" for i, name in enumerate(targets)}
+        columns = []
+        for name, parts in segments.items():
+            steps = parts[level] if level < len(parts) else []
+            value = reduce(lambda column, step: step(column), steps, F.col(current[name]))
+            columns.append(value.alias(working[name]))
+        df = df.select(*keep, *columns)
+        current = working
+    return df
