@@ -23,13 +23,19 @@ select k row_id, 'K'||right('000000'||cast(k as string),6) id_klienta,
 from c
 """
 
-# every row, a second copy of each tenth customer, and one row of placeholders per 25 customers
+# a second row for every customer: pasted again unchanged for some, nothing but placeholders for the others
 CRM_EXPORT = """
 select * from ({CRM}) crm
-union all select row_id + 1000000000000, id_klienta, imie_nazwisko, email, telefon, miasto, kod_pocztowy, data_rejestracji, wartosc_zamowien_pln
- from ({CRM}) crm where row_id % 10 = 3
-union all select row_id + 2000000000000, cast(null as string), case when row_id % 2 = 0 then ' - ' else '' end, cast(null as string), 'brak', cast(null as string), '', cast(null as string), 'n/a'
- from ({CRM}) crm where row_id % 25 = 7
+union all select row_id + 1000000000000,
+ case when row_id % 10 = 3 then id_klienta end,
+ case when row_id % 10 = 3 then imie_nazwisko when row_id % 2 = 0 then ' - ' else '' end,
+ case when row_id % 10 = 3 then email end,
+ case when row_id % 10 = 3 then telefon when row_id % 3 = 0 then 'brak' end,
+ case when row_id % 10 = 3 then miasto end,
+ case when row_id % 10 = 3 then kod_pocztowy else '' end,
+ case when row_id % 10 = 3 then data_rejestracji end,
+ case when row_id % 10 = 3 then wartosc_zamowien_pln else 'n/a' end
+ from ({CRM}) crm
 """.replace("{CRM}", CRM)
 
 # line items as branch sales; the sales of one month were exported twice
@@ -37,7 +43,10 @@ _SALE = """
  case l_suppkey % 3 when 0 then 'A' when 1 then 'B' else 'C' end oddzial,
  case when l_suppkey % 3 = 1 then cast(null as string) else 'R'||cast(l_orderkey as string)||'-'||cast(l_linenumber as string) end nr_transakcji,
  cast(cast(l_shipdate as date) as string) data,
- case l_linenumber % 4 when 0 then 'KAW-'||right('00'||cast(l_partkey % 40 as string),3) when 1 then 'kaw'||cast(l_partkey % 40 as string)||' ' when 2 then 'KAW '||cast(l_partkey % 40 as string) else ' KAW-'||right('00'||cast(l_partkey % 40 as string),3) end sku,
+ case l_linenumber % 4 when 1 then 'kaw' when 2 then 'KAW ' when 3 then ' KAW-' else 'KAW-' end
+ ||case when l_partkey % 20 = 0 then '9' else '' end
+ ||case when l_linenumber % 2 = 0 and l_partkey < 10 then '00' when l_linenumber % 2 = 0 and l_partkey < 100 then '0' else '' end
+ ||cast(l_partkey as string)||case l_linenumber % 4 when 1 then ' ' else '' end sku,
  case when l_orderkey % 97 = 0 then '?' else cast(cast(floor(l_quantity) as int) as string) end ilosc,
  cast(cast(floor(l_extendedprice) as int) as string)||',50 zł' cena_jedn
 """
@@ -45,7 +54,7 @@ SALES = """
 select row_id, {_SALE} from {lineitem}
 union all
 select row_id + 1000000000000, {_SALE} from {lineitem}
- where l_suppkey % 3 <> 1 and year(l_shipdate) = 1997 and month(l_shipdate) = 3
+ where year(l_shipdate) = 1997 and month(l_shipdate) = 3
 """.replace("{_SALE}", _SALE)
 
 # branch exports as they arrive: a total row below the data, with the control sum in the last column
@@ -61,8 +70,10 @@ from (select oddzial, sum(case when ilosc = '?' then 0 else cast(ilosc as bigint
  from ({SALES}) sales group by oddzial) declared
 """.replace("{SALES}", SALES)
 
+# the whole part table; the codes of every twentieth part are sold under a number the catalog lacks
 CATALOG = """
-select 'KAW-'||right('00'||cast(p_partkey as string),3) sku, p_name nazwa_produktu, p_type kategoria, cast(cast(floor(p_retailprice) as int) as string)||',00' cena_katalogowa from {part} where p_partkey < 38
+select case p_partkey % 2 when 0 then 'KAW-' else ' kaw ' end||cast(p_partkey as string) sku, p_name nazwa_produktu, p_type kategoria,
+ cast(cast(floor(p_retailprice) as int) as string)||',00' cena_katalogowa from {part}
 """
 
 # short and long texts of every provided kind: names, labels, whole documents and conversations
