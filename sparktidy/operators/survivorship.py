@@ -43,14 +43,23 @@ def golden_records(
     survivors: Sequence[str],
     date_column: str,
     row_id: str,
-    extra: Mapping[str, Column],
+    extra: Mapping[str, tuple[Column, Column]],
 ) -> DataFrame:
-    """One row per ``group_id``: first known value per survivor column plus ``extra`` aggregates."""
+    """One row per ``group_id``: first known value per survivor column plus the ``extra`` columns.
+
+    ``extra``: ``{name: (aggregate over the group, the same for a single row)}``.  Unlinked rows,
+    usually most of them, are only projected; the rows of larger groups alone are sorted, combined
+    and shuffled.
+    """
     order = earliest_first(date_column, row_id)
-    return linked.groupBy("group_id").agg(
+    single = linked.filter("group_size = 1").select(
+        "group_id", *survivors, *[value.alias(name) for name, (_, value) in extra.items()]
+    )
+    grouped = linked.filter("group_size > 1").groupBy("group_id").agg(
         *[first_known(c, order).alias(c) for c in survivors],
-        *[aggregate.alias(name) for name, aggregate in extra.items()],
+        *[aggregate.alias(name) for name, (aggregate, _) in extra.items()],
     )
+    return single.unionByName(grouped)
 
 
 def merged_ids(

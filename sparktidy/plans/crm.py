@@ -140,16 +140,17 @@ def record_issues(raw_suffix: str = "_txt") -> dict[str, Column]:
 def golden_customers(linked: DataFrame, row_id: str) -> DataFrame:
     """One row per linked group, with the review text; keeps ``group_id`` and the raw issue texts."""
     raw = [f"{c}_txt" for c in ISSUE_FIELDS]
+    amount = F.col("wartosc_zamowien_pln")
     golden = golden_records(
         linked,
         [*SURVIVORS, *raw],
         "data_rejestracji",
         row_id,
         extra={
-            "data_rejestracji": F.min("data_rejestracji"),
-            "wartosc_zamowien_pln": F.sum("wartosc_zamowien_pln").cast("decimal(28,2)"),
-            "liczba_rekordow": F.count(F.lit(1)),
-            "scalone_id": sorted_ids("id_klienta"),
+            "data_rejestracji": (F.min("data_rejestracji"), F.col("data_rejestracji")),
+            "wartosc_zamowien_pln": (F.sum(amount).cast("decimal(28,2)"), amount.cast("decimal(28,2)")),
+            "liczba_rekordow": (F.count(F.lit(1)), F.lit(1).cast("bigint")),
+            "scalone_id": (sorted_ids("id_klienta"), F.coalesce("id_klienta", F.lit(""))),
         },
     )
     return golden.withColumn("do_sprawdzenia", quality.join_issues(list(record_issues().values())))

@@ -140,7 +140,8 @@ def test_golden_record_and_id_lists(spark):
     sizes = df.groupBy("group_id").agg(F.count("*").alias("group_size"))
     linked = df.join(sizes, "group_id")
     golden = survivorship.golden_records(linked, ["id", "v"], "d", "row_id", {
-        "d": F.min("d"), "amount": F.sum("amount"), "n": F.count(F.lit(1)), "ids": survivorship.sorted_ids("id", limit=2)})
+        "d": (F.min("d"), F.col("d")), "amount": (F.sum("amount"), F.col("amount")), "n": (F.count(F.lit(1)), F.lit(1).cast("bigint")),
+        "ids": (survivorship.sorted_ids("id", limit=2), F.coalesce("id", F.lit("")))})
     got = {r.group_id: (r.id, r.v, str(r.d), r.amount, r.n, r.ids) for r in golden.collect()}
     # v of the earliest dated row that has one; a list above the limit is left to the parts
     assert got == {1: ("K2", "c", "2024-01-01", 3.5, 3, None), 4: ("K9", None, "None", None, 1, "K9"), 5: ("K5", "x", "None", 2.0, 2, "K5")}
