@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sparktidy.llm import quality, toxicity
 from sparktidy.llm._frames import fold_of
+from sparktidy.llm.decontaminate import find_leaks
 from sparktidy.llm.topk import top_inner_products
 from sparktidy.llm.url_filter import Rule, filter_urls
 from sparktidy.workspace import stage
@@ -31,6 +32,10 @@ def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
+def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = fold_of("doc_id", 3) == 1
     described = stage(quality.describe(table(spark, sf_dir, "documents"), "text", ["doc_id"]), "quality-features")
@@ -52,9 +57,30 @@ def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": url_verdicts,
+    "op3_benchmark_decontamination": benchmark_leaks,
     "op4_quality_classifier": quality_scores,
     "op7_toxicity": toxicity_scores,
     "op10_exact_topk": nearest_vectors,
 }
 
-ORACLES: dict[str, str] = {}
+# By the definition alone, without masks: 13 equal words of 16 hold four equal neighbours, so words four by
+# four place item and document on a diagonal.
+LEAKS_SQL = r"""
+with d as (select distinct doc_id, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\x{80}-\x{10FFFF}]+') w from documents),
+b as (select distinct item_id, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\x{80}-\x{10FFFF}]+') w from benchmark),
+dp as (select doc_id, w, unnest(range(1, greatest(len(w) - 2, 1)::bigint)) i from d),
+bp as (select item_id, w, unnest(range(1, (len(w) - 2)::bigint)) j from b where len(w) >= 5),
+dq as (select doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] g from dp),
+bq as (select item_id, j, w[j] || ' ' || w[j + 1] || ' ' || w[j + 2] || ' ' || w[j + 3] g from bp),
+diag as (select distinct doc_id, item_id, i - j g from dq join bq using (g)),
+eq as (select diag.doc_id, diag.item_id, diag.g, len(b.w) n, least(len(b.w), 16) l,
+  list_transform(range(1, (len(b.w) + 1)::bigint), lambda j: case when j + diag.g >= 1 and j + diag.g <= len(d.w) and d.w[greatest(j + diag.g, 1)] = b.w[j] then 1 else 0 end) e
+  from diag join d on d.doc_id = diag.doc_id join b on b.item_id = diag.item_id),
+win as (select doc_id, item_id, g, n, l, e, unnest(range(0, (n - l + 1)::bigint)) s from eq),
+sums as (select doc_id, item_id, n, l, s + g begin_at, list_sum(e[s + 1 : s + l])::int matched from win)
+select doc_id, item_id, max(n)::int item_words, max(matched)::int matched, max(l)::int as "window",
+  arg_min(begin_at, (-matched, begin_at))::int as "begin"
+from sums where matched >= case when n < 16 then n else 13 end group by doc_id, item_id
+"""
+
+ORACLES: dict[str, str] = {"op3_benchmark_decontamination": LEAKS_SQL}
