@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sparktidy.llm import quality, toxicity
 from sparktidy.llm._frames import fold_of
 from sparktidy.llm.decontaminate import find_leaks
+from sparktidy.llm.near_dup import near_classes
 from sparktidy.llm.topk import top_inner_products
 from sparktidy.llm.url_filter import Rule, filter_urls
 from sparktidy.workspace import stage
@@ -44,6 +45,13 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: its class and how many documents the class holds."""
+    classes = stage(near_classes(table(spark, sf_dir, "documents"), "doc_id").toDF("doc_id", "class_id"), "near-classes")
+    sizes = classes.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
+    return classes.join(sizes, "class_id").select("doc_id", "class_id", "class_size")
+
+
 def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), fold_of("doc_id", 5) == 0
     model = toxicity.train(toxicity.labelled_rows(docs, table(spark, sf_dir, "labels"), "toxic", ~held_out).toDF("id", "text", "toxic"))
@@ -59,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": url_verdicts,
     "op3_benchmark_decontamination": benchmark_leaks,
     "op4_quality_classifier": quality_scores,
+    "op5_minhash_near_dedup": near_duplicates,
     "op7_toxicity": toxicity_scores,
     "op10_exact_topk": nearest_vectors,
 }
