@@ -2,28 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 1_000_000  # of a few numbers each: at most some 40 MB
 
 
-def bounded(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``side``, marked for broadcast only if its counted rows are few; a shuffle join takes the others."""
-    return F.broadcast(side) if side.limit(max_rows + 1).count() <= max_rows else side
-
-
-def same(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str = "r_") -> Column:
-    """Null-safe equality of ``keys`` with the columns of ``right`` that carry ``prefix``."""
-    return reduce(and_, [left[k].eqNullSafe(right[prefix + k]) for k in keys])
-
+def bounded(side: DataFrame, max_rows: int = BROADCAST_ROWS, items: str | None = None) -> DataFrame:
+    """``side``, marked for broadcast only if it is small; a shuffle join takes the others.
 
-def prefixed(df: DataFrame, prefix: str = "r_") -> DataFrame:
-    return df.toDF(*[prefix + c for c in df.columns])
+    Its rows are counted, with the elements of the array ``items`` if given.
+    """
+    if items is None:
+        return F.broadcast(side) if side.limit(max_rows + 1).count() <= max_rows else side
+    size = side.agg(F.sum(F.size(items) + 1)).first()[0] or 0
+    return F.broadcast(side) if size <= max_rows else side
 
 
 def fold_of(column: str, folds: int) -> Column:

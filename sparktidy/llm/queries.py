@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sparktidy.llm import quality, toxicity
 from sparktidy.llm._frames import fold_of
 from sparktidy.llm.decontaminate import find_leaks
+from sparktidy.llm.line_dedup import drop_repeated_blocks
 from sparktidy.llm.near_dup import near_classes
 from sparktidy.llm.topk import top_inner_products
 from sparktidy.llm.url_filter import Rule, filter_urls
@@ -59,6 +60,13 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
 
 
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document what was cut, and the digest of the text that stays."""
+    docs = drop_repeated_blocks(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    cut = F.coalesce(F.aggregate("__runs", F.lit(0).cast("bigint"), lambda a, r: a + r["end"] - r["begin"]), F.lit(0))
+    return docs.select("doc_id", cut.alias("n_removed_lines"), F.coalesce(F.size("__runs"), F.lit(0)).alias("n_blocks"), F.length("text").alias("n_kept_chars"), F.md5("text").alias("kept_md5"))
+
+
 def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -69,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_classifier": quality_scores,
     "op5_minhash_near_dedup": near_duplicates,
     "op7_toxicity": toxicity_scores,
+    "op9_line_dedup": line_dedup,
     "op10_exact_topk": nearest_vectors,
 }
 
