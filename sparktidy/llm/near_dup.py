@@ -55,7 +55,7 @@ def dart_signatures(doc: np.ndarray, value: np.ndarray, unit: np.ndarray, weight
     """Earliest dart of each coordinate, one row of ``t`` 64-bit dart names per document (0 without shingles)."""
     n = len(weight)
     with np.errstate(over="ignore"):
-        element = mix(value + np.uint64(0x9E3779B97F4A7C15) * unit.astype(np.uint64), 90)
+        element = mix(value + np.uint64(0xD6E8FEB86659FD93) * unit.astype(np.uint64), 90)
     bound = np.zeros(n)
     some = weight > 0
     bound[some] = (np.log(t) + 3) * t / weight[some]
@@ -125,7 +125,7 @@ def _similar(least: float):
                 both = pa.concat_arrays([part.column("text_a"), part.column("text_b")])
                 doc, value, unit, weight = weighted_shingles(both)
                 with np.errstate(over="ignore"):
-                    element = mix(value + np.uint64(0x9E3779B97F4A7C15) * unit.astype(np.uint64), 97)
+                    element = mix(value + np.uint64(0xD6E8FEB86659FD93) * unit.astype(np.uint64), 97)
                 pair = doc % n
                 order = np.lexsort((element, pair))
                 p, e = pair[order], element[order]

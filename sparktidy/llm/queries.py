@@ -12,6 +12,7 @@ from sparktidy.llm._frames import fold_of
 from sparktidy.llm.decontaminate import find_leaks
 from sparktidy.llm.line_dedup import drop_repeated_blocks
 from sparktidy.llm.near_dup import near_classes
+from sparktidy.llm.repeats import remove_repeats
 from sparktidy.llm.topk import top_inner_products
 from sparktidy.llm.url_filter import Rule, filter_urls
 from sparktidy.workspace import stage
@@ -34,6 +35,12 @@ def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
+def repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(table(spark, sf_dir, "documents"), "doc_id")
+    n_bytes = F.octet_length("kept").cast("bigint") + F.col("n_removed")
+    return kept.select("doc_id", n_bytes.alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -73,6 +80,7 @@ def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": url_verdicts,
+    "op2_suffix_array_dedup": repeated_strings,
     "op3_benchmark_decontamination": benchmark_leaks,
     "op4_quality_classifier": quality_scores,
     "op5_minhash_near_dedup": near_duplicates,
