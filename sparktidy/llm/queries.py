@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparktidy.llm import quality, toxicity
+from sparktidy.llm import pieces, quality, toxicity
 from sparktidy.llm._frames import fold_of
 from sparktidy.llm.decontaminate import find_leaks
+from sparktidy.llm.licenses import scan_licenses
 from sparktidy.llm.line_dedup import drop_repeated_blocks
 from sparktidy.llm.near_dup import near_classes
 from sparktidy.llm.repeats import remove_repeats
@@ -26,6 +27,9 @@ URL_RULES = (
 )
 
 
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"  # read by the driver
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -60,6 +64,14 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.join(sizes, "class_id").select("doc_id", "class_id", "class_size")
 
 
+def piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text, and whether decoding gives the text back."""
+    model = pieces.load_model(PIECES)
+    coded = pieces.encode(table(spark, sf_dir, "documents"), model, keep=["doc_id", "text"])
+    back = pieces.decode(coded, model)
+    return back.select("doc_id", F.size("ids").alias("n_pieces"), "ids", (F.col("decoded") == F.col("text")).alias("round_trip"))
+
+
 def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), fold_of("doc_id", 5) == 0
     model = toxicity.train(toxicity.labelled_rows(docs, table(spark, sf_dir, "labels"), "toxic", ~held_out).toDF("id", "text", "toxic"))
@@ -67,6 +79,10 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
 
 
+def license_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document what was cut, and the digest of the text that stays."""
     docs = drop_repeated_blocks(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
@@ -84,7 +100,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_benchmark_decontamination": benchmark_leaks,
     "op4_quality_classifier": quality_scores,
     "op5_minhash_near_dedup": near_duplicates,
+    "op6_sentencepiece": piece_ids,
     "op7_toxicity": toxicity_scores,
+    "op8_license_scans": license_passages,
     "op9_line_dedup": line_dedup,
     "op10_exact_topk": nearest_vectors,
 }
