@@ -1,7 +1,11 @@
 """The corpus pipeline: filtering and rewriting stages over the documents.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written and read again as
-the documents of the next one.
+the documents of the next one.  Toxic documents go; lines that an earlier document holds are cut, and a
+document of which nothing stays goes; one document of each class of near duplicates stays; documents
+with a benchmark item go; the rest is encoded.  Columns, further ones included, stay as they are, but
+for ``text`` and ``n_chars`` of a document that lost lines.  Rows with a null id or text pass all
+filters.
 """
 
 from __future__ import annotations
@@ -9,17 +13,57 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sparktidy.llm import pieces, toxicity
+from sparktidy.llm.decontaminate import drop_leaks
+from sparktidy.llm.line_dedup import drop_repeated_blocks
+from sparktidy.llm.near_dup import keep_one_of_each
+from sparktidy.llm.queries import PIECES, toxic_training, table
 from sparktidy.workspace import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = []
-ORACLE_SQL: str | None = None  # no stage but the decontamination can be said in SQL
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labelled = toxicity.labelled_rows(docs, table(spark, sf_dir, "labels"), "toxic", toxic_training())
+    scored = toxicity.score_toxicity(docs, toxicity.train(labelled))
+    return scored.filter("score < 0.5").select(*docs.columns)
+
+
+def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cut = drop_repeated_blocks(docs, "doc_id")
+    cut = cut.filter(F.col("__runs").isNull() | (F.trim("text") != ""))
+    return cut.withColumn("n_chars", F.when(F.col("__runs").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint"))).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return keep_one_of_each(docs, "doc_id")
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = pieces.load_model(PIECES)
+    coded = pieces.decode(pieces.encode(docs, model), model)
+    return coded.withColumn("n_pieces", F.size("ids")).withColumn("round_trip", F.col("decoded") == F.col("text")).drop("decoded")
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("line dedup", cut_repeated_lines),
+    ("near dedup", drop_near_duplicates),
+    ("decontamination", drop_benchmark_leaks),
+    ("sentencepiece", to_pieces),
+]
+ORACLE_SQL: str | None = None  # only the decontamination can be said in SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, step in STAGES:
         docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding by suffix-array matching.
 
 A batch is cut where no piece can reach across (before white space, around line breaks and characters
-that no piece holds) and each distinct chunk is encoded once.  The chunks are concatenated and their
+that no piece holds) and each distinct chunk is encoded once; a bounded number is remembered for the next batch.  The new chunks are concatenated and their
 suffixes sorted to the length of the longest piece; every piece of the model is binary-searched, which
 gives the range of all its occurrences.  The occurrences are edges, sorted by where they end, and are
 relaxed from left to right: in a BPE encoding each prefix of a chunk has exactly one last piece, the one
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +31,20 @@ from sparktidy.llm._text import row_slices
 SPACE = "▁"
 SLICE = 4 << 20
 PAIRS_KEPT = 4_000_000
+CHUNKS_KEPT = 400_000
+IDS_KEPT = 4_000_000
+_SLOTS = 1 << 21
 _CHUNK = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
 
 
+class _Numbered(dict):
+    """Numbers its keys in the order in which they are first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = number = len(self)
+        return number
+
+
 class PieceModel:
     """Pieces and scores; what encoding learns about pairs stays with it for the next batch."""
 
@@ -54,20 +66,21 @@ class PieceModel:
         self.ids = np.array([i for _, i in ordered], np.int64)
         self.length = np.ones(len(pieces) + 1, np.int64)
         self.length[self.ids] = [len(p) for p, _ in ordered]
-        low = np.zeros((len(ordered), self.depth), ">u2")
-        high = np.full((len(ordered), self.depth), 0xFFFF, ">u2")
+        self.spelling = np.zeros((len(ordered), self.depth), np.uint16)  # codes, 0 after the end
         for k, (p, _) in enumerate(ordered):
-            low[k, : len(p)] = high[k, : len(p)] = self.code[[ord(c) for c in p]]
-        self.low, self.high = self._keys(low), self._keys(high)
+            self.spelling[k, : len(p)] = self.code[[ord(c) for c in p]]
         self.text = [p.replace(SPACE, " ").encode() for p in pieces]
         for value, i in enumerate(byte_ids):
             self.text[i] = bytes([value])
         for i in special:
             self.text[i] = b""
         self.pairs, self.holds = np.zeros(0, np.int64), np.zeros(0, bool)
+        self.recent, self.recent_holds = np.full(_SLOTS, -1, np.int64), np.zeros(_SLOTS, bool)
+        self._forget()
 
-    def _keys(self, codes: np.ndarray) -> np.ndarray:
-        return np.ascontiguousarray(codes).view(f"S{2 * self.depth}").ravel()
+    def _forget(self) -> None:
+        self.index = _Numbered()
+        self.known_ids, self.known_begin = np.zeros(0, np.int64), np.zeros(1, np.int64)
 
     def merge(self, text: str) -> list[int]:
         """Encoding of a short text by merging the best neighbours, the leftmost first."""
@@ -86,18 +99,31 @@ class PieceModel:
         """Whether the encoding of both together is just these two; ``before`` = number of pieces: nothing."""
         size = len(self.pieces) + 1
         pair = before * size + piece
+        slot = (pair ^ (pair >> 21)) & (_SLOTS - 1)
+        out = self.recent_holds[slot]
+        missed = np.flatnonzero(self.recent[slot] != pair)
+        if len(missed):
+            out[missed] = self._look_up(pair[missed])
+            self.recent[slot[missed]], self.recent_holds[slot[missed]] = pair[missed], out[missed]
+            # of two pairs that share a slot, the one whose name stayed there must have its own answer
+            clash = missed[self.recent[slot[missed]] != pair[missed]]
+            self.recent[slot[clash]] = -1
+        return out
+
+    def _look_up(self, pair: np.ndarray) -> np.ndarray:
+        size = len(self.pieces) + 1
         at = np.searchsorted(self.pairs, pair)
         fresh = np.ones(len(pair), bool)
         if len(self.pairs):
             fresh = self.pairs[np.minimum(at, len(self.pairs) - 1)] != pair
         if fresh.any():
+            if len(self.pairs) > PAIRS_KEPT:  # what is still needed is found anew
+                self.pairs, self.holds = np.zeros(0, np.int64), np.zeros(0, bool)
+                return self._look_up(pair)
             new = np.unique(pair[fresh])
             holds = []
             for b, p in zip((new // size).tolist(), (new % size).tolist()):
                 holds.append(self.merge((self.pieces[b] if b < size - 1 else "") + self.pieces[p]) == ([b, p] if b < size - 1 else [p]))
-            if len(self.pairs) > PAIRS_KEPT:  # what is still needed is found anew
-                self.pairs, self.holds = np.zeros(0, np.int64), np.zeros(0, bool)
-                return self.stands(before, piece)
             place = np.searchsorted(self.pairs, new)
             self.pairs, self.holds = np.insert(self.pairs, place, new), np.insert(self.holds, place, holds)
             at = np.searchsorted(self.pairs, pair)
@@ -105,15 +131,50 @@ class PieceModel:
 
     def edges(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(start, piece)`` of every occurrence, from the sorted suffixes."""
-        padded = np.concatenate([codes, np.zeros(self.depth, np.uint16)]).astype(">u2")
+        present = np.unique(codes)
+        present = present[present > 0]
+        dense = np.zeros(int(self.code.max()) + 1, np.uint64)
+        dense[present] = np.arange(1, len(present) + 1)
+        # the characters of this batch, several to a word
+        bits = 8 if len(present) < 255 else 16
+        per_word = 64 // bits
+        usable = (dense[self.spelling] > 0).sum(axis=1) == self.length[self.ids]
+        ids, size = self.ids[usable], self.length[self.ids[usable]]
+        spelled = dense[self.spelling[usable]]
         known = np.flatnonzero(codes)
-        keys = self._keys(np.lib.stride_tricks.sliding_window_view(padded, self.depth)[known])
-        order = np.argsort(keys)
-        ranked = keys[order]
-        low, high = np.searchsorted(ranked, self.low, "left"), np.searchsorted(ranked, self.high, "right")
+        padded = np.concatenate([dense[codes], np.zeros(self.depth + per_word, np.uint64)])
+        rank, prefix = np.zeros(len(known), np.int64), np.zeros(len(ids), np.int64)
+        exact = np.ones(len(ids), bool)
+        low, high = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+        full = np.uint64((1 << bits) - 1)
+        deepest = int(size.max(initial=1))
+        for first in range(0, deepest, per_word):
+            word, least, most = np.zeros(len(known), np.uint64), np.zeros(len(ids), np.uint64), np.zeros(len(ids), np.uint64)
+            for k in range(first, first + per_word):
+                shift = np.uint64(bits)
+                word = (word << shift) | padded[known + k]
+                inside = k < size
+                own = spelled[:, k] if k < self.depth else np.zeros(len(ids), np.uint64)
+                least = (least << shift) | own
+                most = (most << shift) | np.where(inside, own, full)
+            words, rank_of_word = np.unique(word, return_inverse=True)
+            key = (rank << 32) | rank_of_word
+            ordered = np.sort(key)
+            ends = exact & (size > first) & (size <= first + per_word)
+            begin = prefix[ends] << 32
+            low[ends] = np.searchsorted(ordered, begin | np.searchsorted(words, least[ends], "left"))
+            high[ends] = np.searchsorted(ordered, begin | np.searchsorted(words, most[ends], "right"))
+            if first + per_word < deepest:  # longer pieces must have this whole word
+                place = np.minimum(np.searchsorted(words, least), len(words) - 1)
+                keys, rank = np.unique(key, return_inverse=True)
+                code = (prefix << 32) | place
+                at = np.minimum(np.searchsorted(keys, code), len(keys) - 1)
+                exact &= (size > first + per_word) & (words[place] == least) & (keys[at] == code)
+                prefix = at
+        order = np.argsort(key)
         count = high - low
         at = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-        return known[order[at]], np.repeat(self.ids, count)
+        return known[order[at]], np.repeat(ids, count)
 
     def encode_chunks(self, chunks: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all chunks after each other, and where those of each begin (one more entry)."""
@@ -169,18 +230,25 @@ class PieceModel:
 
     def encode(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts after each other, and where those of each begin (one more entry)."""
-        index: dict[str, int] = {}
-        parts, count = [], []
+        if len(self.index) > CHUNKS_KEPT or len(self.known_ids) > IDS_KEPT:
+            self._forget()
+        index, known = self.index, len(self.index)
+        parts: list[int] = []
+        count = []
         for text in texts:
             found = _CHUNK.findall(SPACE + text.replace(" ", SPACE)) if text else []
-            parts.extend([index.setdefault(c, len(index)) for c in found])
+            parts.extend(map(index.__getitem__, found))
             count.append(len(found))
-        ids, begin = self.encode_chunks(list(index))
+        if len(index) > known:
+            ids, begin = self.encode_chunks(list(islice(index, known, None)))
+            self.known_begin = np.append(self.known_begin, begin[1:] + len(self.known_ids))
+            self.known_ids = np.append(self.known_ids, ids)
         part = np.array(parts, np.int64)
-        size = np.diff(begin)[part] if len(part) else np.zeros(0, np.int64)
-        flat = np.repeat(begin[part] - (np.cumsum(size) - size), size) + np.arange(int(size.sum())) if len(part) else np.zeros(0, np.int64)
-        ends = np.append(0, np.cumsum(size))[np.append(0, np.cumsum(count))]
-        return ids[flat], ends
+        first = self.known_begin[part]
+        size = self.known_begin[part + 1] - first if len(part) else np.zeros(0, np.int64)
+        flat = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        ends = np.append(0, np.cumsum(size))[np.append(0, np.cumsum(count, dtype=np.int64))]
+        return self.known_ids[flat], ends
 
     def decode(self, ids: Sequence[int]) -> str:
         text = b"".join([self.text[i] for i in ids]).decode("utf-8", "replace")

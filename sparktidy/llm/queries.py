@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparktidy.llm import pieces, quality, toxicity
@@ -27,6 +27,11 @@ URL_RULES = (
 )
 
 
+def toxic_training() -> Column:
+    """The rows from which labels of toxicity are learnt."""
+    return fold_of("doc_id", 5) != 0
+
+
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"  # read by the driver
 
 
@@ -73,10 +78,10 @@ def piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, held_out = table(spark, sf_dir, "documents"), fold_of("doc_id", 5) == 0
-    model = toxicity.train(toxicity.labelled_rows(docs, table(spark, sf_dir, "labels"), "toxic", ~held_out).toDF("id", "text", "toxic"))
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(toxicity.labelled_rows(docs, table(spark, sf_dir, "labels"), "toxic", toxic_training()))
     scored = toxicity.score_toxicity(docs, model, keep=["doc_id"])
-    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
+    return scored.select("doc_id", (~toxic_training()).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
 
 
 def license_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
