@@ -27,8 +27,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labelled = toxicity.labelled_rows(docs, table(spark, sf_dir, "labels"), "toxic", toxic_training())
-    scored = toxicity.score_toxicity(docs, toxicity.train(labelled))
-    return scored.filter("score < 0.5").select(*docs.columns)
+    # the whole row in one column, as a further column may be named like a result
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("judged"))
+    scored = toxicity.score_toxicity(rows, toxicity.train(labelled), text="judged", keep=["row"])
+    return scored.filter("score < 0.5").select("row.*")
 
 
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +49,10 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = pieces.load_model(PIECES)
-    coded = pieces.decode(pieces.encode(docs, model), model)
-    return coded.withColumn("n_pieces", F.size("ids")).withColumn("round_trip", F.col("decoded") == F.col("text")).drop("decoded")
+    added = ("ids", "n_pieces", "round_trip")
+    rows = docs.select(F.struct(*[c for c in docs.columns if c.lower() not in added]).alias("row"))
+    coded = pieces.decode(pieces.encode(rows, model, text="row.text"), model)
+    return coded.select("row.*", "ids", F.size("ids").alias("n_pieces"), (F.col("decoded") == F.col("row.text")).alias("round_trip"))
 
 
 STAGES: list[tuple[str, Stage]] = [

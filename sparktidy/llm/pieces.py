@@ -23,6 +23,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -270,9 +271,21 @@ def load_model(path: str) -> PieceModel:
     return PieceModel(pieces, [file.get_score(i) for i in range(size)], byte_ids, special)
 
 
+def _share(df: DataFrame, model: PieceModel):
+    return df.sparkSession.sparkContext.broadcast({"pickled": cloudpickle.dumps(model)})
+
+
+def _open(shared) -> PieceModel:
+    """The model, kept by a worker process with what it has learnt."""
+    held = shared.value
+    if "model" not in held:
+        held["model"] = cloudpickle.loads(held["pickled"])
+    return held["model"]
+
+
 def _encode(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = _open(shared)
         for batch in batches:
             for part in row_slices(batch, "__text", SLICE):
                 texts = part.column("__text")
@@ -287,7 +300,7 @@ def _encode(shared):
 
 def _decode(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = _open(shared)
         for batch in batches:
             texts = [model.decode(row.values.to_pylist()) if row.is_valid else None for row in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
@@ -302,13 +315,13 @@ def _fields(df: DataFrame) -> str:
 def encode(df: DataFrame, model: PieceModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` (all columns but ``ids`` by default) with ``ids``."""
     keep = [c for c in (keep if keep is not None else df.columns) if c != "ids"]
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = _share(df, model)
     rows = df.select(*keep, F.col(text).cast("string").alias("__text"))
     return rows.mapInArrow(_encode(shared), f"{_fields(df.select(*keep))}, ids array<int>")
 
 
 def decode(df: DataFrame, model: PieceModel) -> DataFrame:
     """The columns with ``decoded``, the text of ``ids``."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = _share(df, model)
     rows = df.drop("decoded")
     return rows.mapInArrow(_decode(shared), f"{_fields(rows)}, decoded string")

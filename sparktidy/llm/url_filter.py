@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from sparktidy.llm._frames import first_by_hash
 from sparktidy.workspace import stage
 
+ADDED = ("host", "path", "rule", "verdict", "block_score")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -103,7 +104,14 @@ def filter_urls(
     default: str = "allow",
     seed: int = 7,
 ) -> DataFrame:
-    """``df`` with ``host``, ``path``, ``rule``, ``verdict`` and ``block_score`` (null without trees)."""
+    """``df`` with ``host``, ``path``, ``rule``, ``verdict`` and ``block_score`` (null without trees).
+
+    Columns of ``df`` that have one of these names are left out.
+    """
+    kept = [c for c in df.columns if c.lower() not in ADDED]
+    df = df.select(F.struct(*kept, F.lit(0).alias("__")).alias("__row"), F.col(url).cast("string").alias("url"))
+    results = [*[F.col("__row")[c].alias(c) for c in kept], "host", "path", "rule"]
+    url = "url"
     judged = judge_by_rules(df, url, rules)
     numbers = F.array(*lexical_features(F.col(url), F.col("host"), F.col("path")).values())
     suffix = F.substring_index("host", ".", -1)
@@ -114,7 +122,7 @@ def filter_urls(
     train = stage(first_by_hash(labelled, url, sample), "url-labels")
     kinds = train.agg(F.count_distinct("label"), F.avg("label")).first()
     if kinds[0] < 2:
-        return judged.withColumns({"verdict": F.coalesce("rule_action", F.lit(default)), "block_score": F.lit(None).cast("double")}).drop("rule_action")
+        return judged.select(*results, F.coalesce("rule_action", F.lit(default)).alias("verdict"), F.lit(None).cast("double").alias("block_score"))
     prior = float(kinds[1])
     # no more rows than the sample
     rates = F.broadcast(train.groupBy("suffix").agg(((F.sum("label") + 20 * prior) / (F.count("label") + 20)).alias("rate")))
@@ -130,4 +138,4 @@ def filter_urls(
     scored = model.transform(vectors(fresh))
     blocked = vector_to_array("probability")[1]
     method = F.when(blocked >= 0.5, F.lit("block")).otherwise(F.lit("allow"))
-    return scored.select(*df.columns, "host", "path", "rule", F.coalesce("rule_action", method).alias("verdict"), blocked.alias("block_score"))
+    return scored.select(*results, F.coalesce("rule_action", method).alias("verdict"), blocked.alias("block_score"))
