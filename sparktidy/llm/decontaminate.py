@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparktidy.llm._frames import bounded
+from sparktidy.workspace import stage
 
 MASKS = ("11111", "1101011")
 WINDOW = 16
@@ -89,7 +90,7 @@ def _leaks(docs: DataFrame, items: DataFrame, item_id: str, text: str) -> DataFr
     known = known.drop("text")
     places = _positions(docs.select("doc_id", F.xxhash64("text").alias("copy"), "text"), "text", ["doc_id", "copy"], "doc_at")
     hits = places.join(bounded(wanted), "seed").select("doc_id", "copy", "item_id", (F.col("doc_at") - F.col("item_at")).alias("diagonal")).distinct()
-    hits = hits.toDF("hit_id", "hit_copy", "item_id", "diagonal")
+    hits = stage(hits, "hits").toDF("hit_id", "hit_copy", "item_id", "diagonal")
     hits = bounded(hits.join(bounded(known), "item_id"), 100_000)
     texts = docs.withColumn("copy", F.xxhash64("text"))
     met = texts.join(hits, texts.doc_id.eqNullSafe(hits.hit_id) & (texts.copy == hits.hit_copy))
