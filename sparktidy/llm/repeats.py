@@ -322,11 +322,14 @@ def repeated_windows(texts: DataFrame, length: int = LENGTH, group: int = GROUP)
     """``(row, mark, begin, end)`` of repeated strings of at least ``length`` bytes in ``(row, mark, text)``."""
     found = stage(texts.filter(F.octet_length("text") >= length).mapInArrow(_find_anchors(length), _ANCHOR), "anchors")
     name = F.struct("c1", "c2")
-    keys = found.groupBy("kh").agg(F.count(F.lit(1)).alias("places"), F.min(name).alias("low"), F.max(name).alias("high")).filter("places > 1")
-    repeated = stage(found.join(keys.select("kh", (F.col("low") != F.col("high")).alias("unlike")), "kh"), "repeated-anchors")
+    unlike = (F.min("c1") != F.max("c1")) | (F.min("c2") != F.max("c2"))
+    # a table of its own, so that the adaptive join can split a frequent anchor
+    keys = stage(found.groupBy("kh").agg(F.count(F.lit(1)).alias("places"), unlike.alias("unlike")).filter("places > 1"), "anchor-keys")
+    repeated = stage(found.join(keys.select("kh", "unlike"), "kh"), "repeated-anchors")
     contexts = repeated.groupBy("c1", "c2", "kh", "unlike", "off", "more").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("row", "mark", "start")).alias("place"))
     contexts = stage(contexts, "contexts")
-    mixed = contexts.filter("unlike").groupBy("kh").agg(F.count(F.lit(1)).alias("members"), F.min("copies").alias("fewest")).filter("fewest = 1")
+    mixed = contexts.filter("unlike").groupBy("kh").agg(F.count(F.lit(1)).alias("members"), F.min("copies").alias("fewest"))
+    mixed = stage(mixed.filter("fewest = 1"), "mixed-anchors")
     todo = contexts.join(mixed.select("kh", "members"), "kh").select("kh", "members", "c1", "c2", "off", "more", "copies", "place.*")
     count = todo.count()
     parts = max(1, -(-count // PER_PART))
