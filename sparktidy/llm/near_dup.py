@@ -15,6 +15,7 @@ buckets with probability 1 - 5e-8.  Pairs are never listed within a whole bucket
    are similar enough are merged into components;
 3. buckets that still hold several components are compared across components: small ones whole,
    larger ones against hubs, of which every round takes more, until all such pairs are decided.
+   Pairs whose weights or signature bits rule the similarity out are not looked at.
 
 Similarity is verified on the whole texts.  Null texts are classes of their own; texts without words
 are duplicates if the texts are equal; repeated rows share a class.
@@ -37,6 +38,7 @@ SHINGLE = 5
 BANDS, ROWS = 32, 4
 T = BANDS * ROWS
 SMALL_BUCKET = 64
+MISMATCHES = 32  # of 128 signature bits; at similarity 0.8 expect 12.8, and more than 32 once in ten million
 
 
 def weighted_shingles(texts: pa.Array, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -103,7 +105,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in row_slices(batch, "text"):
             doc, value, unit, weight = weighted_shingles(part.column("text"))
             n = len(part)
-            bands = band_hashes(dart_signatures(doc, value, unit, weight)).view(np.int64)
+            signatures = dart_signatures(doc, value, unit, weight)
+            bands = band_hashes(signatures).view(np.int64)
+            bits = np.packbits((signatures & np.uint64(1)).astype(bool), axis=1).view(np.int64)
             with np.errstate(over="ignore"):
                 marks = []
                 for seed in (95, 96):
@@ -112,8 +116,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     marks.append(mix(total + weight.astype(np.uint64), seed).view(np.int64))
             flat = pa.ListArray.from_arrays(np.arange(0, bands.size + 1, bands.shape[1], dtype=np.int32), pa.array(bands.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [part.column("row"), pa.array(weight.astype(np.int64)), pa.array(marks[0]), pa.array(marks[1]), flat],
-                names=["row", "weight", "mark1", "mark2", "bands"],
+                [part.column("row"), pa.array(weight.astype(np.int64)), *map(pa.array, marks), pa.array(bits[:, 0]), pa.array(bits[:, 1]), flat],
+                names=["row", "weight", "mark1", "mark2", "bits1", "bits2", "bands"],
             )
 
 
@@ -158,7 +162,7 @@ def near_classes(docs: DataFrame, row: str, text: str = "text", least: float = 0
     ``row`` should identify a text; rows that repeat an id take part with one of its texts.
     """
     texts = docs.select(F.col(row).alias("row"), F.col(text).cast("string").alias("text"))
-    signed = stage(texts.filter("text is not null").mapInArrow(_sign, "row bigint, weight bigint, mark1 bigint, mark2 bigint, bands array<bigint>"), "signatures")
+    signed = stage(texts.filter("text is not null").mapInArrow(_sign, "row bigint, weight bigint, mark1 bigint, mark2 bigint, bits1 bigint, bits2 bigint, bands array<bigint>"), "signatures")
     # texts without words are equal only if they are the same
     bare = texts.filter("text is not null").join(signed.filter("weight = 0").select("row").distinct(), "row", "left_semi")
     bare = bare.select("row", F.md5("text").alias("digest"))
@@ -168,6 +172,7 @@ def near_classes(docs: DataFrame, row: str, text: str = "text", least: float = 0
     classes = worded.select("row", "mark1", "mark2").join(firsts, ["mark1", "mark2"]).select("row", "class")
     classes = stage(classes.unionByName(bare_class).groupBy("row").agg(F.min("class").alias("class")), "classes")
 
+    outlines = worded.select("row", "weight", "bits1", "bits2").dropDuplicates(["row"])
     heads = worded.join(classes.filter("row = class").select("row"), "row", "left_semi")
     # one row of each class: repeated rows have the same bands
     members = heads.select("row", F.posexplode("bands").alias("band", "hash")).select("row", F.xxhash64("band", "hash").alias("bucket")).distinct()
@@ -180,13 +185,16 @@ def near_classes(docs: DataFrame, row: str, text: str = "text", least: float = 0
     while True:
         labelled = stage(_merge(links, open_buckets), "labelled")
         mixed = labelled.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("bucket", "n")
-        open_rows = stage(labelled.join(mixed, "bucket"), "open")
+        open_rows = stage(labelled.join(mixed, "bucket").join(outlines, "row"), "open")
         if open_rows.isEmpty():
             break
         hubs *= 8
         chosen = (F.col("n") <= SMALL_BUCKET) | (F.pmod(F.xxhash64("row", F.lit(hubs)), F.col("n")) < hubs)
-        hub_rows = open_rows.filter(chosen).select("bucket", F.col("row").alias("hub"), F.col("label").alias("hub_label"))
-        met = open_rows.join(hub_rows, "bucket").filter("label <> hub_label")
+        hub_rows = open_rows.filter(chosen).select("bucket", *[F.col(c).alias("hub" if c == "row" else "hub_" + c) for c in ("row", "label", "weight", "bits1", "bits2")])
+        close = (F.least("weight", "hub_weight") >= F.greatest("weight", "hub_weight") * least) & (
+            F.bit_count(F.col("bits1").bitwiseXOR(F.col("hub_bits1"))) + F.bit_count(F.col("bits2").bitwiseXOR(F.col("hub_bits2"))) <= MISMATCHES
+        )
+        met = open_rows.join(hub_rows, "bucket").filter((F.col("label") != F.col("hub_label")) & close)
         fresh = met.select(F.least("row", "hub").alias("b"), F.greatest("row", "hub").alias("a")).distinct()
         fresh = stage(fresh.join(tried, ["a", "b"], "left_anti").select("a", "b"), "pairs")
         links = stage(links.unionByName(verify(fresh, texts, least).distinct()), "links")
