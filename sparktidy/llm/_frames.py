@@ -24,6 +24,13 @@ def fold_of(column: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(folds))
 
 
-def first_by_hash(df: DataFrame, column: str, rows: int) -> DataFrame:
-    """A bounded sample that depends on the rows alone: the smallest hashes of ``column``."""
-    return df.orderBy(F.xxhash64(column), column).limit(rows)
+def sample_by_hash(df: DataFrame, column: str, rows: int) -> DataFrame:
+    """About ``rows`` rows, or all if there are no more: those whose id has a small hash.
+
+    It depends on the rows alone, and no task gathers candidates of the others.
+    """
+    total = df.count()
+    if total <= rows:
+        return df
+    scale = 1 << 40
+    return df.filter(F.pmod(F.xxhash64(column, F.lit(17)), F.lit(scale)) < int(scale * rows / total))

@@ -8,7 +8,7 @@ that ordinary text has a negative drift.  A linear scan (Ruzzo and Tompa) finds
 maximal segment of a text.  Karlin and Altschul's theory gives a segment of score ``S`` in a text of
 ``m`` words the expected count ``K m exp(-lambda S)``; ``lambda`` solves its equation on the words of
 clean training rows and ``K`` is fitted to their maxima.  A text sums what its segments with a count
-below one gain, and a logistic curve over at most ``calibration`` training rows makes that a probability.
+below one gain, and a logistic curve over about ``calibration`` training rows makes that a probability.
 
 Null, empty and wordless texts have no segment and get the score of a text without any.  Repeated rows
 are scored each.  Without both kinds of training label every score is 0.
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparktidy.llm._frames import bounded, first_by_hash
+from sparktidy.llm._frames import bounded, sample_by_hash
 from sparktidy.llm._text import Words, row_slices
 
 EULER = 0.5772156649015329
@@ -175,7 +175,7 @@ def train(labelled: DataFrame, bits: int = BITS, calibration: int = 20_000) -> T
     scores = log_odds(counts[1], counts[0])
     rate = karlin_rate(scores, counts[0])
     shared = spark.sparkContext.broadcast(scores.tobytes())
-    seen = first_by_hash(labelled, "id", calibration).mapInArrow(_maxima(shared, bits), "toxic int, words bigint, segments array<double>").collect()
+    seen = sample_by_hash(labelled, "id", calibration).mapInArrow(_maxima(shared, bits), "toxic int, words bigint, segments array<double>").limit(2 * calibration).collect()
     top = np.array([rate * max(r.segments) - np.log(r.words) for r in seen if not r.toxic and r.segments])
     model = ToxicModel(scores, rate, float(top.mean() - EULER) if len(top) else 0.0, 1.0, 0.0)
     gains = np.array([total_gain(model, r.segments, r.words) for r in seen])

@@ -1,7 +1,7 @@
 """URL verdicts: host and path rules first, gradient-boosted trees on lexical features for the rest.
 
-The URLs that a rule judges are the labelled ones.  A bounded, hash-ordered sample of them
-(``sample`` rows) trains the trees and gives the suffix statistics: per last host label, the smoothed
+The URLs that a rule judges are the labelled ones.  A sample of them, chosen by hash (about
+``sample`` rows, never more than four times as many) trains the trees and gives the suffix statistics: per last host label, the smoothed
 share of blocked URLs.  All features are built-in expressions; trees come from ``pyspark.ml``.
 
 Nulls and texts without ``://`` have an empty host and path, match no rule and get the method's
@@ -18,7 +18,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparktidy.llm._frames import first_by_hash
+from sparktidy.llm._frames import sample_by_hash
 from sparktidy.workspace import stage
 
 ADDED = ("host", "path", "rule", "verdict", "block_score")
@@ -119,7 +119,7 @@ def filter_urls(
         judged.filter("rule_action is not null")
         .select(url, suffix.alias("suffix"), numbers.alias("numbers"), (F.col("rule_action") == "block").cast("double").alias("label"))
     )
-    train = stage(first_by_hash(labelled, url, sample), "url-labels")
+    train = stage(sample_by_hash(labelled, url, sample).limit(4 * sample), "url-labels")
     kinds = train.agg(F.count_distinct("label"), F.avg("label")).first()
     if kinds[0] < 2:
         return judged.select(*results, F.coalesce("rule_action", F.lit(default)).alias("verdict"), F.lit(None).cast("double").alias("block_score"))
