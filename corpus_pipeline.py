@@ -48,11 +48,10 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = pieces.load_model(PIECES)
     added = ("ids", "n_pieces", "round_trip")
     rows = docs.select(F.struct(*[c for c in docs.columns if c.lower() not in added]).alias("row"))
-    coded = pieces.decode(pieces.encode(rows, model, text="row.text"), model)
-    return coded.select("row.*", "ids", F.size("ids").alias("n_pieces"), (F.col("decoded") == F.col("row.text")).alias("round_trip"))
+    coded = pieces.encode(rows, pieces.load_model(PIECES), text="row.text", check=True)
+    return coded.select("row.*", "ids", F.size("ids").alias("n_pieces"), "round_trip")
 
 
 STAGES: list[tuple[str, Stage]] = [

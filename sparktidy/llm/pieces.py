@@ -30,11 +30,11 @@ from pyspark.sql import functions as F
 from sparktidy.llm._text import row_slices
 
 SPACE = "▁"
-SLICE = 4 << 20
-PAIRS_KEPT = 4_000_000
-CHUNKS_KEPT = 400_000
-IDS_KEPT = 4_000_000
-_SLOTS = 1 << 21
+SLICE = 1 << 20
+PAIRS_KEPT = 2_000_000
+CHUNKS_KEPT = 250_000
+IDS_KEPT = 2_000_000
+_SLOTS = 1 << 20
 _CHUNK = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
 
 
@@ -100,7 +100,7 @@ class PieceModel:
         """Whether the encoding of both together is just these two; ``before`` = number of pieces: nothing."""
         size = len(self.pieces) + 1
         pair = before * size + piece
-        slot = (pair ^ (pair >> 21)) & (_SLOTS - 1)
+        slot = (pair ^ (pair >> 20)) & (_SLOTS - 1)
         out = self.recent_holds[slot]
         missed = np.flatnonzero(self.recent[slot] != pair)
         if len(missed):
@@ -283,7 +283,7 @@ def _open(shared) -> PieceModel:
     return held["model"]
 
 
-def _encode(shared):
+def _encode(shared, check: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _open(shared)
         for batch in batches:
@@ -293,7 +293,14 @@ def _encode(shared):
                 mask = texts.is_null() if texts.null_count else None
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()), mask=mask)
                 at = part.schema.names.index("__text")
-                yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(part.columns) if i != at), lists], names=[*(x for i, x in enumerate(part.schema.names) if i != at), "ids"])
+                columns = [*(c for i, c in enumerate(part.columns) if i != at), lists]
+                names = [*(x for i, x in enumerate(part.schema.names) if i != at), "ids"]
+                if check:
+                    flat = ids.tolist()
+                    same = [t == back if t is not None else None for t, back in zip(texts.to_pylist(), (model.decode(flat[a:b]) for a, b in zip(ends, ends[1:])))]
+                    columns.append(pa.array(same, pa.bool_()))
+                    names.append("round_trip")
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
@@ -312,12 +319,13 @@ def _fields(df: DataFrame) -> str:
     return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema)
 
 
-def encode(df: DataFrame, model: PieceModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` (all columns but ``ids`` by default) with ``ids``."""
-    keep = [c for c in (keep if keep is not None else df.columns) if c != "ids"]
+def encode(df: DataFrame, model: PieceModel, text: str = "text", keep: list[str] | None = None, check: bool = False) -> DataFrame:
+    """``keep`` (all columns by default) with ``ids``; with ``check`` also ``round_trip``, whether decoding
+    them in the same pass gives the text back.  Columns of these names are replaced."""
+    keep = [c for c in (keep if keep is not None else df.columns) if c.lower() not in ("ids", "round_trip")]
     shared = _share(df, model)
     rows = df.select(*keep, F.col(text).cast("string").alias("__text"))
-    return rows.mapInArrow(_encode(shared), f"{_fields(df.select(*keep))}, ids array<int>")
+    return rows.mapInArrow(_encode(shared, check), f"{_fields(df.select(*keep))}, ids array<int>" + ", round_trip boolean" * check)
 
 
 def decode(df: DataFrame, model: PieceModel) -> DataFrame:

@@ -71,10 +71,8 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text, and whether decoding gives the text back."""
-    model = pieces.load_model(PIECES)
-    coded = pieces.encode(table(spark, sf_dir, "documents"), model, keep=["doc_id", "text"])
-    back = pieces.decode(coded, model)
-    return back.select("doc_id", F.size("ids").alias("n_pieces"), "ids", (F.col("decoded") == F.col("text")).alias("round_trip"))
+    coded = pieces.encode(table(spark, sf_dir, "documents"), pieces.load_model(PIECES), keep=["doc_id"], check=True)
+    return coded.select("doc_id", F.size("ids").alias("n_pieces"), "ids", "round_trip")
 
 
 def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
