@@ -12,15 +12,13 @@ from sparktidy.functions.rule import Rule, only_if
 from sparktidy.functions.text import clean_text
 
 
-_END = "\x01"
-
-
 def _replace_endings(value: Column, endings: Mapping[str, str]) -> Column:
-    """Literal replacement at the end of the text only, marked by a character clean text never ends with."""
-    value = F.concat(value, F.lit(_END))
-    for old, new in endings.items():
-        value = F.replace(value, F.lit(old + _END), F.lit(new + _END))
-    return F.rtrim(value, F.lit(_END))
+    """Literal replacement at the end of the text only, of the longest ending that fits, once."""
+    out = value
+    for old, new in sorted(endings.items(), key=lambda e: len(e[0])):
+        stem = F.left(value, F.length(value) - len(old))
+        out = F.when(F.endswith(value, F.lit(old)), F.concat(stem, F.lit(new))).otherwise(out)
+    return out
 
 
 def email_rule(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -29,7 +30,7 @@ def _one_decimal_point(value: Column) -> Column:
 
 def number_rule(currency_words: Sequence[str] = rulepack.CURRENCY_WORDS) -> Rule:
     """``'1 234,50 zł'``, ``'PLN 1.234,50'``, ``'1234.5'`` -> 1234.5; anything unreadable -> null."""
-    noise = f"(?iu){'|'.join(currency_words)}"
+    noise = "(?iu)" + "|".join(map(re.escape, currency_words))
     return Rule(
         "parse_number",
         clean_text,

@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 from sparktidy.operators.skew import lookup_per_key
 from sparktidy.workspace import cut_lineage
 
-MAX_ROUNDS = 60
-
 
 def star_edges(df: DataFrame, key_set: Sequence[str], row_id: str) -> DataFrame:
     """``(child, parent)``: each row of a shared key to the smallest row id of that key."""
@@ -77,11 +75,9 @@ def _is_star_forest(edges: DataFrame) -> bool:
 def connected_stars(edges: DataFrame) -> DataFrame:
     """``(child, parent)`` edges -> ``(child, smallest node of its component)``."""
     edges = cut_lineage(edges.filter("child > parent").distinct())
-    for _ in range(MAX_ROUNDS):
-        if _is_star_forest(edges):
-            return edges
+    while not _is_star_forest(edges):
         edges = cut_lineage(_small_star(_large_star(edges)))
-    raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
+    return edges
 
 
 def link_labels(df: DataFrame, key_sets: Sequence[Sequence[str]], row_id: str) -> DataFrame:

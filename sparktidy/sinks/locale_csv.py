@@ -46,9 +46,9 @@ def write_locale_csv(df: DataFrame, path: str, separator: str = ";") -> None:
     first = text.columns[0]
     text.withColumnRenamed(first, BOM + first).write.option("sep", separator).option(
         "header", True
-    ).option("escape", '"').csv(path)
+    ).option("escape", '"').options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def read_locale_csv(spark, path: str, separator: str = ";") -> DataFrame:
     """Read :func:`write_locale_csv` output back as text."""
-    return spark.read.csv(path, header=True, sep=separator, quote='"', escape='"')
+    return spark.read.csv(path, header=True, sep=separator, quote='"', escape='"', multiLine=True)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sparktidy import rulepack
 from sparktidy.operators.columns import quoted
-from sparktidy.sources.profile import CODE_PAGES, profile_files, raw_lines
+from sparktidy.sources.profile import CODE_PAGES, profile_files, raw_lines, readable_path
 
 ROW_ID = "row_id"
 SOURCE_FILE = "source_file"
@@ -98,7 +98,7 @@ def read_csv_smart(
     digest = F.md5(F.col("header").cast("binary")).alias("digest")
     for row in profile.select("file", "encoding", "separator", digest).collect():
         if row.digest is not None:
-            formats[row.encoding, row.separator, row.digest].append(row.file)
+            formats[row.encoding, row.separator, row.digest].append(readable_path(row.file))
     tables = [
         read_delimited(spark, sorted(files), separator, encoding, multi_line)
         for (encoding, separator, _), files in sorted(formats.items(), key=lambda f: min(f[1]))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparktidy.sources.delimited import SOURCE_FILE, missing_to_null, recode
-from sparktidy.sources.profile import CODE_PAGES, grid_width, profile_files, raw_lines
+from sparktidy.sources.profile import CODE_PAGES, grid_width, profile_files, raw_lines, readable_path
 
 ROW_NO = "row_no"
 
@@ -101,7 +101,7 @@ def read_grid_smart(spark: SparkSession, paths: Sequence[str] | str) -> list[Dat
     profile = profile_files(lines).select("file", "encoding").join(grid_width(lines), "file")
     formats = defaultdict(list)
     for row in profile.collect():
-        formats[row.encoding, row.separator, row.fields].append(row.file)
+        formats[row.encoding, row.separator, row.fields].append(readable_path(row.file))
     return [
         table
         for (encoding, separator, fields), files in sorted(formats.items(), key=lambda f: min(f[1]))

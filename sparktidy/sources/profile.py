@@ -6,7 +6,9 @@ driver, which has to know the file list anyway.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,11 @@ def raw_lines(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
     )
 
 
+def readable_path(uri: str) -> str:
+    """A file's URI as a path the reader takes: decoded, with the characters of name patterns escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
+
+
 def _byte_class(value: Column) -> Column:
     """0 any, 1 only UTF-8, 2 only windows-1250, 3 neither of them."""
     raw = value.cast("binary")

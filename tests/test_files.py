@@ -109,3 +109,17 @@ def test_report_bundle(spark, tmp_path):
     assert sorted(map(tuple, manifest.collect())) == [("x", 5, 1), ("y", 0, 2)]
     tables = read_report(spark, path)
     assert {n: t.count() for n, t in tables.items()} == {"x": 5, "y": 0}
+
+
+def test_file_names_with_spaces_brackets_and_percent_signs(spark, tmp_path):
+    for name in ("sprzedaz maj.csv", "maj[1].csv", "rabat%20.csv"):
+        (tmp_path / name).write_text("a;b\n1;2\n", encoding="utf-8")
+    tables, _ = read_csv_smart(spark, str(tmp_path))
+    assert sum(t.count() for t in tables) == 3
+    assert sum(t.count() for t in read_grid_smart(spark, str(tmp_path))) == 3
+
+
+def test_locale_csv_keeps_spaces_and_line_breaks(spark, tmp_path):
+    df = spark.createDataFrame([(1, " KAW-1 "), (2, "two\nlines")], "i int, t string")
+    write_locale_csv(df, str(tmp_path / "out"))
+    assert sorted(r[1] for r in read_locale_csv(spark, str(tmp_path / "out")).collect()) == [" KAW-1 ", "two\nlines"]

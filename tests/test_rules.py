@@ -22,7 +22,7 @@ from sparktidy import (
     split_full_name,
     strip_accents,
 )
-from sparktidy.functions.numbers import discount_flag, is_plain_number, to_money
+from sparktidy.functions.numbers import discount_flag, is_plain_number, number_rule, to_money
 from sparktidy.functions.render import format_amount, plain_text
 from sparktidy.functions.text import header_key
 
@@ -146,3 +146,11 @@ def test_renderings(values):
 def test_phone_from_a_number_column(values):
     phone = lambda c: normalize_phone_pl(plain_text(c, "double"))
     assert values(phone, [667063296.0], "double") == ["+48 667 063 296"]
+
+
+def test_control_characters_do_not_make_contacts_valid(values):
+    assert values(normalize_email, ["a@wp.pl\x01", "a@gmial.com", "a@gmial.com\x01"]) == [None, "a@gmail.com", None]
+
+
+def test_currency_words_are_literal(values):
+    assert values(number_rule(("$", "kr.")), ["$ 5,50", "7 kr.", "7 krx"]) == [5.5, 7.0, None]
