@@ -15,7 +15,10 @@ buckets with probability 1 - 5e-8.  Pairs are never listed within a whole bucket
    are similar enough are merged into components;
 3. buckets that still hold several components are compared across components: small ones whole,
    larger ones against hubs, of which every round takes more, until all such pairs are decided.
-   Pairs whose weights or signature bits rule the similarity out are not looked at.
+   Pairs whose weights, parities or signature bits rule the similarity out are not looked at.
+
+Parities: every unit of weight flips one of ``PARITIES`` bits, so two texts differ in at least as many
+units as bits.  That bound is certain; it decides nearly all pairs of texts of up to some 600 words.
 
 Similarity is verified on the whole texts.  Null texts are classes of their own; texts without words
 are duplicates if the texts are equal; repeated rows share a class.
@@ -24,10 +27,12 @@ are duplicates if the texts are equal; repeated rows share a class.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparktidy.llm._graph import components
@@ -38,9 +43,20 @@ SHINGLE = 5
 BANDS, ROWS = 32, 4
 T = BANDS * ROWS
 SMALL_BUCKET = 64
+PARITIES = 512  # bits, in longs of 64
+LONGS = PARITIES // 64
 MISMATCHES = 32  # of 128 signature bits; at similarity 0.8 expect 12.8, and more than 32 once in ten million
 
 
+OUTLINE = ["weight", "bits1", "bits2", *[f"odd{i}" for i in range(LONGS)]]  # what rules pairs out
+
+
+def units_of(value: np.ndarray, unit: np.ndarray) -> np.ndarray:
+    """One hash per shingle and unit of its weight."""
+    with np.errstate(over="ignore"):
+        return mix(value + np.uint64(0xD6E8FEB86659FD93) * unit.astype(np.uint64), 90)
+
+
 def weighted_shingles(texts: pa.Array, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``(doc, shingle, unit, weight of the doc)``: one entry per unit of weight."""
     doc, value = shingles(Words(texts), n)
@@ -56,8 +72,7 @@ def weighted_shingles(texts: pa.Array, n: int = SHINGLE) -> tuple[np.ndarray, np
 def dart_signatures(doc: np.ndarray, value: np.ndarray, unit: np.ndarray, weight: np.ndarray, t: int = T) -> np.ndarray:
     """Earliest dart of each coordinate, one row of ``t`` 64-bit dart names per document (0 without shingles)."""
     n = len(weight)
-    with np.errstate(over="ignore"):
-        element = mix(value + np.uint64(0xD6E8FEB86659FD93) * unit.astype(np.uint64), 90)
+    element = units_of(value, unit)
     bound = np.zeros(n)
     some = weight > 0
     bound[some] = (np.log(t) + 3) * t / weight[some]
@@ -100,6 +115,13 @@ def band_hashes(signatures: np.ndarray, bands: int = BANDS) -> np.ndarray:
         return mix(acc + np.arange(bands, dtype=np.uint64), 94)
 
 
+def parities(doc: np.ndarray, element: np.ndarray, n: int, bits: int = PARITIES) -> np.ndarray:
+    """Per document, whether an odd number of its elements fell on each bit, packed into longs."""
+    cell = doc * bits + (mix(element, 98) % np.uint64(bits)).astype(np.int64)
+    odd = (np.bincount(cell, minlength=n * bits) & 1).astype(bool)
+    return np.packbits(odd.reshape(n, bits), axis=1).view(np.int64)
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in row_slices(batch, "text"):
@@ -108,6 +130,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             signatures = dart_signatures(doc, value, unit, weight)
             bands = band_hashes(signatures).view(np.int64)
             bits = np.packbits((signatures & np.uint64(1)).astype(bool), axis=1).view(np.int64)
+            odd = parities(doc, units_of(value, unit), n)
             with np.errstate(over="ignore"):
                 marks = []
                 for seed in (95, 96):
@@ -116,8 +139,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     marks.append(mix(total + weight.astype(np.uint64), seed).view(np.int64))
             flat = pa.ListArray.from_arrays(np.arange(0, bands.size + 1, bands.shape[1], dtype=np.int32), pa.array(bands.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [part.column("row"), pa.array(weight.astype(np.int64)), *map(pa.array, marks), pa.array(bits[:, 0]), pa.array(bits[:, 1]), flat],
-                names=["row", "weight", "mark1", "mark2", "bits1", "bits2", "bands"],
+                [part.column("row"), pa.array(weight.astype(np.int64)), *map(pa.array, marks), *map(pa.array, bits.T.copy()), *map(pa.array, odd.T.copy()), flat],
+                names=["row", "weight", "mark1", "mark2", *OUTLINE[1:], "bands"],
             )
 
 
@@ -128,8 +151,7 @@ def _similar(least: float):
                 n = len(part)
                 both = pa.concat_arrays([part.column("text_a"), part.column("text_b")])
                 doc, value, unit, weight = weighted_shingles(both)
-                with np.errstate(over="ignore"):
-                    element = mix(value + np.uint64(0xD6E8FEB86659FD93) * unit.astype(np.uint64), 97)
+                element = units_of(value, unit)
                 pair = doc % n
                 order = np.lexsort((element, pair))
                 p, e = pair[order], element[order]
@@ -148,6 +170,18 @@ def verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return with_b.select("a", "b", "text_a", "text_b").mapInArrow(_similar(least), "a bigint, b bigint")
 
 
+def _may_be_similar(least: float, here: str = "", there: str = "hub_") -> Column:
+    """Whether the outlines of two rows leave a similarity of ``least`` possible."""
+
+    def unlike(names: list[str]) -> Column:
+        return reduce(add, [F.bit_count(F.col(here + c).bitwiseXOR(F.col(there + c))).cast("bigint") for c in names])
+
+    total = F.col(here + "weight") + F.col(there + "weight")
+    lighter, heavier = F.least(here + "weight", there + "weight"), F.greatest(here + "weight", there + "weight")
+    # units that are in one of two texts only: at most (1 - s) / (1 + s) of the total at similarity s
+    return (lighter >= heavier * least - 1e-6) & (unlike(OUTLINE[3:]) <= total * ((1 - least) / (1 + least)) + 1e-6) & (unlike(OUTLINE[1:3]) <= MISMATCHES)
+
+
 def _merge(links: DataFrame, buckets: DataFrame) -> DataFrame:
     """``buckets`` with the component ``label`` of each row."""
     labels = components(links)
@@ -162,7 +196,8 @@ def near_classes(docs: DataFrame, row: str, text: str = "text", least: float = 0
     ``row`` should identify a text; rows that repeat an id take part with one of its texts.
     """
     texts = docs.select(F.col(row).alias("row"), F.col(text).cast("string").alias("text"))
-    signed = stage(texts.filter("text is not null").mapInArrow(_sign, "row bigint, weight bigint, mark1 bigint, mark2 bigint, bits1 bigint, bits2 bigint, bands array<bigint>"), "signatures")
+    fields = ", ".join(f"{c} bigint" for c in ("row", "weight", "mark1", "mark2", *OUTLINE[1:]))
+    signed = stage(texts.filter("text is not null").mapInArrow(_sign, f"{fields}, bands array<bigint>"), "signatures")
     # texts without words are equal only if they are the same
     bare = texts.filter("text is not null").join(signed.filter("weight = 0").select("row").distinct(), "row", "left_semi")
     bare = bare.select("row", F.md5("text").alias("digest"))
@@ -172,7 +207,7 @@ def near_classes(docs: DataFrame, row: str, text: str = "text", least: float = 0
     classes = worded.select("row", "mark1", "mark2").join(firsts, ["mark1", "mark2"]).select("row", "class")
     classes = stage(classes.unionByName(bare_class).groupBy("row").agg(F.min("class").alias("class")), "classes")
 
-    outlines = worded.select("row", "weight", "bits1", "bits2").dropDuplicates(["row"])
+    outlines = worded.select("row", *OUTLINE).dropDuplicates(["row"])
     heads = worded.join(classes.filter("row = class").select("row"), "row", "left_semi")
     # one row of each class: repeated rows have the same bands
     members = heads.select("row", F.posexplode("bands").alias("band", "hash")).select("row", F.xxhash64("band", "hash").alias("bucket")).distinct()
@@ -190,11 +225,8 @@ def near_classes(docs: DataFrame, row: str, text: str = "text", least: float = 0
             break
         hubs *= 8
         chosen = (F.col("n") <= SMALL_BUCKET) | (F.pmod(F.xxhash64("row", F.lit(hubs)), F.col("n")) < hubs)
-        hub_rows = open_rows.filter(chosen).select("bucket", *[F.col(c).alias("hub" if c == "row" else "hub_" + c) for c in ("row", "label", "weight", "bits1", "bits2")])
-        close = (F.least("weight", "hub_weight") >= F.greatest("weight", "hub_weight") * least) & (
-            F.bit_count(F.col("bits1").bitwiseXOR(F.col("hub_bits1"))) + F.bit_count(F.col("bits2").bitwiseXOR(F.col("hub_bits2"))) <= MISMATCHES
-        )
-        met = open_rows.join(hub_rows, "bucket").filter((F.col("label") != F.col("hub_label")) & close)
+        hub_rows = open_rows.filter(chosen).select("bucket", *[F.col(c).alias("hub" if c == "row" else "hub_" + c) for c in ("row", "label", *OUTLINE)])
+        met = open_rows.join(hub_rows, "bucket").filter((F.col("label") != F.col("hub_label")) & _may_be_similar(least))
         fresh = met.select(F.least("row", "hub").alias("b"), F.greatest("row", "hub").alias("a")).distinct()
         fresh = stage(fresh.join(tried, ["a", "b"], "left_anti").select("a", "b"), "pairs")
         links = stage(links.unionByName(verify(fresh, texts, least).distinct()), "links")
