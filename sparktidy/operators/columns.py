@@ -39,16 +39,15 @@ def as_text(df: DataFrame, except_for: Sequence[str] = ()) -> DataFrame:
 
 def match_headers(columns: Sequence[str], synonyms: Mapping[str, Iterable[str]]) -> dict[str, str]:
     """``{canonical name: source column}``; raises before any job starts."""
-    wanted = {
-        header_key(alias): canonical
-        for canonical, aliases in synonyms.items()
-        for alias in [canonical, *aliases]
-    }
-    sources: dict[str, list[str]] = {}
+    headers: dict[str, list[str]] = {}
     for name in columns:
-        canonical = wanted.get(header_key(name), name)
-        if canonical in synonyms:
-            sources.setdefault(canonical, []).append(name)
+        headers.setdefault(header_key(name), []).append(name)
+    sources: dict[str, list[str]] = {}
+    for canonical in reversed(list(synonyms)):  # an alias of several names goes to the last
+        keys = map(header_key, (canonical, *synonyms[canonical]))
+        found = [name for key in keys for name in headers.pop(key, [])]
+        if found:
+            sources[canonical] = found
     missing = sorted(set(synonyms) - set(sources))
     if missing:
         raise MissingColumnsError(f"no header for {missing}; the table has {list(columns)}")

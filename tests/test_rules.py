@@ -33,11 +33,12 @@ CASES = {
         ("<NA>", None), ("a   b", "a b"), ("a\x1fb", "a b"),
     ],
     normalize_key: [
-        ("Łódź", "lodz"), ("LODZ ", "lodz"), ("łódź!", "lodz"), ("!!", ""), ("brak", None), (None, None), ("ﬁn ½", "fin"),
+        ("Łódź", "lodz"), ("LODZ ", "lodz"), ("łódź!", "lodz"), ("!!", ""), ("brak", None), (None, None), ("ﬁn ½", "fin12"),
+        ("Poz. №5", "pozno5"), ("Marka™", "markatm"), ("Ⅳ…", "iv"), ("𝐀b", "ab"), ("ǆ㎏", "dzkg"),
     ],
     strip_accents: [
         ("Zażółć gęślą jaźń Łódź", "Zazolc gesla jazn Lodz"), ("é", "e"), ("ﬃ", "ffi"), ("ø", "ø"), ("Ａ", "A"), (None, None),
-        ("ẛ̣", "s"),
+        ("ẛ̣", "s"), ("a…½ł", "a...1⁄2l"), ("№ ™ Ⅳ ǆ 𝟗", "No TM IV dz 9"),
     ],
     normalize_person_name: [
         ("  pani ANNA   kowalska-NOWAK ", "Anna Kowalska-Nowak"), ("dr jan nowak", "Jan Nowak"), ("INŻ. ŁUKASZ ŻAK", "Łukasz Żak"),
@@ -117,7 +118,7 @@ def test_split_full_name(spark):
 
 
 def test_header_key_matches_column_rule(values):
-    names = [" Kod poczt. ", "Wartość zamówień (PLN)", "Ilość", "__x__", "Nr  paragonu"]
+    names = [" Kod poczt. ", "Wartość zamówień (PLN)", "Ilość", "__x__", "Nr  paragonu", "Stan №2 / ½ szt.™"]
     assert values(column_key, names) == [header_key(n) for n in names]
 
 
