@@ -7,7 +7,9 @@ whatever the number of holders, and no frequent line is left out.
 
 Each pair is aligned by patience diff: equal lines at both ends, then lines that are unique on either
 side in their longest common order, then the gaps between them likewise.  What stays unaligned is
-aligned anew, for blocks that changed their order.  Blocks of at least ``KEY_WORDS`` words count.  A
+aligned anew, for blocks that changed their order.  Blocks of at least ``KEY_WORDS`` words count; those
+that patience diff leaves out, as their lines are not unique or cross a longer chain, are matched by
+their windows of so many words, so no block that both documents hold stays unaligned.  A
 document loses the runs of lines that are aligned with earlier documents, if a run has at least
 ``min_words`` words; the first holder keeps them.
 
@@ -21,6 +23,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -33,6 +36,7 @@ from sparktidy.workspace import stage
 
 KEY_WORDS = 8
 _SIGNED = 1 << 63
+_PRIME, _BASE = (1 << 61) - 1, 0x1B873593CC9E2D51 % ((1 << 61) - 1)
 
 
 def _hash(line: str) -> int:
@@ -116,8 +120,55 @@ def patience(a: Sequence[int], b: Sequence[int], first: int = 0, end: int | None
     return sorted(out, key=lambda pair: pair[1])
 
 
+def _windows(lines: Sequence[int], words: Sequence[int], first: int, end: int) -> Iterator[tuple[int, int, tuple[int, int]]]:
+    """``(begin, end, (size, hash))`` of the shortest windows of KEY_WORDS words that begin or end at each line."""
+    sums, powers, total = [0], [1], [0]
+    for x, n in zip(lines[first:end], words[first:end]):
+        sums.append((sums[-1] * _BASE + x) % _PRIME)
+        powers.append(powers[-1] * _BASE % _PRIME)
+        total.append(total[-1] + n)
+    spans, high, low = set(), 0, 0
+    for i in range(end - first):
+        while high < end - first and total[high] - total[i] < KEY_WORDS:
+            high += 1
+        if total[high] - total[i] >= KEY_WORDS:
+            spans.add((i, high))
+        while total[i + 1] - total[low + 1] >= KEY_WORDS:
+            low += 1
+        if total[i + 1] - total[low] >= KEY_WORDS:
+            spans.add((low, i + 1))
+    for i, j in spans:
+        yield first + i, first + j, (j - i, (sums[j] - sums[i] * powers[j - i]) % _PRIME)
+
+
+def shared_windows(a: Sequence[int], b: Sequence[int], words: Sequence[int]) -> set[int]:
+    """Lines of ``b`` in windows that ``a`` holds anywhere: the union of all equal blocks of KEY_WORDS words.
+
+    Every line of such a block is in the window that begins at it or in the one that ends with the block.
+    """
+
+    def parts(lines: Sequence[int], other: set[int]) -> Iterator[tuple[int, int]]:
+        begin = 0
+        for i, x in enumerate(lines):
+            if x not in other:
+                yield begin, i
+                begin = i + 1
+        yield begin, len(lines)
+
+    size = dict(zip(b, words))
+    own = [size.get(x, 0) for x in a]
+    held = {key for first, end in parts(a, set(b)) for *_, key in _windows(a, own, first, end)}
+    turns = [0] * (len(b) + 1)  # windows that begin at a line, less those that end before it
+    for first, end in parts(b, set(a)):
+        for i, j, key in _windows(b, words, first, end):
+            if key in held:
+                turns[i] += 1
+                turns[j] -= 1
+    return {i for i, n in enumerate(accumulate(turns)) if n}
+
+
 def aligned_lines(a: Sequence[int], b: Sequence[int], words: Sequence[int]) -> list[int]:
-    """Lines of ``b`` in blocks, contiguous on both sides, of at least KEY_WORDS words."""
+    """Lines of ``b`` in blocks, contiguous on both sides, of at least KEY_WORDS words: all such lines."""
     found: set[int] = set()
     todo = [(0, len(b))]
     while todo:
@@ -138,6 +189,9 @@ def aligned_lines(a: Sequence[int], b: Sequence[int], words: Sequence[int]) -> l
             todo.append((first, start))
             first = stop
         todo.append((first, end))
+    own = set(a)
+    if any(x in own and i not in found for i, x in enumerate(b)):
+        found |= shared_windows(a, b, words)
     return sorted(found)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from sparktidy.llm import licenses, near_dup, pieces, quality, repeats, toxicity
 from sparktidy.llm.decontaminate import MASKS, find_leaks
-from sparktidy.llm.line_dedup import drop_repeated_blocks, patience
+from sparktidy.llm.line_dedup import KEY_WORDS, aligned_lines, drop_repeated_blocks, patience
 from sparktidy.llm.queries import ORACLES, PIECES, QUERIES, URL_RULES
 from sparktidy.llm.topk import top_inner_products
 from sparktidy.llm.url_filter import filter_urls
@@ -242,6 +242,27 @@ def test_line_dedup(spark):
     assert drop_repeated_blocks(docs_of(spark, []), "doc_id").count() == 0
 
 
+def test_passages_that_occur_twice(spark):
+    passage = " ".join(f"p{i}" for i in range(55))
+    texts = [f"a\n{passage}\nc\n{passage}\nd", f"x\n{passage}\nz", "e\nf", f"y\n{passage}\nv\n{passage}\nw"]
+    got = {r.doc_id: r.text for r in drop_repeated_blocks(docs_of(spark, texts), "doc_id").collect()}
+    assert got == {0: texts[0], 1: "x\nz", 2: "e\nf", 3: "y\nv\nw"}
+    assert aligned_lines([1, 9, 2], [3, 9, 4, 9, 5], [1, 55, 1, 55, 1]) == [1, 3]
+
+
+def test_aligned_lines_against_brute_force():
+    rng = np.random.default_rng(3)
+    size = [0, 0, 1, 2, 3, 5, 9, 20]
+    for _ in range(400):
+        a, b = ([int(x) for x in rng.integers(0, 8, rng.integers(0, 14))] for _ in range(2))
+        held = {tuple(a[i:j]) for i in range(len(a)) for j in range(i + 1, len(a) + 1)}
+        want = set()
+        for i, j in combinations(range(len(b) + 1), 2):
+            if tuple(b[i:j]) in held and sum(size[x] for x in b[i:j]) >= KEY_WORDS:
+                want.update(range(i, j))
+        assert aligned_lines(a, b, [size[x] for x in b]) == sorted(want)
+
+
 # Top-k
 
 
