@@ -250,6 +250,13 @@ def test_passages_that_occur_twice(spark):
     assert aligned_lines([1, 9, 2], [3, 9, 4, 9, 5], [1, 55, 1, 55, 1]) == [1, 3]
 
 
+def test_passage_that_shorter_lines_cross(spark):
+    passage = " ".join(f"p{i}" for i in range(55))
+    texts = [f"Home\nu\nAbout\nv\nContact\nw\n{passage}\ne", f"f\n{passage}\nHome\nm\nAbout\nn\nContact\nk"]
+    got = {r.doc_id: r.text for r in drop_repeated_blocks(docs_of(spark, texts), "doc_id").collect()}
+    assert got == {0: texts[0], 1: "f\nHome\nm\nAbout\nn\nContact\nk"}
+
+
 def test_aligned_lines_against_brute_force():
     rng = np.random.default_rng(3)
     size = [0, 0, 1, 2, 3, 5, 9, 20]
