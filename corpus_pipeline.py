@@ -4,8 +4,8 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is wri
 the documents of the next one.  Toxic documents go; lines that an earlier document holds are cut, and a
 document of which nothing stays goes; one document of each class of near duplicates stays; documents
 with a benchmark item go; the rest is encoded.  Columns, further ones included, stay as they are, but
-for ``text`` and ``n_chars`` of a document that lost lines.  Rows with a null id or text pass all
-filters.
+for ``text`` and ``n_chars`` of a document that lost lines.  Rows with a null text pass all filters; those
+with a null id take no part in deduplication, but a toxic or leaking one goes.
 """
 
 from __future__ import annotations

@@ -81,10 +81,16 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_i
 
     ``matched`` of ``window`` words agree; ``begin`` is the word of the document at which they start.
     """
-    return _leaks(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), items, item_id, text)
+    found = _leaks(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), items, item_id, text)
+    found = found.groupBy("doc_id", "item_id").agg(
+        F.max("item_words").alias("item_words"),
+        F.max(F.struct(F.col("best.matched").alias("matched"), (F.col("best.begin") - F.col("diagonal")).alias("begin"))).alias("best"),
+    )
+    return found.select("doc_id", "item_id", "item_words", "best.matched", F.least("item_words", F.lit(WINDOW)).alias("window"), (-F.col("best.begin")).alias("begin"))
 
 
 def _leaks(docs: DataFrame, items: DataFrame, item_id: str, text: str) -> DataFrame:
+    """The leaking diagonals; ``copy``, the hash of the text, tells apart the rows of one id or without one."""
     known = items.select(F.col(item_id).alias("item_id"), F.col(text).alias("text")).withColumn("item", words_of(F.col("text"))).filter(F.size("item") >= len(MASKS[0])).distinct()
     wanted = _positions(known, "text", ["item_id"], "item_at")
     known = known.drop("text")
@@ -95,18 +101,14 @@ def _leaks(docs: DataFrame, items: DataFrame, item_id: str, text: str) -> DataFr
     texts = docs.withColumn("copy", F.xxhash64("text"))
     met = texts.join(hits, texts.doc_id.eqNullSafe(hits.hit_id) & (texts.copy == hits.hit_copy))
     agreement = _let(words_of(F.col("text")), lambda words: _agreement(words, F.col("item"), F.col("diagonal")))
-    best = met.select("doc_id", "item_id", F.size("item").alias("item_words"), "diagonal", _let(agreement, _best_window).alias("best"))
+    best = met.select("doc_id", "copy", "item_id", F.size("item").alias("item_words"), "diagonal", _let(agreement, _best_window).alias("best"))
     window = F.least("item_words", F.lit(WINDOW))
     enough = F.when(F.col("item_words") < WINDOW, F.col("best.matched") == F.col("item_words")).otherwise(F.col("best.matched") >= F.ceil(window * F.lit(SHARE)))
-    found = best.filter(enough).groupBy("doc_id", "item_id").agg(
-        F.max("item_words").alias("item_words"),
-        F.max(F.struct(F.col("best.matched").alias("matched"), (F.col("best.begin") - F.col("diagonal")).alias("begin"))).alias("best"),
-    )
-    return found.select("doc_id", "item_id", "item_words", "best.matched", F.least("item_words", F.lit(WINDOW)).alias("window"), (-F.col("best.begin")).alias("begin"))
+    return best.filter(enough)
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """``docs`` without the documents into which an item leaked; all their rows and columns stay as they are."""
+    """``docs`` without the rows into whose text an item leaked; the others and all columns stay as they are."""
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    leaked = bounded(_leaks(plain, items, item_id, text).select(F.col("doc_id").alias("__leaked")).distinct())
-    return docs.join(leaked, F.col(doc_id).eqNullSafe(F.col("__leaked")), "left_anti")
+    leaked = bounded(_leaks(plain, items, item_id, text).select(F.col("doc_id").alias("__leaked"), F.col("copy").alias("__copy")).distinct())
+    return docs.join(leaked, docs[doc_id].eqNullSafe(F.col("__leaked")) & (F.xxhash64(docs[text]) == F.col("__copy")), "left_anti")

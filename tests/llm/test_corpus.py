@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sparktidy.llm import licenses, near_dup, pieces, quality, repeats, toxicity
-from sparktidy.llm.decontaminate import MASKS, find_leaks
+from sparktidy.llm.decontaminate import MASKS, drop_leaks, find_leaks
 from sparktidy.llm.line_dedup import KEY_WORDS, aligned_lines, drop_repeated_blocks, patience
 from sparktidy.llm.queries import ORACLES, PIECES, QUERIES, URL_RULES
 from sparktidy.llm.topk import top_inner_products
@@ -113,6 +113,15 @@ def test_leaks(spark):
     assert find_leaks(docs_of(spark, []), items).count() == 0 and find_leaks(docs_of(spark, texts), items.limit(0)).count() == 0
 
 
+def test_leaks_go_by_row(spark):
+    item = " ".join(f"word{i}" for i in range(30))
+    items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    rows = [(None, "it says " + item), (None, "clean"), (None, None), (1, item), (1, "clean too"), (2, "other")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = [tuple(r) for r in drop_leaks(docs, items).collect()]
+    assert sorted(got, key=str) == sorted([rows[1], rows[2], rows[4], rows[5]], key=str)
+
+
 # Scores
 
 
@@ -223,9 +232,6 @@ def test_licenses(spark):
     assert not {d for d, _ in got} & {3, 4, 5, 6} and (7, "apache-2.0-header") not in got
 
 
-# Line dedup
-
-
 def test_patience():
     assert patience([1, 2, 3, 4], [1, 9, 3, 4]) == [(0, 0), (2, 2), (3, 3)]
     assert patience([1, 2, 3], [7, 2, 8]) == [(1, 1)]
