@@ -9,7 +9,10 @@ probability 1 - (1 - s)^24, that is 1 when nothing in the window was altered and
 Templates of fewer than 11 shingles are looked up shingle by shingle, which misses none.
 
 A hit is verified on the whole text: the positions of the template's shingles, cut where more than
-``q`` others lie between, must hold at least ``least`` (0.8) of its distinct shingles.  A passage inside another one that a template fits better is left out.
+``q`` others lie between and where the template starts over, must hold at least ``least`` (0.8) of its
+distinct shingles.  It starts over where a shingle comes once more than in the template, at the farthest
+step back before it; parts that complete each other and repeat no more than ``1 - least`` of the template
+are one passage with a stutter.  A passage inside another one that a template fits better is left out.
 
 Null and empty texts hold nothing.  Texts of fewer than five words hold no license, and templates of
 fewer than five words are an error.  Repeated rows are reported each.  ``TEMPLATES_A_PASS`` bounds what
@@ -105,6 +108,10 @@ def template_index(templates: Mapping[str, str]) -> dict:
     names = list(templates)
     doc, value = shingles(Words(pa.array([templates[n] for n in names])), 5)
     sets = [np.unique(value[doc == i]) for i in range(len(names))]
+    places = []  # of each shingle of a template: where it comes first, and how often
+    for i in range(len(names)):
+        _, at, times = np.unique(value[doc == i], return_index=True, return_counts=True)
+        places.append((at, times))
     if any(len(Words(pa.array([templates[n]])).hash) < 5 for n in names):
         raise ValueError("a template needs five words")
     entries: dict[int, list[tuple[int, int]]] = {0: []}
@@ -122,7 +129,7 @@ def template_index(templates: Mapping[str, str]) -> dict:
     for key, rows in entries.items():
         rows = sorted(set(rows))
         tables[key] = (np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows], np.int64))
-    return {"names": names, "sets": sets, "tables": tables}
+    return {"names": names, "sets": sets, "places": places, "tables": tables}
 
 
 def _lookup(table: tuple[np.ndarray, np.ndarray], wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,6 +142,44 @@ def _lookup(table: tuple[np.ndarray, np.ndarray], wanted: np.ndarray) -> tuple[n
     return np.repeat(hit, times), template[at]
 
 
+def occurrences(found: np.ndarray, at: np.ndarray, times: np.ndarray, least: float) -> Iterator[tuple[int, int]]:
+    """``(begin, end)`` of the occurrences of one template among its ``found`` shingles, given by number."""
+    if (np.bincount(found, minlength=len(at)) <= times).all():
+        yield 0, len(found)
+        return
+    step = np.diff(at[found], prepend=at[found[0]])
+    parts, begin, where = [], 0, [[] for _ in at]
+    for t, x in enumerate(found.tolist()):
+        where[x].append(t)
+        inside = [p for p in where[x][-int(times[x]) - 1 :] if p >= begin]
+        if len(inside) > times[x]:
+            near = step[inside[-2] + 1 : t + 1]
+            start = t - int(np.argmin(near[::-1]))
+            parts.append((begin, start))
+            begin = start
+    parts.append((begin, len(found)))
+    kinds = [set(found[a:b].tolist()) for a, b in parts]
+    whole = [len(x) / len(at) >= least for x in kinds]
+    slack = (1 - least) * len(at) + 1e-9
+    k = 0
+    while k < len(parts):
+        best, seen, repeated = k, set(kinds[k]), 0
+        most, later, rest = len(seen), 0, set()
+        for j in range(k + 1, len(parts)):
+            repeated += len(seen & kinds[j])
+            if repeated > slack or whole[j] and any(whole[k:j]):
+                break
+            seen |= kinds[j]
+            rest |= kinds[j]
+            if len(seen) > most:
+                best, most, later = j, len(seen), len(rest)
+        if whole[k] or most / len(at) >= least and most > later:
+            yield parts[k][0], parts[best][1]
+            k = best + 1
+        else:
+            k += 1
+
+
 def scan_batch(texts: pa.Array, index: dict, least: float) -> Iterator[tuple[int, str, int, int, float]]:
     """``(doc, license, first word, words, containment)`` of all passages."""
     doc, value = shingles(words := Words(texts), 5)
@@ -155,9 +200,13 @@ def scan_batch(texts: pa.Array, index: dict, least: float) -> Iterator[tuple[int
         own, wanted = value[first[d] : first[d + 1]], index["sets"][i]
         at = np.flatnonzero(np.isin(own, wanted))
         for cluster in np.split(at, np.flatnonzero(np.diff(at) > len(wanted)) + 1):
-            share = len(np.unique(own[cluster])) / len(wanted)
-            if share >= least:
-                passages.append((d, index["names"][i], int(cluster[0]), int(cluster[-1] - cluster[0] + 5), share))
+            if len(cluster) / len(wanted) < least:
+                continue
+            for begin, end in occurrences(np.searchsorted(wanted, own[cluster]), *index["places"][i], least):
+                part = cluster[begin:end]
+                share = len(np.unique(own[part])) / len(wanted)
+                if share >= least:
+                    passages.append((d, index["names"][i], int(part[0]), int(part[-1] - part[0] + 5), share))
     by_doc: dict[int, list[tuple[int, str, int, int, float]]] = {}
     for x in passages:
         by_doc.setdefault(x[0], []).append(x)

@@ -232,6 +232,27 @@ def test_licenses(spark):
     assert not {d for d, _ in got} & {3, 4, 5, 6} and (7, "apache-2.0-header") not in got
 
 
+def test_licenses_in_a_row(spark):
+    long = licenses.TEMPLATES["gpl-header"]
+    w = long.split()
+    n = len(w)
+
+    def part(first, end):
+        return " ".join(w[int(first * n) : int(end * n)])
+
+    texts = [f"{long} {long} {long}", f"{part(0, 0.6)} {part(0.3, 1)}", f"{part(0, 0.5)} {part(0.1, 0.25)} {part(0.5, 1)}", f"{part(0.1, 1)} x {long}", f"{part(0, 0.2)} {long}", f"{part(0.5, 1)} {part(0, 0.5)}"]
+    got = defaultdict(list)
+    for r in licenses.scan_licenses(docs_of(spark, texts)).filter("license = 'gpl-header'").orderBy("doc_id", "first_word").collect():
+        got[r.doc_id].append((r.first_word, r.n_words, r.containment == 1))
+    size = len(words(long))
+    assert got[0] == [(k * size, size, True) for k in range(3)]
+    assert 1 not in got and len(got[2]) == 1 and len(got[5]) == 1
+    assert [whole for *_, whole in got[3]] == [False, True] and got[3][1][1] == size
+    assert len(got[4]) == 1 and got[4][0][1] == size
+
+# Line dedup
+
+
 def test_patience():
     assert patience([1, 2, 3, 4], [1, 9, 3, 4]) == [(0, 0), (2, 2), (3, 3)]
     assert patience([1, 2, 3], [7, 2, 8]) == [(1, 1)]
