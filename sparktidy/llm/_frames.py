@@ -34,3 +34,16 @@ def sample_by_hash(df: DataFrame, column: str, rows: int) -> DataFrame:
         return df
     scale = 1 << 40
     return df.filter(F.pmod(F.xxhash64(column, F.lit(17)), F.lit(scale)) < int(scale * rows / total))
+
+
+def sample_by_count(df: DataFrame, column: str, rows: int) -> DataFrame:
+    """At most about ``rows`` of the distinct rows, with the ``weight`` of each; ``column`` decides the others.
+
+    A value of ``n`` rows is taken with ``n`` times the chance of a single one, by its hash, and
+    surely from a chance of one on; it then weighs as many rows of the sample as its share.
+    """
+    share = min(1.0, rows / max(df.count(), 1))
+    scale = 1 << 40
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    drawn = counted.filter(F.pmod(F.xxhash64(column, F.lit(17)), F.lit(scale)) < F.col("weight") * F.lit(scale * share))
+    return drawn.withColumn("weight", F.greatest(F.col("weight") * share, F.lit(1.0)))

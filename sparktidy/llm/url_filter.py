@@ -1,8 +1,9 @@
 """URL verdicts: host and path rules first, gradient-boosted trees on lexical features for the rest.
 
-The URLs that a rule judges are the labelled ones.  A sample of them, chosen by hash (about
-``sample`` rows, never more than four times as many) trains the trees and gives the suffix statistics: per last host label, the smoothed
-share of blocked URLs.  All features are built-in expressions; trees come from ``pyspark.ml``.
+The URLs that a rule judges are the labelled ones.  A sample of them (about ``sample`` rows at most)
+trains the trees and gives the suffix statistics: per last host label, the smoothed share of blocked
+URLs.  It is chosen by hash among the distinct URLs, with a chance and a weight by their number of rows:
+a URL of many rows is one row of the sample, weighted by all its rows, and crowds out none.  All features are built-in expressions; trees come from ``pyspark.ml``.
 
 Nulls and texts without ``://`` have an empty host and path, match no rule and get the method's
 verdict.  Without both kinds of label no tree can be grown, and the verdict is ``default``.
@@ -18,7 +19,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparktidy.llm._frames import sample_by_hash
+from sparktidy.llm._frames import sample_by_count
 from sparktidy.workspace import stage
 
 ADDED = ("host", "path", "rule", "verdict", "block_score")
@@ -115,24 +116,22 @@ def filter_urls(
     judged = judge_by_rules(df, url, rules)
     numbers = F.array(*lexical_features(F.col(url), F.col("host"), F.col("path")).values())
     suffix = F.substring_index("host", ".", -1)
-    labelled = (
-        judged.filter("rule_action is not null")
-        .select(url, suffix.alias("suffix"), numbers.alias("numbers"), (F.col("rule_action") == "block").cast("double").alias("label"))
-    )
-    train = stage(sample_by_hash(labelled, url, sample).limit(4 * sample), "url-labels")
-    kinds = train.agg(F.count_distinct("label"), F.avg("label")).first()
+    labelled = judged.filter("rule_action is not null").select(url, "host", "path", (F.col("rule_action") == "block").cast("double").alias("label"))
+    drawn = sample_by_count(labelled, url, sample).limit(4 * sample)
+    train = stage(drawn.select(suffix.alias("suffix"), numbers.alias("numbers"), "label", "weight"), "url-labels")
+    kinds = train.agg(F.count_distinct("label"), F.sum(F.col("label") * F.col("weight")) / F.sum("weight")).first()
     if kinds[0] < 2:
         return judged.select(*results, F.coalesce("rule_action", F.lit(default)).alias("verdict"), F.lit(None).cast("double").alias("block_score"))
     prior = float(kinds[1])
     # no more rows than the sample
-    rates = F.broadcast(train.groupBy("suffix").agg(((F.sum("label") + 20 * prior) / (F.count("label") + 20)).alias("rate")))
+    rates = F.broadcast(train.groupBy("suffix").agg(((F.sum(F.col("label") * F.col("weight")) + 20 * prior) / (F.sum("weight") + 20)).alias("rate")))
 
     def vectors(part: DataFrame) -> DataFrame:
         joined = part.join(rates, "suffix", "left")
         return joined.withColumn("__x", array_to_vector(F.concat("numbers", F.array(F.coalesce("rate", F.lit(prior))))))
 
-    model = GBTClassifier(featuresCol="__x", labelCol="label", maxIter=trees, maxDepth=depth, maxBins=32, seed=seed).fit(
-        vectors(train).select("__x", "label").coalesce(4)
+    model = GBTClassifier(featuresCol="__x", labelCol="label", weightCol="weight", maxIter=trees, maxDepth=depth, maxBins=32, seed=seed).fit(
+        vectors(train).select("__x", "label", "weight").coalesce(4)
     )
     fresh = judged.withColumn("suffix", suffix).withColumn("numbers", numbers)
     scored = model.transform(vectors(fresh))

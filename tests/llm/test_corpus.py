@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sparktidy.llm import licenses, near_dup, pieces, quality, repeats, toxicity
+from sparktidy.llm._frames import sample_by_count
 from sparktidy.llm.decontaminate import MASKS, drop_leaks, find_leaks
 from sparktidy.llm.line_dedup import KEY_WORDS, aligned_lines, drop_repeated_blocks, patience
 from sparktidy.llm.queries import ORACLES, PIECES, QUERIES, URL_RULES
@@ -52,6 +53,16 @@ def test_url_rules_and_edges(spark):
     assert filter_urls(pages.limit(0), URL_RULES).count() == 0
 
 
+def test_urls_of_many_rows_are_sampled(spark):
+    urls = ["http://a.com/x"] * 300 + ["http://b.example.com/en/1"] * 300 + ["http://c.org/"]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id bigint, url string")
+    assert filter_urls(pages, URL_RULES, sample=4).filter("block_score is null").count() == 0
+    many = spark.createDataFrame([("http://hot.com/",)] * 3000 + [(f"http://b{i}.com/",) for i in range(3000)], "url string")
+    drawn = sample_by_count(many, "url", 400).collect()
+    assert {r.url: r.weight for r in drawn}["http://hot.com/"] == 200
+    assert 120 < len(drawn) < 300 and all(r.weight == 1 for r in drawn if r.url != "http://hot.com/")
+
+
 # Exact substrings
 
 
