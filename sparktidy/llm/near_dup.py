@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparktidy.llm._frames import bounded
 from sparktidy.llm._graph import components
 from sparktidy.llm._text import Words, mix, row_slices, shingles
 from sparktidy.workspace import stage
@@ -193,9 +194,36 @@ def near_classes(docs: DataFrame, row: str, text: str = "text", least: float = 0
     """``(row, class_id)`` for the distinct values of the bigint ``row``: rows of one class are linked, directly
     or through others, by similarities of at least ``least``; the class id is the smallest row.
 
-    ``row`` should identify a text; rows that repeat an id take part with one of its texts.
+    An id of unlike texts has a row for each of their classes.  If the smallest member of a class is such a
+    text, but not the one of the smallest hash, a hash of id and text is the class id.
     """
     texts = docs.select(F.col(row).alias("row"), F.col(text).cast("string").alias("text"))
+    repeated = _repeated_ids(texts)
+    if repeated is None:
+        return _classes(texts, least)
+    return _unit_classes(texts, repeated, least).select("row", F.col("own.unit").alias("class_id")).distinct()
+
+
+def _repeated_ids(texts: DataFrame) -> DataFrame | None:
+    """``(id, first_mark)`` of the ids of unlike texts, told apart by their hash; None without such ids."""
+    marks = texts.filter("row is not null").groupBy(F.col("row").alias("id")).agg(F.min(F.xxhash64("text")).alias("first_mark"), F.max(F.xxhash64("text")).alias("last_mark"))
+    repeated = stage(marks.filter("first_mark <> last_mark").select("id", "first_mark"), "repeated-ids")
+    return None if repeated.isEmpty() else repeated
+
+
+def _unit_classes(texts: DataFrame, repeated: DataFrame, least: float) -> DataFrame:
+    """``(row, mark, own)`` for each text of each id: ``own`` is the ``(row, mark, unit)`` of the smallest of its class."""
+    marked = texts.filter("row is not null").withColumn("mark", F.xxhash64("text")).join(bounded(repeated), F.col("row") == F.col("id"), "left")
+    number = F.when(F.col("first_mark").isNull() | (F.col("mark") == F.col("first_mark")), F.col("row")).otherwise(F.xxhash64("row", "mark", F.lit(5)))
+    units = stage(marked.select("row", "mark", number.alias("unit"), "text"), "units")
+    classes = _classes(units.select(F.col("unit").alias("row"), "text"), least).withColumnRenamed("row", "unit")
+    classed = stage(units.select("row", "mark", "unit").distinct().join(classes, "unit"), "unit-classes")
+    owners = classed.groupBy("class_id").agg(F.min(F.struct("row", "mark", "unit")).alias("own"))
+    return classed.join(owners, "class_id").select("row", "mark", "own")
+
+
+def _classes(texts: DataFrame, least: float) -> DataFrame:
+    """``(row, class_id)`` of texts whose ``row`` identifies them."""
     fields = ", ".join(f"{c} bigint" for c in ("row", "weight", "mark1", "mark2", *OUTLINE[1:]))
     signed = stage(texts.filter("text is not null").mapInArrow(_sign, f"{fields}, bands array<bigint>"), "signatures")
     # texts without words are equal only if they are the same
@@ -240,9 +268,24 @@ def near_classes(docs: DataFrame, row: str, text: str = "text", least: float = 0
 
 
 def keep_one_of_each(docs: DataFrame, row: str, text: str = "text", least: float = 0.8) -> DataFrame:
-    """``docs`` without the rows whose class has a smaller id; all columns stay as they are.
+    """``docs`` with one row of each class, of its smallest id; all columns stay as they are.
 
-    Rows without an id belong to no class and stay.
+    Texts of one id are classed each.  Rows without an id or text belong to no class and stay.
     """
-    later = near_classes(docs, row, text, least).filter("row <> class_id").select(F.col("row").alias("__later"))
-    return docs.join(later, docs[row] == F.col("__later"), "left_anti")
+    texts = docs.select(F.col(row).alias("row"), F.col(text).cast("string").alias("text"))
+    repeated = _repeated_ids(texts)
+    mark = F.xxhash64(docs[text].cast("string"))
+    if repeated is None:
+        later = _classes(texts, least).filter("row <> class_id").select(F.col("row").alias("__later"))
+        kept = docs.join(later, docs[row] == F.col("__later"), "left_anti")
+    else:
+        later = _unit_classes(texts, repeated, least).filter("struct(row, mark) <> struct(own.row, own.mark)")
+        later = later.select(F.col("row").alias("__later"), F.col("mark").alias("__mark"))
+        kept = docs.join(later, (docs[row] == F.col("__later")) & (mark == F.col("__mark")), "left_anti")
+    # equal texts of one id: counted apart, as hardly any row is one
+    held = texts.filter("row is not null and text is not null").groupBy(F.col("row").alias("__id"), F.xxhash64("text").alias("__mark"))
+    again = stage(held.count().filter("count > 1").select("__id", "__mark"), "repeated-rows")
+    if again.isEmpty():
+        return kept
+    same = (docs[row] == F.col("__id")) & (mark == F.col("__mark"))
+    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates([row, text]))

@@ -208,6 +208,19 @@ def test_near_classes_against_brute_force(spark, real):
     assert near_dup.near_classes(docs_of(spark, []), "doc_id").count() == 0
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    x, y, z = (" ".join(f"{c}{i}" for i in range(40)) for c in "xyz")
+    rows = docs_of(spark, [x, x, y, y, z, z, None, None, x], [3, 5, 5, 7, 8, 8, 9, 9, None])
+    got = [(r.doc_id, r.text) for r in near_dup.keep_one_of_each(rows, "doc_id").collect()]
+    assert sorted(got, key=str) == sorted([(3, x), (5, y), (8, z), (9, None), (9, None), (None, x)], key=str)
+    classes = defaultdict(set)
+    for r in near_dup.near_classes(rows, "doc_id").collect():
+        classes[r.class_id].add(r.row)
+    assert sorted(map(sorted, classes.values())) == [[3, 5], [5, 7], [8], [9]]
+    alone = docs_of(spark, [z, z, y], [8, 8, 9])
+    assert sorted(r.doc_id for r in near_dup.keep_one_of_each(alone, "doc_id").collect()) == [8, 9]
+
+
 def test_darts_estimate_weighted_similarity():
     a, b = " ".join(f"w{i}" for i in range(300)), " ".join(f"w{i}" for i in range(100, 400))
     sig = near_dup.dart_signatures(*near_dup.weighted_shingles(pa.array([a, b, a + " " + a])), t=2048)
