@@ -14,7 +14,7 @@ from sparktidy.llm.licenses import scan_licenses
 from sparktidy.llm.line_dedup import drop_repeated_blocks
 from sparktidy.llm.near_dup import near_classes
 from sparktidy.llm.repeats import remove_repeats
-from sparktidy.llm.spelling import letter_runs, spelling_groups, without_point
+from sparktidy.llm.spelling import spelling_groups, word_counts
 from sparktidy.llm.topk import top_inner_products
 from sparktidy.llm.url_filter import Rule, filter_urls
 from sparktidy.workspace import stage
@@ -100,12 +100,7 @@ def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def spelling_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all texts, one code point gone from some by the contract, with their forms."""
-    docs = table(spark, sf_dir, "documents")
-    runs = docs.select("doc_id", F.explode(letter_runs(F.col("text"))).alias("run")).filter(F.length("run") >= 5)
-    tag = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")).cast("binary"))
-    at = F.pmod(F.col("tag"), F.length("run")).cast("int")
-    words = runs.withColumn("tag", tag).select(F.when(F.col("tag") % 97 == 0, without_point(F.col("run"), at)).otherwise(F.col("run")).alias("word"))
-    counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter((F.length("word") >= 5) & (F.col("n") >= 3))
+    counted = word_counts(table(spark, sf_dir, "documents"), least=5, delete_by="doc_id", every=97).filter("n >= 3")
     return spelling_groups(counted)
 
 
