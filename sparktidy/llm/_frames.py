@@ -4,19 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, StringType, StructType
 
-BROADCAST_ROWS = 1_000_000  # of a few numbers each: at most some 40 MB
+BROADCAST_BYTES = 32 << 20
 
 
-def bounded(side: DataFrame, max_rows: int = BROADCAST_ROWS, items: str | None = None) -> DataFrame:
-    """``side``, marked for broadcast only if it is small; a shuffle join takes the others.
+def _bytes(value: Column, kind: DataType) -> Column:
+    """About how many bytes a value takes in a row."""
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)).cast("bigint") + 16
+    if isinstance(kind, StructType):
+        return sum((_bytes(value[f.name], f.dataType) for f in kind), F.lit(8).cast("bigint"))
+    if isinstance(kind, ArrayType):
+        if isinstance(kind.elementType, (StringType, BinaryType, StructType, ArrayType)):
+            whole = F.aggregate(value, F.lit(16).cast("bigint"), lambda total, item: total + _bytes(item, kind.elementType))
+            return F.coalesce(whole, F.lit(8).cast("bigint"))
+        return F.coalesce(F.size(value), F.lit(0)).cast("bigint") * 8 + 16
+    return F.lit(8).cast("bigint")
 
-    Its rows are counted, with the elements of the array ``items`` if given.
-    """
-    if items is None:
-        return F.broadcast(side) if side.limit(max_rows + 1).count() <= max_rows else side
-    size = side.agg(F.sum(F.size(items) + 1)).first()[0] or 0
-    return F.broadcast(side) if size <= max_rows else side
+
+def bounded(side: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``side``, marked for broadcast only if its rows take few bytes; a shuffle join takes the others."""
+    row = sum((_bytes(F.col(f"`{f.name}`"), f.dataType) for f in side.schema), F.lit(16).cast("bigint"))
+    return F.broadcast(side) if (side.agg(F.sum(row)).first()[0] or 0) <= max_bytes else side
 
 
 def fold_of(column: str, folds: int) -> Column:

@@ -97,7 +97,7 @@ def _leaks(docs: DataFrame, items: DataFrame, item_id: str, text: str) -> DataFr
     places = _positions(docs.select("doc_id", F.xxhash64("text").alias("copy"), "text"), "text", ["doc_id", "copy"], "doc_at")
     hits = places.join(bounded(wanted), "seed").select("doc_id", "copy", "item_id", (F.col("doc_at") - F.col("item_at")).alias("diagonal")).distinct()
     hits = stage(hits, "hits").toDF("hit_id", "hit_copy", "item_id", "diagonal")
-    hits = bounded(hits.join(bounded(known), "item_id"), 100_000)
+    hits = bounded(hits.join(bounded(known), "item_id"))
     texts = docs.withColumn("copy", F.xxhash64("text"))
     met = texts.join(hits, texts.doc_id.eqNullSafe(hits.hit_id) & (texts.copy == hits.hit_copy))
     agreement = _let(words_of(F.col("text")), lambda words: _agreement(words, F.col("item"), F.col("diagonal")))

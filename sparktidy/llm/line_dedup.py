@@ -244,7 +244,7 @@ def drop_repeated_blocks(docs: DataFrame, row: str, text: str = "text", min_word
     """``docs`` with those lines cut from ``text``, and the cut ``runs`` of lines in ``__runs`` (null: none)."""
     cuts = stage(repeated_blocks(docs, row, text, min_words), "cuts").toDF("__row", "__mark", "__runs")
     joined = docs.join(
-        bounded(cuts, 400_000, "__runs"), (docs[row] == F.col("__row")) & (F.xxhash64(docs[text].cast("string")) == F.col("__mark")), "left"
+        bounded(cuts), (docs[row] == F.col("__row")) & (F.xxhash64(docs[text].cast("string")) == F.col("__mark")), "left"
     )
     kept = F.filter(F.split(text, "\n"), lambda _, i: ~F.exists("__runs", lambda r: (i >= r["begin"]) & (i < r["end"])))
     shorter = F.when(F.col("__runs").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))

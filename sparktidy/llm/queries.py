@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparktidy.llm import pieces, quality, toxicity
-from sparktidy.llm._frames import fold_of
+from sparktidy.llm._frames import bounded, fold_of
 from sparktidy.llm.decontaminate import find_leaks
+from sparktidy.llm.html_text import extract_text
 from sparktidy.llm.licenses import scan_licenses
 from sparktidy.llm.line_dedup import drop_repeated_blocks
 from sparktidy.llm.near_dup import near_classes
+from sparktidy.llm.prefix_trie import number_turns, prefix_trie
 from sparktidy.llm.repeats import remove_repeats
 from sparktidy.llm.spelling import spelling_groups, word_counts
 from sparktidy.llm.topk import top_inner_products
@@ -104,6 +106,27 @@ def spelling_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups(counted)
 
 
+def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of rebuilt conversations: each begins with some turns of its hundred's first."""
+    turns = stage(number_turns(table(spark, sf_dir, "conversations")), "turns")
+    base = F.col("conv") - F.col("conv") % 100
+    taken = F.crc32(F.col("conv").cast("string").cast("binary")) % 6
+    sizes = stage(turns.groupBy("conv").agg(F.count(F.lit(1)).alias("n")), "conversations")
+    lent = sizes.filter("conv % 100 = 0").select(F.col("conv").alias("base"), F.least("n", F.lit(5)).alias("lent"))
+    own = turns.filter(F.col("at") >= taken).withColumn("base", base).join(bounded(lent), "base", "left")
+    own = own.withColumn("at", F.col("at") - taken + F.least(taken, F.coalesce("lent", F.lit(0)))).select(*turns.columns)
+    # a lender has at most a hundred borrowers of five turns
+    lenders = turns.filter("conv % 100 = 0 and at < 5").withColumnRenamed("conv", "base")
+    borrowed = sizes.select("conv", base.alias("base")).join(lenders, "base").filter(F.col("at") < taken).select(*turns.columns)
+    rebuilt = stage(own.unionByName(borrowed), "rebuilt")
+    nodes = prefix_trie(rebuilt, sizes.select("conv"))
+    return nodes.select(F.col("conv").alias("conv_id"), "depth", F.col("parent").alias("parent_conv_id"), "n_convs", "n_children", "n_leaves", F.col("saved").alias("saved_tokens"), F.col("ends").alias("ends_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": url_verdicts,
     "op2_suffix_array_dedup": repeated_strings,
@@ -116,6 +139,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": line_dedup,
     "op10_exact_topk": nearest_vectors,
     "op11_spelling_variants": spelling_forms,
+    "op12_html_extraction": page_texts,
+    "op13_conversation_trie": conversation_trie,
 }
 
 # By the definition alone, without masks: 13 equal words of 16 hold four equal neighbours, so words four by
@@ -138,4 +163,53 @@ select doc_id, item_id, max(n)::int item_words, max(matched)::int matched, max(l
 from sums where matched >= case when n < 16 then n else 13 end group by doc_id, item_id
 """
 
-ORACLES: dict[str, str] = {"op3_benchmark_decontamination": LEAKS_SQL}
+# crc32 by its table; `crc` folds a list of bytes `l`
+CRC_SQL = """
+crc_table as (select list_transform(range(256), lambda x: list_reduce(range(8), lambda a, b: case when a % 2 = 1 then xor(a >> 1, 3988292384::bigint) else a >> 1 end, x::bigint)) t)
+"""
+
+
+def crc_sql(byte_list: str) -> str:
+    return f"xor(list_reduce({byte_list}, lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295::bigint), 4294967295::bigint)"
+
+
+TRIE_SQL = f"""
+with {CRC_SQL},
+turns as (select conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) m, length(coalesce(text, ''))::bigint chars,
+  row_number() over (partition by conv_id order by turn nulls first, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) i
+  from conversations where conv_id is not null),
+lists as (select conv_id, list(m order by i) ms, list(chars order by i) cs from turns group by conv_id),
+h as (select conv_id, {crc_sql("list_transform(string_split(conv_id::varchar, ''), lambda c: ord(c)::bigint)")} % 6 h from lists, crc_table),
+rebuilt as (select l.conv_id, coalesce(d.ms[1 : h.h], []) || l.ms[h.h + 1 :] ms, coalesce(d.cs[1 : h.h], []) || l.cs[h.h + 1 :] cs
+  from lists l join h using (conv_id) left join lists d on d.conv_id = l.conv_id - l.conv_id % 100),
+steps as (select conv_id, ms, cs, unnest(range(0, (len(ms) + 1)::bigint)) d from rebuilt),
+paths as (select conv_id, d, md5(array_to_string(ms[1 : d], ',')) k, case when d > 0 then md5(array_to_string(ms[1 : d - 1], ',')) end up,
+  case when d > 0 then cs[d] else 0 end chars, d = len(ms) ends from steps),
+nodes as (select d, k, any_value(up) up, min(conv_id) c, count(*) n, any_value(chars) chars, coalesce(string_agg(case when ends then conv_id::varchar end, ',' order by conv_id), '') ends from paths group by d, k),
+kids as (select d - 1 d, up k, count(*) kids from nodes where d > 0 group by all),
+tree as (select nodes.*, coalesce(kids, 0) kids from nodes left join kids using (d, k)),
+below as (select p.d, p.k, sum((u.n - 1) * u.chars)::bigint saved, sum((u.kids = 0)::int)::bigint leaves from tree u join paths p on p.conv_id = u.c and p.d <= u.d group by all)
+select t.c conv_id, t.d::bigint depth, p.c parent_conv_id, t.n n_convs, t.kids n_children, b.leaves n_leaves, b.saved saved_tokens, sha256(t.ends) ends_sha256
+from tree t join below b using (d, k) left join tree p on p.d = t.d - 1 and p.k = t.up
+"""
+
+SPELLING_SQL = f"""
+with recursive {CRC_SQL},
+runs as (select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) run from documents),
+some as (select doc_id, run, count(*) n, coalesce(doc_id::varchar, '') || ':' || run s from runs where length(run) >= 5 group by all),
+tagged as (select run, n, {crc_sql("list_transform(range(0, (strlen(s))::bigint), lambda i: ('0x' || substr(hex(s), (2 * i + 1)::bigint, 2))::bigint)")} h from some, crc_table),
+words as (select case when h % 97 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end word, n from tagged),
+vocabulary as (select word, sum(n)::bigint n from words where length(word) >= 5 group by word having sum(n) >= 3),
+cut as (select word, n, unnest(range(1, (length(word) + 1)::bigint)) i from vocabulary),
+gaps as (select word, n, substr(word, 1, i - 1) l, substr(word, i + 1) r from cut),
+pairs as (select a.word, b.word near, b.n from gaps a join gaps b using (l, r) where a.word <> b.word
+  union select a.word, v.word, v.n from gaps a join vocabulary v on v.word = a.l || a.r
+  union select v.word, a.word, a.n from gaps a join vocabulary v on v.word = a.l || a.r),
+best as (select word, count(*) n_near, arg_min(near, (-n, encode(near))) form, max(n) form_n from pairs group by word),
+formed as (select v.word, v.n, coalesce(n_near, 0) n_near, case when form_n >= 2 * v.n then form end form, case when form_n >= 2 * v.n then form_n end form_n from vocabulary v left join best using (word)),
+way as (select word, word at from formed union all select way.word, f.form from way join formed f on f.word = way.at where f.form is not null),
+ways as (select way.word, way.at root from way join formed f on f.word = way.at where f.form is null)
+select f.word, f.form, w.root, f.n, f.n_near, f.form_n from formed f join ways w using (word)
+"""
+
+ORACLES: dict[str, str] = {"op3_benchmark_decontamination": LEAKS_SQL, "op11_spelling_variants": SPELLING_SQL, "op13_conversation_trie": TRIE_SQL}
