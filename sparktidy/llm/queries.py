@@ -196,8 +196,8 @@ from tree t join below b using (d, k) left join tree p on p.d = t.d - 1 and p.k
 SPELLING_SQL = f"""
 with recursive {CRC_SQL},
 runs as (select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) run from documents),
-some as (select doc_id, run, count(*) n, coalesce(doc_id::varchar, '') || ':' || run s from runs where length(run) >= 5 group by all),
-tagged as (select run, n, {crc_sql("list_transform(range(0, (strlen(s))::bigint), lambda i: ('0x' || substr(hex(s), (2 * i + 1)::bigint, 2))::bigint)")} h from some, crc_table),
+by_doc as (select doc_id, run, count(*) n, coalesce(doc_id::varchar, '') || ':' || run s from runs where length(run) >= 5 group by all),
+tagged as (select run, n, {crc_sql("list_transform(range(0, (strlen(s))::bigint), lambda i: ('0x' || substr(hex(s), (2 * i + 1)::bigint, 2))::bigint)")} h from by_doc, crc_table),
 words as (select case when h % 97 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end word, n from tagged),
 vocabulary as (select word, sum(n)::bigint n from words where length(word) >= 5 group by word having sum(n) >= 3),
 cut as (select word, n, unnest(range(1, (length(word) + 1)::bigint)) i from vocabulary),

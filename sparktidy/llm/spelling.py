@@ -221,9 +221,9 @@ class Top:
     def __init__(self, sizes: dict[bytes, int], piece: int):
         keys = sorted(sizes, key=lambda k: (len(k), k))
         number = {k: i for i, k in enumerate(keys)}
-        self.split = np.array([sizes[k] > piece and len(k) < TOP for k in keys])
+        self.split = np.array([sizes[k] > piece and len(k) < TOP for k in keys], bool)
         # a piece that is too large at the last level is stored in blocks, and looked up in each
-        self.blocks = np.array([-(-sizes[k] // piece) for k in keys])
+        self.blocks = np.array([-(-sizes[k] // piece) for k in keys], np.int64)
         self.child = np.full((len(keys), 257), -1, np.int32)
         for k in keys[1:]:
             self.child[number[k[:-1]], k[-1]] = number[k]

@@ -1,7 +1,9 @@
 """The corpus operators against brute force on small tables, and their edge cases."""
 
 import hashlib
+import html
 import re
+import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -11,13 +13,14 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sparktidy.llm import licenses, near_dup, pieces, quality, repeats, toxicity
+from sparktidy.llm import html_text, licenses, near_dup, pieces, prefix_trie, quality, repeats, spelling, toxicity
 from sparktidy.llm._frames import sample_by_count
 from sparktidy.llm.decontaminate import MASKS, drop_leaks, find_leaks
 from sparktidy.llm.line_dedup import KEY_WORDS, aligned_lines, drop_repeated_blocks, patience
 from sparktidy.llm.queries import ORACLES, PIECES, QUERIES, URL_RULES
 from sparktidy.llm.topk import top_inner_products
 from sparktidy.llm.url_filter import filter_urls
+from verification import compare
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile("[0-9a-z\u0080-\U0010ffff]+")
@@ -341,11 +344,229 @@ def test_topk_against_brute_force(spark):
     assert not got
 
 
+# Spelling variants
+
+
+def near_by_force(counts):
+    near = defaultdict(set)
+    for a, b in combinations(counts, 2):
+        if abs(len(a) - len(b)) > 1:
+            continue
+        short, long = sorted((a, b), key=len)
+        same = sum(x != y for x, y in zip(a, b)) == 1 if len(a) == len(b) else any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
+        if same:
+            near[a].add(b)
+            near[b].add(a)
+    return near
+
+
+def forms_by_force(counts, ratio=2):
+    near = near_by_force(counts)
+    best = {w: min(near[w], key=lambda x: (-counts[x], x)) for w in counts if near[w]}
+    form = {w: best[w] if w in best and counts[best[w]] >= ratio * counts[w] else None for w in counts}
+
+    def root(w):
+        return root(form[w]) if form[w] else w
+
+    return {w: (form[w], root(w), n, len(near[w]), counts[form[w]] if form[w] else None) for w, n in counts.items()}
+
+
+@pytest.mark.parametrize("piece", [10_000, 40])
+def test_spelling_against_brute_force(spark, monkeypatch, piece):
+    monkeypatch.setattr(spelling, "PIECE", piece)
+    monkeypatch.setattr(spelling, "PIECES", 1_000_000)
+    monkeypatch.setattr(spelling, "DENSE", 4)
+    rng = np.random.default_rng(9)
+    counts = {"".join(rng.choice(list("abeéz"), rng.integers(3, 8))): int(rng.integers(1, 40)) for _ in range(500)}
+    for n in (254, 255, 256, 300):  # counts beyond a byte
+        counts |= {"e" * n + "t": n, "e" * n + "s": 2 * n, "e" * (n + 1) + "t": 9, "te" * n: 3, "te" * n + "x": 8}
+    frame = spark.createDataFrame(list(counts.items()), "word string, n bigint")
+    got = {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in spelling.spelling_groups(frame).collect()}
+    assert got == forms_by_force(counts)
+
+
+def test_spelling_edges(spark):
+    rows = [("same", 2, "x"), ("same", 1, "y"), (None, 9, "z"), ("sane", 9, None), ("", 5, ""), ("a", 5, "")]
+    frame = spark.createDataFrame(rows, "word string, n bigint, near string")
+    got = {r.word: (r.form, r.root, r.n, r.n_near) for r in spelling.spelling_groups(frame).collect()}
+    assert got == {"same": ("sane", "sane", 3, 1), "sane": (None, "sane", 9, 1), "": (None, "", 5, 1), "a": (None, "a", 5, 1)}
+    assert spelling.spelling_groups(frame.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        spelling.spelling_groups(frame, ratio=1)
+
+
+def test_word_counts(spark, real):
+    texts = [*real.text, None, "", "ABCÀdé x×÷ÿy naïve naïve 中文abcde", "q" * 300_000, "É" * 90]
+    ids = [*range(len(texts) - 1), None]
+    upper = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    plain, planted = Counter(), Counter()
+    for i, t in zip(ids, texts):
+        for w in re.findall("[A-Za-zÀ-ÿ]+", (t or "").translate(upper)):
+            plain[w] += len(w) >= 4
+            h = zlib.crc32(f"{'' if i is None else i}:{w}".encode())
+            if h % 97 == 0:
+                w = w[: h % len(w)] + w[h % len(w) + 1 :]
+            planted[w] += len(w) >= 4
+    docs = docs_of(spark, texts, ids)
+    assert {r.word: r.n for r in spelling.word_counts(docs, least=4).collect()} == +plain
+    assert {r.word: r.n for r in spelling.word_counts(docs, least=4, delete_by="doc_id").collect()} == +planted
+    assert spelling.word_counts(docs.limit(0)).count() == 0
+
+
+# Conversations
+
+
+def trie_by_force(convs):
+    """From lists of (mark, chars): nodes of all prefixes, by definition."""
+    members, ends = defaultdict(list), defaultdict(list)
+    for c in sorted(convs):
+        for d in range(len(convs[c]) + 1):
+            members[tuple(convs[c][:d])].append(c)
+        ends[tuple(convs[c])].append(c)
+    kids = Counter(p[:-1] for p in members if p)
+    out = {}
+    for p, m in members.items():
+        below = [q for q in members if q[: len(p)] == p]
+        saved = sum((len(members[q]) - 1) * q[-1][1] for q in below if q)
+        digest = hashlib.sha256(",".join(map(str, ends[p])).encode()).hexdigest()
+        out[min(m), len(p)] = (min(members[p[:-1]]) if p else None, len(m), kids[p], sum(not kids[q] for q in below), saved, digest)
+    return out
+
+
+def trie_rows(frame):
+    return {(r.conv, r.depth): (r.parent, r.n_convs, r.n_children, r.n_leaves, r.saved, r.ends) for r in frame.collect()}
+
+
+@pytest.mark.parametrize("stride", [1024, 2])
+def test_trie_against_brute_force(spark, monkeypatch, stride):
+    monkeypatch.setattr(prefix_trie, "STRIDE", stride)
+    monkeypatch.setattr(prefix_trie, "IDS", 3)
+    rng = np.random.default_rng(4)
+    convs = {}
+    for c in range(-3, 120):
+        base = [(f"t{x}", int(x)) for x in rng.integers(1, 3, rng.integers(0, 14))]
+        if c > 20 and rng.random() < 0.7:  # continue or repeat another one
+            base = convs[int(rng.integers(-3, c))][: int(rng.integers(0, 12))] + base[: int(rng.integers(0, 3))]
+        convs[c] = base
+    for c in range(120, 150):  # a chain, each one turn longer
+        convs[c] = [("chain", 7)] * (c - 118)
+    rows = [(c, i, m, n) for c, turns in convs.items() for i, (m, n) in enumerate(turns)]
+    turns = spark.createDataFrame(rows, "conv bigint, at bigint, mark string, chars bigint")
+    ids = spark.createDataFrame([(c,) for c in convs] + [(None,)], "conv bigint")
+    assert trie_rows(prefix_trie.prefix_trie(turns, ids)) == trie_by_force(convs)
+
+
+def test_trie_edges(spark):
+    empty = spark.createDataFrame([], "conv bigint, at bigint, mark string, chars bigint")
+    assert prefix_trie.prefix_trie(empty, empty.select("conv")).count() == 0
+    alone = spark.createDataFrame([(5,), (7,), (5,)], "conv bigint")
+    assert trie_rows(prefix_trie.prefix_trie(empty, alone)) == {(5, 0): (None, 2, 0, 1, 0, hashlib.sha256(b"5,7").hexdigest())}
+    rows = [(1, 2, "user", "b", 0), (1, None, None, None, 0), (1, 2, "user", "a", 0), (1, 2, "user", "a", 0), (None, 1, "x", "y", 0), (2, -1, "", "", 0)]
+    numbered = prefix_trie.number_turns(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string, at int"))
+    got = sorted((r.conv, r.at, r.chars, r.mark) for r in numbered.collect())
+    assert [g[:2] for g in got] == [(1, 0), (1, 1), (1, 2), (1, 3), (2, 0)] and got[0][2:] == got[4][2:]
+    assert sorted(x[3] for x in got[1:4]) == [x[3] for x in got[1:4]] and len({x[3] for x in got[1:4]}) == 2
+
+
+# Web pages
+
+
+def page_of(body, head="<title>t</title>"):
+    return f"<!DOCTYPE html><html><head>{head}</head><body>{body}</body></html>"
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (None, ""),
+        ("", ""),
+        ("plain &amp; simple", "plain & simple"),
+        (page_of("<article><h1>A&nbsp;b</h1><p>one\n <b>tw</b>o<br>three<p>four</article><footer>f</footer>"), "A b one two three four"),
+        (page_of("<nav><a>x</a></nav><div class=content><p>a < b &lt;c&gt; &copy; &#x41;</p><table><tr><td>1<td>2</table></div><div id='cookie-notice'>n</div>"), "a < b <c> © A 1 2"),
+        (page_of('<script>var t="</p><p>no";</script><style>p{}</style><!-- <p>no</p> --><p title="a>b" data-x=\'<p>\'>yes</p><noscript>no</noscript>'), "yes"),
+        (page_of("<header>site</header><main><article><header><h1>Head</h1></header><p>text</p><div class='ad'>buy</div><section id='comments'><p>first!</p></section></article><aside>side</aside></main>"), "Head text"),
+        (page_of("<article><p>kept<form><p>name <input><button>go</button></form><p>also <span class='advert'>no</span>kept</article>"), "kept also kept"),
+        ("<title>t<body><p>implied head end</p></body>", ""),
+        ("<head><meta charset=x><body class='has-sidebar'><p>implied head end</p>", "implied head end"),
+        (page_of("<div hidden>no</div><div style='display: none'>no</div><ul><li>a<li>b</ul>"), "a b"),
+        (page_of("<p>unclosed <b>bold<p>next</div></article> end"), "unclosed bold next end"),
+        (page_of("<script>never closed"), ""),
+        (page_of('<p class="x>broken quote</p>'), "broken quote"),
+    ],
+)
+def test_page_text(html, text):
+    assert html_text.page_text(html or "", None) == text
+
+
+def test_wrappers_of_hosts(spark):
+    def page(i, lines=3, extra=""):
+        own = "".join(f"<p>line {i}.{k} of the page</p>" for k in range(lines))
+        return page_of(f"<div class=x><p>Read our daily letter</p>{extra}</div><div class=c><h1>Title {i}</h1>{own}</div><div class=l><a href=1>More {i}</a> <a href=2>Old {i}</a></div><div>All rights reserved</div>")
+
+    rows = [(i, f"http://a.com/{i}", page(i, 2 + i % 4)) for i in range(6)]
+    rows += [(6, "http://a.com/6", page(0, 2)), (7, "http://alone.org/", page(7)), (8, None, page(8)), (9, "http://a.com/9", None), (10, "http://a.com/10", "<p>other make")]
+    rows += [(0, "http://a.com/0", page(0, 2)), (None, "HTTP://A.com/11", page(11))]
+    pages = spark.createDataFrame([(*r, "mine") for r in rows], "page_id bigint, url string, html string, text string")
+    got = defaultdict(list)
+    for r in html_text.extract_text(pages).collect():
+        assert r.n_chars == len(r.text)
+        got[r.page_id].append(r.text)
+    for i in range(6):
+        assert set(got[i]) == {" ".join([f"Title {i}", *[f"line {i}.{k} of the page" for k in range(2 + i % 4)]])}
+    assert got[0] * 1 == got[6] * 2 and got[9] == [""] and got[10] == ["other make"]
+    assert got[None] == ["Title 11 line 11.0 of the page line 11.1 of the page line 11.2 of the page"]
+    assert "All rights reserved" in got[7][0] and "More 8 Old 8" in got[8][0]  # no host to learn from
+    assert html_text.extract_text(pages.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        html_text.extract_text(pages, keep=["Text"])
+
+
+def test_copies_are_no_template(spark):
+    same = page_of("<article><h1>One story</h1><p>told again and again</p></article>")
+    other = [page_of(f"<article><h1>Story {i}</h1><p>another one {i}</p></article>") for i in range(2)]
+    rows = [(i, f"http://a.com/{i}", h) for i, h in enumerate([same] * 30 + other)]
+    got = html_text.extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    assert [r.text for r in got.orderBy("page_id").collect()] == ["One story told again and again"] * 30 + ["Story 0 another one 0", "Story 1 another one 1"]
+
+
+def test_tree_matching():
+    a, b = (html_text.Page(page_of(x)).skeleton for x in ("<nav>a</nav><div><p>x<p>y</div>", "<div><h1>t</h1><p>x</div><nav></nav><div class=z></div>"))
+    assert html_text.align(a, a) == tuple(range(a.count(";") + 1))
+    to = html_text.align(a, b)
+    names = [[line.partition(":")[2] for line in s.split(";")] for s in (a, b)]
+    assert all(t < 0 or names[0][i] == names[1][t] for i, t in enumerate(to))
+    assert {names[0][i] for i, t in enumerate(to) if t >= 0} == {"", "html", "head", "body", "div", "p"}
+
+
+def test_long_and_deep_pages():
+    deep = html_text.page_text("<div>" * 5000 + "deep" + "</div>" * 5000, None)
+    wide = html_text.Page(page_of("".join(f"<p class=c{i % 7}><span>{i}</span></p>" for i in range(20_000))))
+    assert deep == "deep" and len(wide.blocks) == 20_000 and wide.skeleton.count(";") < html_text.NODES
+    many = html_text.Page(page_of("".join(f"<p class=k{chr(97 + i % 26)}{chr(97 + i // 26)}>{i}</p>" for i in range(600))))
+    assert many.skeleton.count(";") < html_text.NODES and len(many.blocks) == 600
+    assert html_text.page_text("<a b=\"" * 20_000 + "x", None) is not None
+
+
+@pytest.mark.parametrize("name", ["op11_spelling_variants", "op13_conversation_trie"])
+def test_query_equals_sql(spark, name):
+    assert compare.compare(spark, compare.duck(SF), SF, QUERIES[name], ORACLES[name]).startswith("ok")
+
+
+def test_pages_query_against_brute_force(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").toPandas()
+    got = QUERIES["op12_html_extraction"](spark, SF).toPandas().set_index("page_id")
+    assert len(got) == len(pages)
+    for i, source in zip(pages.page_id, pages.html):
+        body = source[source.index("<article>") + 9 : source.index("<footer>")]
+        want = " ".join(html.unescape(re.sub("</?b>", "", re.sub("</?(?:p|h1|br|article)>", " ", body))).split())
+        assert got.text[i] == want and got.n_chars[i] == len(want)
+
+
 # Queries and pipeline
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
 
 
