@@ -207,8 +207,8 @@ pairs as (select a.word, b.word near, b.n from gaps a join gaps b using (l, r) w
   union select v.word, a.word, a.n from gaps a join vocabulary v on v.word = a.l || a.r),
 best as (select word, count(*) n_near, arg_min(near, (-n, encode(near))) form, max(n) form_n from pairs group by word),
 formed as (select v.word, v.n, coalesce(n_near, 0) n_near, case when form_n >= 2 * v.n then form end form, case when form_n >= 2 * v.n then form_n end form_n from vocabulary v left join best using (word)),
-way as (select word, word at from formed union all select way.word, f.form from way join formed f on f.word = way.at where f.form is not null),
-ways as (select way.word, way.at root from way join formed f on f.word = way.at where f.form is null)
+way as (select word, word reached from formed union all select way.word, f.form from way join formed f on f.word = way.reached where f.form is not null),
+ways as (select way.word, way.reached root from way join formed f on f.word = way.reached where f.form is null)
 select f.word, f.form, w.root, f.n, f.n_near, f.form_n from formed f join ways w using (word)
 """
 
