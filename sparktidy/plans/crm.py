@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparktidy import rulepack
@@ -31,6 +32,7 @@ from sparktidy.operators.dedup import dedup_exact
 from sparktidy.operators.linking import link_records
 from sparktidy.operators.quality import Step
 from sparktidy.operators.survivorship import golden_records, merged_ids, sorted_ids
+from sparktidy.sources.delimited import SOURCE_FILE, read_csv_files
 from sparktidy.workspace import stage
 
 RAW = list(rulepack.CUSTOMER_HEADERS)
@@ -266,3 +268,21 @@ def clean_customers(raw: DataFrame, row_id: str = "row_id") -> CustomerTables:
     linked = link_records(typed.filter("not blank"), KEY_SETS, row_id)
     golden = stage(golden_customers(linked, row_id), "customers-golden")
     return CustomerTables(typed, linked, golden, row_id)
+
+
+@dataclass
+class CustomerFiles:
+    """What :func:`from_files` read: the customers, the records it could not read, one row per file."""
+
+    customers: CustomerTables
+    unread: DataFrame
+    profile: DataFrame
+
+
+def from_files(
+    spark: SparkSession, paths: Sequence[str] | str, row_id: str = "row_id", synonyms: Mapping[str, Iterable[str]] = rulepack.CUSTOMER_HEADERS
+) -> CustomerFiles:
+    """Clean customer files of any format and header; rows are numbered over all of them."""
+    read = read_csv_files(spark, paths, row_id)
+    tables = [standardize_columns(t.drop(SOURCE_FILE), synonyms, keep=[row_id]) for t in read.tables]
+    return CustomerFiles(clean_customers(reduce(DataFrame.unionByName, tables), row_id), read.rejects, read.profile)

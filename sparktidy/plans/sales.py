@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparktidy import rulepack
@@ -20,6 +20,8 @@ from sparktidy.operators.columns import standardize_columns, with_optional_colum
 from sparktidy.operators.dedup import mark_repeats
 from sparktidy.operators.enrich import enrich
 from sparktidy.operators.quality import Step
+from sparktidy.sources.delimited import SOURCE_FILE, read_csv_files
+from sparktidy.sources.totals import extract_control_totals
 from sparktidy.workspace import stage
 
 DOCUMENT = ("oddzial", "nr_transakcji", "sku")
@@ -269,3 +271,46 @@ def merge_sales(
     marked = marked.withColumn("reason", quality.unreadable(REQUIRED))
     matched = enrich(marked, catalog, "sku", row_id, matched="w_katalogu")
     return SalesTables(stage(priced_sales(matched), "sales"), controls, row_id)
+
+
+def file_stem(file: Column) -> Column:
+    """The name of a file without folder and extension."""
+    return F.regexp_extract(F.url_decode(F.regexp_extract(file, "([^/]*)$", 1)), r"^(.*?)(?:\.[^.]*)?$", 1)
+
+
+@dataclass
+class SalesFiles:
+    """What :func:`from_files` read: the merge, the records it could not read, one row per file."""
+
+    sales: SalesTables
+    unread: DataFrame
+    profile: DataFrame
+
+
+def from_files(
+    spark: SparkSession, exports: Sequence[str] | str, catalog: Sequence[str] | str, branch: Column | None = None, row_id: str = "row_id"
+) -> SalesFiles:
+    """Merge a folder of branch exports, in whatever formats they come, with a catalog file.
+
+    ``branch`` names the branch of a file from its ``source_file``, the file's name by default; a branch may
+    come as several files of several formats.  Rows are numbered over all files, so a document that two
+    files of a branch share is found, and the row of the first file stays.
+    """
+    branch = file_stem(F.col(SOURCE_FILE)) if branch is None else branch
+    read = read_csv_files(spark, exports, row_id)
+    data, controls = [], []
+    for table in read.tables:
+        cells = [c for c in table.columns if c not in (SOURCE_FILE, row_id)]
+        tagged = table.withColumn("oddzial", branch).drop(SOURCE_FILE)
+        rows, control = extract_control_totals(tagged, cells[0], cells[-1], row_id, "oddzial")
+        data.append(rows)
+        controls.append(control)
+    # a branch in several formats may declare a total in each
+    declared = reduce(DataFrame.unionByName, controls).groupBy("oddzial").agg(
+        F.sum("suma_z_pliku").cast("decimal(18,2)").alias("suma_z_pliku"), F.sum("total_rows").alias("total_rows")
+    )
+    listed = read_csv_files(spark, catalog, row_id)
+    products = reduce(DataFrame.unionByName, [typed_catalog(t.drop(SOURCE_FILE, row_id)) for t in listed.tables])
+    merged = merge_sales(merge_branches(data, row_id), products, stage(declared, "controls"), row_id)
+    unread = read.rejects.unionByName(listed.rejects)
+    return SalesFiles(merged, unread, read.profile.unionByName(listed.profile))

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+import csv
+import re
+from collections import Counter
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparktidy import rulepack
 from sparktidy.operators.columns import quoted
-from sparktidy.sources.profile import CODE_PAGES, profile_files, raw_lines, readable_path
+from sparktidy.operators.numbering import number_rows as dense_numbers
+from sparktidy.sources.profile import CODE_PAGES, profile_files
+from sparktidy.sources.records import LINE, count_cells, frame_records, numbered_lines
+from sparktidy.workspace import stage
 
 ROW_ID = "row_id"
 SOURCE_FILE = "source_file"
@@ -34,93 +40,130 @@ def missing_to_null(value: Column, words: Sequence[str] = rulepack.CSV_MISSING)
     return F.when(~value.isin(list(words)), value)
 
 
-def original_headers(columns: Sequence[str]) -> list[str]:
-    """Undo the position suffix the CSV reader gives to repeated header names.
+def header_names(line: str, separator: str, taken: Sequence[str] = ()) -> list[str]:
+    """The cells of a header record as column names, as they stand there.
 
-    The first of them gets its plain name back, later ones ``name.1``, ``name.2``.
+    A name that occurs again, or is ``taken``, gets ``.1``, ``.2``; an empty cell is ``_c<position>``.
     """
-    stems = [c[: -len(str(i))] if c.endswith(str(i)) else None for i, c in enumerate(columns)]
-    out, seen = [], defaultdict(int)
-    for name, stem in zip(columns, stems):
-        if stem and stems.count(stem) > 1:
-            out.append(stem if not seen[stem] else f"{stem}.{seen[stem]}")
-            seen[stem] += 1
-        else:
-            out.append(name)
+    cells = next(csv.reader([line], delimiter=separator), [])
+    used, seen = {*taken}, Counter(taken)
+    out = []
+    for i, cell in enumerate(cells):
+        name = stem = cell or f"_c{i}"
+        while name in used:
+            name, seen[stem] = f"{stem}.{max(seen[stem], 1)}", seen[stem] + 1
+        used.add(name)
+        seen[stem] = max(seen[stem], 1)
+        out.append(name)
     return out
 
 
-def read_delimited(
-    spark: SparkSession,
-    paths: Sequence[str],
-    separator: str,
-    encoding: str = "utf-8",
-    multi_line: bool = False,
-) -> DataFrame:
-    """Files of one format: header line, all columns as text, reader-level missing words as null.
+@dataclass
+class CsvFiles:
+    """Delimited files as tables.
 
-    The reader knows no national code pages, but Latin-1 maps every byte to one character, so those
-    files are read as Latin-1 and translated.
+    ``tables`` has one table per distinct (encoding, separator, header record); ``rejects`` the records
+    that do not fit their header: ``file``, ``row_id``, ``record``, ``cells``, ``columns``, ``reason`` (``surplus``,
+    ``short`` or ``quotes`` if they are broken) and ``kept``; ``profile`` one row per file, also per empty one.
     """
-    recoded = encoding in CODE_PAGES
-    df = spark.read.csv(
-        list(paths),
-        header=True,
-        sep=separator,
-        encoding="ISO-8859-1" if recoded else "UTF-8",
-        quote='"',
-        escape='"',
-        multiLine=multi_line,
-    )
-    names = original_headers(df.columns)
-    if recoded:
-        names = [n.encode("latin-1").decode(CODE_PAGES[encoding], errors="replace") for n in names]
-    columns = []
-    for source, name in zip(df.columns, names):
-        value = F.col(quoted(source))
-        if recoded:
-            value = recode(value, encoding)
-        columns.append(missing_to_null(value).alias(name))
-    return df.select(*columns, F.col("_metadata.file_path").alias(SOURCE_FILE))
-
-
-def read_csv_smart(
-    spark: SparkSession, paths: Sequence[str] | str, multi_line: bool = False
-) -> tuple[list[DataFrame], DataFrame]:
-    """``(tables, profile)``: one table per distinct (encoding, separator, header line).
-
-    Files are grouped because a multi-file read applies one file's header to all by position.  The
-    tables still have their own headers; map them with ``standardize_columns`` before appending.
+
+    tables: list[DataFrame]
+    rejects: DataFrame
+    profile: DataFrame
+
+
+def list_files(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
+    """``(file)`` of all files, empty ones as well, from the list that a scan holds anyway."""
+    names = spark.read.text(paths if isinstance(paths, str) else list(paths)).inputFiles()
+    # written like the paths of a scan's metadata
+    return spark.createDataFrame([(re.sub("^file:///", "file:/", n),) for n in names], "file string")
+
+
+def decoded(value: Column, encoding: str) -> Column:
+    """Bytes of a line as text; a national code page goes by way of Latin-1, byte for byte."""
+    if encoding not in CODE_PAGES:
+        return value.cast("string")
+    return recode(F.decode(value.cast("binary"), "ISO-8859-1"), encoding)
+
+
+def read_csv_files(spark: SparkSession, paths: Sequence[str] | str, row_id: str = ROW_ID, keep_short: bool = True) -> CsvFiles:
+    """Read delimited files of any encoding and header, record by record.
+
+    Records may go over several lines within quotes.  A record with more cells than its header is a
+    reject.  One with fewer is read with nulls, as readers usually do, and listed; without ``keep_short``
+    it is a reject, too.  ``row_id`` is the number of a record's first line over all files, in the order
+    of their names: unique over all tables, and the same whenever the same files are read.
+    """
+    lines = numbered_lines(spark, paths)
+    text = lines.select(F.col("value").cast("string").alias("value"), "file", "block", F.col(LINE).alias("seq"))
+    found = stage(profile_files(text), "profile")
+    # a file of another encoding has other bytes, but the same quotes and separators
+    marked = lines.join(F.broadcast(found.select("file", "separator")), "file").withColumn("value", F.decode("value", "ISO-8859-1"))
+    records = stage(frame_records(marked).filter(F.trim("value") != ""), "records")
+    heads = records.groupBy("file").agg(F.min(LINE).alias("head"), F.min_by("value", LINE).alias("header_record"))
+    files = stage(found.join(heads, "file"), "files")
+
+    tables, rejects = [], []
+    # the formats come to the driver, not the files
+    formats = files.groupBy("encoding", "separator", "header_record").agg(F.min("file").alias("first")).orderBy("first").collect()
+    for kind in formats:
+        raw = kind.header_record.encode("latin-1")
+        header = raw.decode(CODE_PAGES.get(kind.encoding, "utf-8"), errors="replace").removeprefix("\ufeff")
+        names = header_names(header, kind.separator, [SOURCE_FILE, row_id])
+        same = (F.col("encoding") == kind.encoding) & (F.col("separator") == kind.separator) & (F.col("header_record") == kind.header_record)
+        own = records.join(F.broadcast(files.filter(same).select("file", "head")), "file").filter(F.col(LINE) > F.col("head"))
+        record = F.encode("value", "ISO-8859-1")
+        own = own.select("file", LINE, decoded(record, kind.encoding).alias("record"))
+        cells = [f"c{i}" for i in range(len(names))]
+        schema = ", ".join(f"{c} string" for c in [*cells, "odd"])
+        options = {"sep": kind.separator, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "odd"}
+        parsed = own.withColumn("cells", F.from_csv("record", schema, options))
+        count = count_cells(F.col("record"), kind.separator)
+        odd = parsed.filter("cells.odd is not null").select(
+            "file", F.col(LINE).alias(row_id), "record", count.cast("bigint").alias("cells"), F.lit(len(names)).cast("bigint").alias("columns"),
+            F.when(count > len(names), "surplus").when(count < len(names), "short").otherwise("quotes").alias("reason"),
+        )
+        rejects.append(odd.withColumn("kept", (F.col("reason") == "short") & F.lit(keep_short)))
+        fits = F.col("cells.odd").isNull() | ((count < len(names)) & F.lit(keep_short))
+        values = [missing_to_null(F.col(f"cells.{c}")).alias(name) for c, name in zip(cells, names)]
+        tables.append(parsed.filter(fits).select(*values, F.col("file").alias(SOURCE_FILE), F.col(LINE).alias(row_id)))
+    nothing = spark.createDataFrame([], f"file string, {row_id} bigint, record string, cells bigint, columns bigint, reason string, kept boolean")
+    listed = list_files(spark, paths).join(found, "file", "left").withColumn("lines", F.coalesce("lines", F.lit(0).cast("bigint")))
+    return CsvFiles(tables, reduce(DataFrame.unionByName, rejects, nothing), listed.select(*found.columns))
+
+
+def read_csv_smart(spark: SparkSession, paths: Sequence[str] | str) -> tuple[list[DataFrame], DataFrame]:
+    """``(tables, profile)`` of :func:`read_csv_files`, the tables without row numbers.
+
+    The tables still have their own headers; map them with ``standardize_columns`` before appending.
+    """
+    files = read_csv_files(spark, paths, row_id="__row")
+    return [t.drop("__row") for t in files.tables], files.profile
+
+
+def append_tables(tables: Sequence[DataFrame], order: Sequence[str] = (SOURCE_FILE,)) -> DataFrame:
+    """Append tables by column name and number the rows from 0: by ``order``, then by all columns.
+
+    The numbers are dense and unique over all tables, and the same whenever the same rows come.
     """
-    profile = profile_files(raw_lines(spark, paths)).cache()
-    formats = defaultdict(list)
-    # the raw header may not be valid text yet, so it is compared by digest
-    digest = F.md5(F.col("header").cast("binary")).alias("digest")
-    for row in profile.select("file", "encoding", "separator", digest).collect():
-        if row.digest is not None:
-            formats[row.encoding, row.separator, row.digest].append(readable_path(row.file))
-    tables = [
-        read_delimited(spark, sorted(files), separator, encoding, multi_line)
-        for (encoding, separator, _), files in sorted(formats.items(), key=lambda f: min(f[1]))
-    ]
-    return tables, profile
-
-
-def append_tables(tables: Sequence[DataFrame]) -> DataFrame:
-    """Append tables by column name and number the rows in scan order."""
     joined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
-    return joined.withColumn(ROW_ID, F.monotonically_increasing_id())
+    rest = [c for c in joined.columns if c not in order]
+    return dense_numbers(joined, [F.col(quoted(c)) for c in [*[o for o in order if o in joined.columns], *rest]], ROW_ID, 0)
 
 
 def number_rows(df: DataFrame, name: str = ROW_ID) -> DataFrame:
-    """Row numbers of a table read from Parquet, in file order.
+    """Row numbers of a table read from Parquet, in file order: dense from 0 over all its files.
 
-    A single file has its own row index.  Over several files the partition-wise id is unique and
-    keeps the order inside each file.
+    A file's own row index is shifted by the rows of the files before it (one row per file); files go
+    by name, so part files keep the order in which they were written.
     """
     if len(df.inputFiles()) == 1:
         return df.select("*", F.col("_metadata.row_index").alias(name))
-    return df.withColumn(name, F.monotonically_increasing_id())
+    placed = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__at"))
+    sizes = df.select(F.col("_metadata.file_path").alias("__file")).groupBy("__file").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("__file", F.coalesce(before, F.lit(0)).alias("__before"))
+    return placed.join(F.broadcast(offsets), "__file").withColumn(name, F.col("__at") + F.col("__before")).drop("__file", "__at", "__before")
 
 
 def spread_scan(df: DataFrame, *keys: str) -> DataFrame:

@@ -1,12 +1,18 @@
 """Reading mixed files and writing deliverables."""
 
+import csv
+import io
+import random
+from collections import defaultdict
+
 import pytest
 from pyspark.sql import functions as F
 
 from sparktidy import parse_pl_number, read_csv_smart, read_grid_smart, standardize_columns, write_locale_csv
+from sparktidy.operators.numbering import number_rows
 from sparktidy.sinks.bundle import read_report, write_report
 from sparktidy.sinks.locale_csv import read_locale_csv
-from sparktidy.sources.delimited import append_tables, original_headers
+from sparktidy.sources.delimited import append_tables, header_names, read_csv_files
 from sparktidy.sources.profile import profile_files, raw_lines
 from sparktidy.sources.totals import extract_control_totals
 
@@ -58,9 +64,73 @@ def test_files_of_one_format_are_read_together(spark, tmp_path):
     assert rows.select("row_id").distinct().count() == 3
 
 
-def test_repeated_header_names():
-    assert original_headers(["a0", "b", "a2", "c1"]) == ["a", "b", "a.1", "c1"]
-    assert original_headers(["x1", "y"]) == ["x1", "y"]
+def test_header_names():
+    assert header_names("id;telefon1;telefon2", ";") == ["id", "telefon1", "telefon2"]
+    assert header_names("Data;data;x;x;x.1;;", ";") == ["Data", "data", "x", "x.1", "x.1.1", "_c5", "_c6"]
+    assert header_names('"a;b";" c ";"say ""hi"""', ";", ["file"]) == ["a;b", " c ", 'say "hi"']
+    assert header_names("file,file", ",", ["file"]) == ["file.1", "file.2"] and header_names("", ",") == []
+
+
+def torn(rows):
+    """Cells as records, all quoted that need it, with line ends and quotes inside."""
+    out = io.StringIO()
+    csv.writer(out, delimiter=";", lineterminator="\n").writerows(rows)
+    return out.getvalue()
+
+
+def test_records_over_several_lines_and_splits(spark, tmp_path):
+    rng = random.Random(5)
+    pieces = ["a", "b;c", 'q"', "\n", "\n\n", " ", '""', "żółw", "5\" rura", "x" * 40]
+    cells = [[str(i), "".join(rng.choices(pieces, k=rng.randrange(5))), "".join(rng.choices(pieces, k=rng.randrange(3)))] for i in range(300)]
+    (tmp_path / "torn.csv").write_text(torn([["id", "two\nlines", "z"], *cells]), encoding="utf-8")
+    (tmp_path / "plain.csv").write_text("id;z\n1;5\" rura\n2;6\" rura\n3;x\n", encoding="utf-8")
+    (tmp_path / "stray.csv").write_text('id;s\n1;"never closed\n2;b\n3;c\n', encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        files = read_csv_files(spark, str(tmp_path))
+        (table,) = [t for t in files.tables if "two\nlines" in t.columns]
+        assert table.select("id", "two\nlines", "z").rdd.getNumPartitions() > 1
+        got = {r[0]: (r[1], r[2]) for r in table.select("id", "`two\nlines`", "z").collect()}
+        assert got == {i: tuple(c or None for c in (a, b)) for i, a, b in cells}
+        ids = [r[0] for t in files.tables for r in t.select("row_id").collect()]
+        assert len(set(ids)) == len(ids) == 300 + 3 + 3
+        by_number = [int(r[0]) for r in table.orderBy("row_id").collect()]
+        assert by_number == sorted(by_number)
+        (plain,) = [t for t in files.tables if t.columns[:2] == ["id", "z"]]
+        assert sorted(tuple(r)[:2] for r in plain.collect()) == [("1", '5" rura'), ("2", '6" rura'), ("3", "x")]
+        (stray,) = [t for t in files.tables if t.columns[:2] == ["id", "s"]]
+        assert sorted(r[0] for r in stray.collect()) == ["1", "2", "3"]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_records_that_do_not_fit(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('a;b;c\n1;2;3;LOST\n4;5\n\n6;"7;7";8\n9;10;\n"x;y";"z\n', encoding="utf-8")
+    (tmp_path / "empty.csv").write_bytes(b"")
+    (tmp_path / "head.csv").write_text("a;b;c\n", encoding="utf-8")
+    files = read_csv_files(spark, str(tmp_path))
+    (table,) = files.tables
+    assert sorted(map(tuple, table.select("a", "b", "c").collect()))[:3] == [("4", "5", None), ("6", "7;7", "8"), ("9", "10", None)]
+    got = sorted((r.record, r.cells, r["columns"], r.reason, r.kept) for r in files.rejects.collect())
+    assert ("1;2;3;LOST", 4, 3, "surplus", False) in got and ("4;5", 2, 3, "short", True) in got and len(got) == 3
+    strict = read_csv_files(spark, str(tmp_path), keep_short=False)
+    assert sorted(map(tuple, strict.tables[0].select("a", "b", "c").collect())) == [("6", "7;7", "8"), ("9", "10", None)]
+    profile = {r.file.rsplit("/", 1)[1]: (r.lines, r.separator) for r in files.profile.collect()}
+    assert profile == {"a.csv": (7, ";"), "empty.csv": (0, None), "head.csv": (1, ";")}
+
+
+def test_dense_row_numbers(spark):
+    rows = [(("hot" if i % 3 else f"k{i % 7}") if i % 50 else None, (i * 7919) % 1000) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    whole = [r.n for r in number_rows(df, [F.col("v")], "n").orderBy("v").collect()]
+    assert whole == list(range(1, 1001))
+    by_key = defaultdict(list)
+    for r in number_rows(df, [F.col("v").desc()], "n", 0, ["k"]).collect():
+        by_key[r.k].append((-r.v, r.n))
+    assert sum(map(len, by_key.values())) == 1000
+    for own in by_key.values():
+        assert [n for _, n in sorted(own)] == list(range(len(own)))
+    assert number_rows(df.limit(0), [F.col("v")], "n", 0, ["k"]).count() == 0
 
 
 def test_grid(spark, tmp_path):

@@ -380,8 +380,22 @@ ORACLES["ingest_encoding_profile"] = f"""select oddzial export, case oddzial whe
  count(*) as rows from ({SALES}) s group by oddzial"""
 ORACLES["ingest_separator_profile"] = f"""select distinct oddzial export, case oddzial when 'A' then ',' when 'B' then ';' else chr(9) end separator,
  cast(case oddzial when 'A' then 5 when 'B' then 4 else 6 end as bigint) fields from ({SALES}) s"""
-ORACLES["ingest_mixed_csv"] = f"select oddzial, nr_transakcji, cast(data as varchar) as data, sku, ilosc, cena_jedn from ({SALE_ROWS}) t"
-ORACLES["ingest_grid"] = ORACLES["ingest_mixed_csv"] + " where oddzial = 'C'"
+_SALE_CELLS = f"select oddzial, nr_transakcji, cast(data as varchar) as data, sku, ilosc, cena_jedn from ({SALE_ROWS}) t"
+ORACLES["ingest_mixed_csv"] = _SALE_CELLS + " where oddzial <> 'A' or row_id % 50 <> 3"
+ORACLES["ingest_grid"] = _SALE_CELLS + " where oddzial = 'C'"
+_NOTE = """case row_id % 7 when 0 then '"said ""hi"";' || chr(10) || 'then, left' || chr(10) || '"' when 1 then '5" pipe' else '' end"""
+_EVEN = "coalesce(nr_transakcji, '') || ';' || data || ';' || sku || ';' || ilosc || ';' || cena_jedn"
+_ODD = "sku || ',' || data || ',' || coalesce(nr_transakcji, '') || ',' || ilosc || ',\"' || cena_jedn || '\",' || " + _NOTE
+ORACLES["ingest_rejects"] = f"""select 'A' as export, case when row_id % 2 = 0 then {_EVEN} || case when row_id % 50 = 3 then ';note;LOST' else '' end
+ else {_ODD} || case when row_id % 50 = 3 then ',note,LOST' else '' end end record,
+ cast(case when row_id % 50 = 3 then 7 else 5 end + row_id % 2 as bigint) cells, cast(6 + row_id % 2 as bigint) as "columns",
+ case when row_id % 50 = 3 then 'surplus' else 'short' end reason, row_id % 50 = 4 as kept
+ from ({SALES}) s where oddzial = 'A' and row_id % 50 in (3, 4)"""
+ORACLES["ingest_row_ids"] = f"""select oddzial, count(*) as rows, cast(0 as bigint) late_files, count(*) ids from ({SALES}) s
+ where oddzial <> 'A' or row_id % 50 <> 3 group by oddzial"""
+ORACLES["sales_job_from_files"] = ORACLES["merged_sales"]
+ORACLES["sales_checks_from_files"] = ORACLES["reconcile_totals"]
+ORACLES["customers_from_files"] = ORACLES["clean_customers"]
 ORACLES["detect_header_rows"] = f"""select distinct oddzial source_file, cast(-1 as bigint) header_row, 'Nr paragonu' c0, 'Data sprzedaży' c1, 'SKU' c2, 'Szt.' c3,
  'Cena brutto' c4 from ({SALES}) s"""
 ORACLES["locale_csv"] = f"""select cast(row_id as varchar) row_id, oddzial, cast(data as varchar) as data, sku, cast(ilosc as varchar) ilosc,

@@ -7,9 +7,9 @@ report the same types.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparktidy import rulepack
@@ -35,7 +35,7 @@ from sparktidy.plans import crm, sales
 from sparktidy.session import tune
 from sparktidy.sinks.bundle import write_report
 from sparktidy.sinks.locale_csv import read_locale_csv, write_locale_csv
-from sparktidy.sources.delimited import number_rows, read_csv_smart, spread_scan
+from sparktidy.sources.delimited import number_rows, read_csv_files, spread_scan
 from sparktidy.sources.grid import detect_header_row, read_grid_smart
 from sparktidy.sources.profile import profile_files, raw_lines
 from sparktidy.sources.totals import extract_control_totals
@@ -481,9 +481,11 @@ def in_code_page(value, codec: str):
     return out
 
 
-def write_export(spark, body: DataFrame, above: list[str], cells: list, separator: str, codec: str, name: str) -> str:
-    """Text files under the shared folder, each with the lines ``above`` before its data lines."""
+def write_export(spark, body: DataFrame, above: list[str], cells: list, separator: str, codec: str, name: str, ending=None) -> str:
+    """Text files under the shared folder, each with the lines ``above`` before its data lines, which may have an ``ending``."""
     line = F.concat_ws(separator, *[F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")) for c in cells])
+    if ending is not None:
+        line = F.concat(line, ending)
     numbered = body.select(line.alias("value"), F.monotonically_increasing_id().alias("n"))
     first = F.col("n") % (1 << 33) == 0
     text = F.when(first, F.concat(F.lit("\n".join([*above, ""])), F.col("value"))).otherwise(F.col("value"))
@@ -508,6 +510,37 @@ def csv_exports(spark, sf_dir) -> list[str]:
     ]
 
 
+def torn_exports(spark, sf_dir) -> list[str]:
+    """The same sales with a note that goes over several lines, and in two branches records that do not fit."""
+    rows = fixture(spark, sf_dir, fixtures.SALES)
+    note = F.when(F.col("row_id") % 7 == 0, F.lit('"said ""hi"";\nthen, left\n"')).when(F.col("row_id") % 7 == 1, F.lit('5" pipe')).otherwise(F.lit(""))
+
+    def ending(separator: str):
+        own = F.concat(F.lit(separator), note)
+        # a surplus cell, or the note is missing
+        return F.when(F.col("row_id") % 50 == 3, F.lit(f"{separator}note{separator}LOST")).when(F.col("row_id") % 50 == 4, F.lit("")).otherwise(own)
+
+    a, b, c = (rows.filter(F.col("oddzial") == x) for x in "ABC")
+    # one branch comes in two formats, the second half with another order of columns
+    second = F.col("row_id") % 2 == 1
+    return [
+        write_export(spark, a.filter(~second), ["order_id;order_date;sku;quantity;unit_price;Uwagi"],
+                     ["nr_transakcji", "data", "sku", "ilosc", "cena_jedn"], ";", "utf-8", "A1", ending(";")),
+        write_export(spark, a.filter(second), ["sku,order_date,order_id,quantity,unit_price,Uwagi,Uwagi"],
+                     ["sku", "data", "nr_transakcji", "ilosc", F.concat(F.lit('"'), F.col("cena_jedn"), F.lit('"')), note], ",", "utf-8", "A2", ending(",")),
+        write_export(spark, b, ["Data;Kod produktu;Ilość;Cena jedn.;\"Uwagi\ni opis\""],
+                     ["data", "sku", "ilosc", "cena_jedn", note], ";", "cp1250", "B"),
+        write_export(spark, c, ["Nr paragonu\tData sprzedaży\tSKU\tSzt.\tCena brutto\t"],
+                     ["nr_transakcji", "data", "sku", "ilosc", "cena_jedn", note], "\t", "iso8859_2", "C"),
+    ]
+
+
+def torn_branches(spark, sf_dir):
+    """The tables of :func:`torn_exports`, with their branch and numbered over all files."""
+    files = read_csv_files(spark, torn_exports(spark, sf_dir))
+    return [t.withColumn("oddzial", export_name("source_file")) for t in files.tables], files
+
+
 def export_name(path: str):
     return F.regexp_extract(path, "export=([A-Z])", 1)
 
@@ -527,12 +560,69 @@ def ingest_separator_profile(spark, sf_dir):
 
 @query
 def ingest_mixed_csv(spark, sf_dir):
-    tables, _ = read_csv_smart(spark, csv_exports(spark, sf_dir))
-    named = [t.withColumn("oddzial", export_name("source_file")).withColumn("row_id", F.monotonically_increasing_id()) for t in tables]
-    merged = sales.merge_branches(named, "row_id")
+    tables, _ = torn_branches(spark, sf_dir)
+    merged = sales.merge_branches(tables, "row_id")
     return flat(merged.select("oddzial", "nr_transakcji", "data", "sku", "ilosc", "cena_jedn"))
 
 
+@query
+def ingest_rejects(spark, sf_dir):
+    _, files = torn_branches(spark, sf_dir)
+    return files.rejects.select(export_name("file").alias("export"), "record", "cells", "columns", "reason", "kept")
+
+
+@query
+def ingest_row_ids(spark, sf_dir):
+    """Rows, distinct numbers, and rows whose numbers go against the order of their files, per branch."""
+    tables, _ = torn_branches(spark, sf_dir)
+    rows = reduce(DataFrame.unionByName, [t.select("oddzial", "source_file", "row_id") for t in tables])
+    files = rows.groupBy("oddzial", "source_file").agg(F.min("row_id").alias("least"), F.max("row_id").alias("greatest"), F.count(F.lit(1)).alias("n"))
+    # ranges of numbers of the files, in the order of their names, do not meet
+    before = F.max("greatest").over(Window.orderBy("source_file").rowsBetween(Window.unboundedPreceding, -1))
+    late = files.withColumn("late", F.coalesce((F.col("least") <= before).cast("int"), F.lit(0)))
+    counts = late.groupBy("oddzial").agg(F.sum("n").alias("rows"), F.sum("late").alias("late_files"))
+    return counts.join(rows.groupBy("oddzial").agg(F.count_distinct("row_id").alias("ids")), "oddzial")
+
+
+def sales_files(spark, sf_dir) -> sales.SalesFiles:
+    """The job on files: exports with total rows, the sales of branch A in two formats that share documents."""
+    rows = stage(fixture(spark, sf_dir, fixtures.EXPORTS), "exports")
+    a, b, c = (rows.filter(F.col("oddzial") == x) for x in "ABC")
+    again = F.col("row_id") >= 1_000_000_000_000  # exported twice, and the total row
+    paths = [
+        write_export(spark, a.filter(~again), ["order_date,order_id,sku,quantity,unit_price,value"],
+                     ["data", "nr_transakcji", "sku", "ilosc", F.concat(F.lit('"'), F.col("cena_jedn"), F.lit('"')), "wartosc"], ",", "utf-8", "A1"),
+        write_export(spark, a.filter(again), ["Data;Nr paragonu;SKU;Szt.;Cena brutto;Suma"],
+                     ["data", "nr_transakcji", "sku", "ilosc", "cena_jedn", "wartosc"], ";", "cp1250", "A2"),
+        write_export(spark, b, ["Data;Kod produktu;Ilość;Cena jedn.;Wartość"],
+                     ["data", "sku", "ilosc", "cena_jedn", "wartosc"], ";", "cp1250", "B"),
+        write_export(spark, c, ["Data sprzedaży\tNr paragonu\tSKU\tSzt.\tCena brutto\tSuma"],
+                     ["data", "nr_transakcji", "sku", "ilosc", "cena_jedn", "wartosc"], "\t", "iso8859_2", "C"),
+    ]
+    catalog = write_export(spark, fixture(spark, sf_dir, fixtures.CATALOG), ["SKU;Nazwa produktu;Kategoria;Cena katalogowa"],
+                           ["sku", "nazwa_produktu", "kategoria", "cena_katalogowa"], ";", "utf-8", "K")
+    return sales.from_files(spark, paths, catalog, export_name("source_file"))
+
+
+@query
+def sales_job_from_files(spark, sf_dir):
+    """The accepted sales, without their numbers: those of files are their own."""
+    return flat(sales_files(spark, sf_dir).sales.final)
+
+
+@query
+def sales_checks_from_files(spark, sf_dir):
+    return flat(sales_files(spark, sf_dir).sales.checks)
+
+
+@query
+def customers_from_files(spark, sf_dir):
+    rows = fixture(spark, sf_dir, fixtures.CRM_EXPORT).repartitionByRange(4, "row_id").sortWithinPartitions("row_id")
+    cells = [F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')) for c in crm.RAW]
+    path = write_export(spark, rows, ["ID klienta;Imię i nazwisko;E-mail;Telefon;Miasto;Kod pocztowy;Data rejestracji;Wartość zamówień (PLN)"], cells, ";", "utf-8", "K")
+    return flat(crm.from_files(spark, path).customers.final)
+
+
 def sheet_rows(spark, sf_dir) -> DataFrame:
     """Each branch as a sheet of cells: a title, an empty row, the header, the data."""
     rows = fixture(spark, sf_dir, fixtures.SALES)
