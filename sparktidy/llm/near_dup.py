@@ -11,8 +11,8 @@ Bands of ``ROWS`` coordinates put texts into buckets: a pair of similarity 0.8 s
 buckets with probability 1 - 5e-8.  Pairs are never listed within a whole bucket:
 
 1. texts with equal shingle multisets form a class, represented by its smallest row;
-2. each class is compared with the smallest class that it shares a bucket with, and the pairs that
-   are similar enough are merged into components;
+2. each class is compared with the most central class that it shares a bucket with, and the pairs
+   that are similar enough are merged into components;
 3. buckets that still hold several components are compared across components: small ones whole,
    larger ones against hubs, of which every round takes more, until all such pairs are decided.
    Pairs whose weights, parities or signature bits rule the similarity out are not looked at.
@@ -190,30 +190,49 @@ def _merge(links: DataFrame, buckets: DataFrame) -> DataFrame:
     return joined.select("bucket", "row", F.coalesce("label", "row").alias("label"))
 
 
+def _first_pairs(buckets: DataFrame) -> DataFrame:
+    """``(a, b)``, ``b`` the smaller: each row with the most central row that it shares a bucket with.
+
+    Central is who has most company over all buckets.  The text that copies were made from is closer to
+    all of them than they are to each other, so a group of copies is linked here, by a pair for each.
+    """
+    company = buckets.groupBy("row").agg(F.sum("n").alias("company"))
+    ranked = buckets.join(company, "row").withColumn("rank", F.struct("company", -F.col("row")))
+    centres = ranked.groupBy("bucket").agg(F.max("rank").alias("centre"))
+    met = buckets.select("bucket", "row").join(centres, "bucket").withColumn("centre_row", -F.col("centre.col2")).filter("row <> centre_row")
+    best = met.groupBy("row").agg((-F.max("centre")["col2"]).alias("centre"))
+    return best.select(F.greatest("row", "centre").alias("a"), F.least("row", "centre").alias("b")).distinct()
+
+
 def near_classes(docs: DataFrame, row: str, text: str = "text", least: float = 0.8) -> DataFrame:
     """``(row, class_id)`` for the distinct values of the bigint ``row``: rows of one class are linked, directly
     or through others, by similarities of at least ``least``; the class id is the smallest row.
 
-    An id of unlike texts has a row for each of their classes.  If the smallest member of a class is such a
+    Rows of a null ``row`` have no class.  An id of unlike texts has a row for each of their classes.  If the smallest member of a class is such a
     text, but not the one of the smallest hash, a hash of id and text is the class id.
     """
-    texts = docs.select(F.col(row).alias("row"), F.col(text).cast("string").alias("text"))
+    texts = _identified(docs, row, text)
     repeated = _repeated_ids(texts)
     if repeated is None:
         return _classes(texts, least)
     return _unit_classes(texts, repeated, least).select("row", F.col("own.unit").alias("class_id")).distinct()
 
 
+def _identified(docs: DataFrame, row: str, text: str) -> DataFrame:
+    """The texts with an id; rows without one belong to no class."""
+    return docs.select(F.col(row).alias("row"), F.col(text).cast("string").alias("text")).filter("row is not null")
+
+
 def _repeated_ids(texts: DataFrame) -> DataFrame | None:
     """``(id, first_mark)`` of the ids of unlike texts, told apart by their hash; None without such ids."""
-    marks = texts.filter("row is not null").groupBy(F.col("row").alias("id")).agg(F.min(F.xxhash64("text")).alias("first_mark"), F.max(F.xxhash64("text")).alias("last_mark"))
+    marks = texts.groupBy(F.col("row").alias("id")).agg(F.min(F.xxhash64("text")).alias("first_mark"), F.max(F.xxhash64("text")).alias("last_mark"))
     repeated = stage(marks.filter("first_mark <> last_mark").select("id", "first_mark"), "repeated-ids")
     return None if repeated.isEmpty() else repeated
 
 
 def _unit_classes(texts: DataFrame, repeated: DataFrame, least: float) -> DataFrame:
     """``(row, mark, own)`` for each text of each id: ``own`` is the ``(row, mark, unit)`` of the smallest of its class."""
-    marked = texts.filter("row is not null").withColumn("mark", F.xxhash64("text")).join(bounded(repeated), F.col("row") == F.col("id"), "left")
+    marked = texts.withColumn("mark", F.xxhash64("text")).join(bounded(repeated), F.col("row") == F.col("id"), "left")
     number = F.when(F.col("first_mark").isNull() | (F.col("mark") == F.col("first_mark")), F.col("row")).otherwise(F.xxhash64("row", "mark", F.lit(5)))
     units = stage(marked.select("row", "mark", number.alias("unit"), "text"), "units")
     classes = _classes(units.select(F.col("unit").alias("row"), "text"), least).withColumnRenamed("row", "unit")
@@ -239,9 +258,9 @@ def _classes(texts: DataFrame, least: float) -> DataFrame:
     heads = worded.join(classes.filter("row = class").select("row"), "row", "left_semi")
     # one row of each class: repeated rows have the same bands
     members = heads.select("row", F.posexplode("bands").alias("band", "hash")).select("row", F.xxhash64("band", "hash").alias("bucket")).distinct()
-    shared = members.groupBy("bucket").agg(F.min("row").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     buckets = stage(members.join(shared, "bucket"), "buckets")
-    tried = stage(buckets.filter("row > hub").groupBy("row").agg(F.min("hub").alias("hub")).select(F.col("row").alias("a"), F.col("hub").alias("b")), "pairs")
+    tried = stage(_first_pairs(buckets), "pairs")
     links = stage(verify(tried, texts, least).distinct(), "links")
     open_buckets = buckets.select("bucket", "row")
     hubs = 1
@@ -263,7 +282,7 @@ def _classes(texts: DataFrame, least: float) -> DataFrame:
         open_buckets = open_rows.filter(~chosen).select("bucket", "row")
     merged = components(links).withColumnRenamed("node", "class")
     named = classes.join(merged, "class", "left").select("row", F.coalesce("label", "class").alias("class_id"))
-    rest = texts.filter("text is null and row is not null").select("row").distinct().join(classes.select("row"), "row", "left_anti").select("row", F.col("row").alias("class_id"))
+    rest = texts.filter("text is null").select("row").distinct().join(classes.select("row"), "row", "left_anti").select("row", F.col("row").alias("class_id"))
     return named.unionByName(rest)
 
 
@@ -272,7 +291,7 @@ def keep_one_of_each(docs: DataFrame, row: str, text: str = "text", least: float
 
     Texts of one id are classed each.  Rows without an id or text belong to no class and stay.
     """
-    texts = docs.select(F.col(row).alias("row"), F.col(text).cast("string").alias("text"))
+    texts = _identified(docs, row, text)
     repeated = _repeated_ids(texts)
     mark = F.xxhash64(docs[text].cast("string"))
     if repeated is None:
@@ -283,7 +302,7 @@ def keep_one_of_each(docs: DataFrame, row: str, text: str = "text", least: float
         later = later.select(F.col("row").alias("__later"), F.col("mark").alias("__mark"))
         kept = docs.join(later, (docs[row] == F.col("__later")) & (mark == F.col("__mark")), "left_anti")
     # equal texts of one id: counted apart, as hardly any row is one
-    held = texts.filter("row is not null and text is not null").groupBy(F.col("row").alias("__id"), F.xxhash64("text").alias("__mark"))
+    held = texts.filter("text is not null").groupBy(F.col("row").alias("__id"), F.xxhash64("text").alias("__mark"))
     again = stage(held.count().filter("count > 1").select("__id", "__mark"), "repeated-rows")
     if again.isEmpty():
         return kept
