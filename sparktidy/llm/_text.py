@@ -6,6 +6,7 @@ Hashes are 64-bit polynomials over random byte values, mixed to full avalanche.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -58,6 +59,15 @@ powers = _Powers(_ODD)
 inverse_powers = _Powers(pow(_ODD, -1, 1 << 64))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on after its task, beside those of later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this C library
+        pass
+
+
 def row_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive rows of at most ``limit`` bytes of text; a longer text comes alone."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from sparktidy.llm._frames import bounded
 from sparktidy.llm._graph import components
-from sparktidy.llm._text import Words, mix, row_slices, shingles
+from sparktidy.llm._text import Words, give_back, mix, row_slices, shingles
 from sparktidy.workspace import stage
 
 SHINGLE = 5
@@ -143,6 +143,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [part.column("row"), pa.array(weight.astype(np.int64)), *map(pa.array, marks), *map(pa.array, bits.T.copy()), *map(pa.array, odd.T.copy()), flat],
                 names=["row", "weight", "mark1", "mark2", *OUTLINE[1:], "bands"],
             )
+    give_back()
 
 
 def _similar(least: float):
@@ -160,6 +161,7 @@ def _similar(least: float):
                 union = weight[:n] + weight[n:] - common
                 keep = common >= least * union
                 yield pa.RecordBatch.from_arrays([part.column("a").filter(pa.array(keep)), part.column("b").filter(pa.array(keep))], names=["a", "b"])
+        give_back()
 
     return run
 

@@ -27,13 +27,13 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktidy.llm._text import row_slices
+from sparktidy.llm._text import give_back, row_slices
 
 SPACE = "▁"
-SLICE = 1 << 20
-PAIRS_KEPT = 2_000_000
-CHUNKS_KEPT = 250_000
-IDS_KEPT = 2_000_000
+SLICE = 1 << 19
+PAIRS_KEPT = 1_000_000
+CHUNKS_KEPT = 120_000
+IDS_KEPT = 800_000
 _SLOTS = 1 << 20
 _CHUNK = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
 
@@ -283,24 +283,21 @@ def _open(shared) -> PieceModel:
     return held["model"]
 
 
-def _encode(shared, check: bool):
+def _encode(shared, text: str, keep: list[str], check: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         model = _open(shared)
         for batch in batches:
-            for part in row_slices(batch, "__text", SLICE):
-                texts = part.column("__text")
+            for part in row_slices(batch, text, SLICE):
+                texts = part.column(text)
                 ids, ends = model.encode(texts.to_pylist())
                 mask = texts.is_null() if texts.null_count else None
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()), mask=mask)
-                at = part.schema.names.index("__text")
-                columns = [*(c for i, c in enumerate(part.columns) if i != at), lists]
-                names = [*(x for i, x in enumerate(part.schema.names) if i != at), "ids"]
+                columns = [*map(part.column, keep), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()), mask=mask)]
                 if check:
-                    flat = ids.tolist()
-                    same = [t == back if t is not None else None for t, back in zip(texts.to_pylist(), (model.decode(flat[a:b]) for a, b in zip(ends, ends[1:])))]
-                    columns.append(pa.array(same, pa.bool_()))
-                    names.append("round_trip")
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                    rows = zip(texts, ends, ends[1:])
+                    columns.append(pa.array((model.decode(ids[a:b].tolist()) == t.as_py() if t.is_valid else None for t, a, b in rows), pa.bool_()))
+                yield pa.RecordBatch.from_arrays(columns, names=[*keep, "ids", *["round_trip"] * check])
+        give_back()
 
     return run
 
@@ -323,9 +320,10 @@ def encode(df: DataFrame, model: PieceModel, text: str = "text", keep: list[str]
     """``keep`` (all columns by default) with ``ids``; with ``check`` also ``round_trip``, whether decoding
     them in the same pass gives the text back.  Columns of these names are replaced."""
     keep = [c for c in (keep if keep is not None else df.columns) if c.lower() not in ("ids", "round_trip")]
-    shared = _share(df, model)
-    rows = df.select(*keep, F.col(text).cast("string").alias("__text"))
-    return rows.mapInArrow(_encode(shared, check), f"{_fields(df.select(*keep))}, ids array<int>" + ", round_trip boolean" * check)
+    shared, rows = _share(df, model), df.select(*keep)
+    held = text in keep and dict(rows.dtypes)[text] == "string"  # a kept text is sent once
+    sent = rows if held else df.select(*keep, F.col(text).cast("string").alias("__text"))
+    return sent.mapInArrow(_encode(shared, text if held else "__text", keep, check), f"{_fields(rows)}, ids array<int>" + ", round_trip boolean" * check)
 
 
 def decode(df: DataFrame, model: PieceModel) -> DataFrame:
