@@ -49,9 +49,9 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     added = ("ids", "n_pieces", "round_trip")
-    rows = docs.select(F.struct(*[c for c in docs.columns if c.lower() not in added]).alias("row"))
-    coded = pieces.encode(rows, pieces.load_model(PIECES), text="row.text", check=True)
-    return coded.select("row.*", "ids", F.size("ids").alias("n_pieces"), "round_trip")
+    rows = docs.select(*[c for c in docs.columns if c.lower() not in added])
+    coded = pieces.encode(rows, pieces.load_model(PIECES), check=True)
+    return coded.withColumn("n_pieces", F.size("ids")).select(*rows.columns, "ids", "n_pieces", "round_trip")
 
 
 STAGES: list[tuple[str, Stage]] = [
