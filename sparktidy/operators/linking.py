@@ -1,9 +1,12 @@
 """Record linking: rows sharing any complete key set belong together, transitively.
 
 Rows that agree on a key set form a star around the smallest row id, so there are at most
-``rows x key sets`` edges and never a pair list.  The stars of all key sets are merged by
-alternating large-star and small-star rounds (Kiveris et al., "Connected Components in MapReduce
-and Beyond", SoCC 2014); each round is a handful of group-bys and joins on 64-bit ids.
+``rows x key sets`` edges and never a pair list.  Components are found by contraction: in each round
+every node joins the first node of its neighbourhood, joined nodes become one, and edges are relabelled
+to them.  The first round goes by row id, which folds the stars of the keys, however large; later rounds
+go by a hash that changes with the round, so that a path of any order shrinks by a constant factor and
+the rounds are logarithmic in its length (Bögeholz, Brand and Todor, "In-database connected component
+analysis", ICDE 2020).  Edges are pairs of 64-bit ids; each round has fewer.
 """
 
 from __future__ import annotations
@@ -11,11 +14,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparktidy.operators.skew import lookup_per_key
-from sparktidy.workspace import cut_lineage
+from sparktidy.workspace import Rounds, stage
 
 
 def star_edges(df: DataFrame, key_set: Sequence[str], row_id: str) -> DataFrame:
@@ -33,51 +36,57 @@ def star_edges(df: DataFrame, key_set: Sequence[str], row_id: str) -> DataFrame:
     )
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Re-attach every child to the smallest known neighbour of its parent."""
-    upward = edges.groupBy("child").agg(F.min("parent").alias("target"))
-    targets = (
-        edges.groupBy("parent")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .join(upward.withColumnRenamed("child", "parent"), "parent", "left")
-        .withColumn("target", F.coalesce("target", "parent"))
-    )
-    return (
-        lookup_per_key(edges, targets, ["parent"], weight="__n", spread_by="child")
-        .select("child", F.col("target").alias("parent"))
-        .distinct()
-    )
+def _rank(node: Column, round_no: int) -> Column:
+    return node if round_no == 0 else F.xxhash64(node, F.lit(round_no))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    """Re-attach a child and all its parents to the smallest of them."""
-    smallest = edges.groupBy("child").agg(
-        F.min("parent").alias("target"), F.count(F.lit(1)).alias("__n")
-    )
-    moved = lookup_per_key(edges, smallest, ["child"], weight="__n", spread_by="parent").select(
-        F.when(F.col("parent") == F.col("target"), F.col("child"))
-        .otherwise(F.col("parent"))
-        .alias("child"),
-        F.col("target").alias("parent"),
-    )
-    # the child itself hangs under the target as well; its edge to the smallest parent gives that row
-    return moved.distinct()
+def joined_nodes(edges: DataFrame, round_no: int) -> DataFrame:
+    """``(node, into, n)``: nodes that join another one, with the number of their edges."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("child").alias("node"), F.col("parent").alias("other")), F.struct(F.col("parent").alias("node"), F.col("child").alias("other")))).alias("e"))
+    first = F.min(F.struct(_rank(F.col("e.other"), round_no).alias("rank"), F.col("e.other").alias("into")))
+    chosen = ends.groupBy(F.col("e.node").alias("node")).agg(first.alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = F.struct(F.col("first.rank"), F.col("first.into")) < F.struct(_rank(F.col("node"), round_no), F.col("node"))
+    return chosen.filter(earlier).select("node", F.col("first.into").alias("into"), "n")
 
 
-def _is_star_forest(edges: DataFrame) -> bool:
-    """Every child has one parent and no parent is itself a child."""
-    roles = edges.select(F.col("child").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
-    roles = roles.unionAll(edges.select("parent", F.lit(0), F.lit(1)))
-    per_node = roles.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
-    return per_node.filter("up > 1 or (up > 0 and down > 0)").isEmpty()
+def contracted(edges: DataFrame, joins: DataFrame) -> DataFrame:
+    """The edges between the nodes that are left; what has become one node has none."""
+    for end, other in (("child", "parent"), ("parent", "child")):
+        moved = lookup_per_key(edges, joins.withColumnRenamed("node", end), [end], weight="n", spread_by=other)
+        edges = moved.select(F.coalesce("into", end).alias(end), other)
+    different = edges.filter("child <> parent")
+    return different.select(F.greatest("child", "parent").alias("child"), F.least("child", "parent").alias("parent")).distinct()
 
 
 def connected_stars(edges: DataFrame) -> DataFrame:
     """``(child, parent)`` edges -> ``(child, smallest node of its component)``."""
-    edges = cut_lineage(edges.filter("child > parent").distinct())
-    while not _is_star_forest(edges):
-        edges = cut_lineage(_small_star(_large_star(edges)))
-    return edges
+    spark = edges.sparkSession
+    left = Rounds(spark, "edges")
+    edges = left.keep(edges.filter("child > parent").distinct())
+    rounds: list[DataFrame] = []
+    while not edges.isEmpty():
+        rounds.append(stage(joined_nodes(edges, len(rounds)), "joins"))
+        edges = left.keep(contracted(edges, rounds[-1]))
+        left.drop_all_but(1)
+    left.drop_all_but(0)
+    if not rounds:
+        return spark.createDataFrame([], "child bigint, parent bigint")
+    # where nodes are in the end: the last rounds, with the fewest nodes, first
+    whole = Rounds(spark, "places")
+    places = rounds.pop().select("node", "into")
+    while rounds:
+        before = rounds.pop()
+        sizes = places.select(F.col("node").alias("into"), F.col("into").alias("onward"))
+        sent = before.select("node", "into").join(sizes, "into", "left")
+        # a node that joined in this round may have lent its name to others that it took in
+        later = places.join(before.select("node"), "node", "left_anti")
+        places = whole.keep(sent.select("node", F.coalesce("onward", "into").alias("into")).unionByName(later))
+        whole.drop_all_but(1)
+    # a node whose name stands for a component may have been told where it went, or not
+    members = places.unionByName(places.select(F.col("into").alias("node"), "into")).distinct()
+    smallest = members.groupBy("into").agg(F.min("node").alias("parent"), F.count(F.lit(1)).alias("n"))
+    ends = lookup_per_key(members, smallest, ["into"], weight="n", spread_by="node").select(F.col("node").alias("child"), "parent")
+    return stage(ends.filter("child <> parent"), "stars")
 
 
 def link_labels(df: DataFrame, key_sets: Sequence[Sequence[str]], row_id: str) -> DataFrame:

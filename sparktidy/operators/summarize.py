@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -74,22 +74,23 @@ def reconcile(
     expected: str = "suma_z_pliku",
     actual: str = "suma_po_scaleniu",
     verdict: str = "zgodne",
+    kept: Column | None = None,
+    apart: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Compare the declared total of each source with the sum of its rows.
 
-    ``controls``: one row per source that declares a total.  An unreadable total never agrees.
+    ``controls``: one row per source that declares a total.  An unreadable total never agrees.  With
+    ``kept`` only those rows count; ``apart`` adds columns with the amounts of rows that were left out,
+    all from one aggregate, so a difference can be traced to where it was lost.
     """
-    sums = facts.groupBy(source).agg(F.sum(value).alias(actual))
+    zero = F.lit(0).cast("decimal(18,2)")
+    amount = F.col(value) if kept is None else F.when(kept, F.col(value))
+    others = {name: F.sum(F.when(condition, F.col(value))) for name, condition in (apart or {}).items()}
+    sums = facts.groupBy(source).agg(F.sum(amount).alias(actual), *[total.alias(name) for name, total in others.items()])
     difference = F.abs(F.col(expected) - F.col(actual))
-    return (
-        controls.select(source, expected)
-        .join(sums, source, "left")
-        .withColumn(actual, F.coalesce(F.col(actual), F.lit(0).cast("decimal(18,2)")))
-        .withColumn(
-            verdict,
-            F.when(difference < 0.01, rulepack.AGREES).otherwise(rulepack.DIFFERS),
-        )
-    )
+    joined = controls.select(source, expected).join(sums, source, "left")
+    filled = joined.withColumns({name: F.coalesce(F.col(name), zero) for name in (actual, *others)})
+    return filled.withColumn(verdict, F.when(difference < 0.01, rulepack.AGREES).otherwise(rulepack.DIFFERS))
 
 
 def total_difference(checks: DataFrame, expected: str = "suma_z_pliku", actual: str = "suma_po_scaleniu") -> DataFrame:

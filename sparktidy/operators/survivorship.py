@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sparktidy.workspace import stage
+from sparktidy.operators.numbering import number_rows
 
 # ids per text cell; a longer list continues in further parts
 IDS_PER_PART = 10_000
@@ -27,11 +26,10 @@ def earliest_first(date_column: str, row_id: str) -> list[Column]:
 
 
 def sorted_ids(id_column: str, separator: str = ", ", limit: int = IDS_PER_PART) -> Column:
-    """Aggregate: ids of the group in order as one text; null for groups larger than ``limit``.
+    """Aggregate: ids of the group in order as one text, for groups of up to ``limit`` rows.
 
-    Rows of larger groups are filtered out before collecting (``group_size`` comes with the
-    linking result), so no task ever holds more than ``limit`` ids; :func:`merged_ids` delivers
-    those lists whole, in parts.
+    Ids of larger groups are left out before collecting (``group_size`` comes with the linking
+    result), so no task ever collects more than ``limit`` ids; :func:`with_id_text` fills those in.
     """
     small = F.when(F.col("group_size") <= limit, F.col(id_column))
     text = F.array_join(F.array_sort(F.collect_list(small)), separator)
@@ -62,49 +60,37 @@ def golden_records(
     return single.unionByName(grouped)
 
 
+def membership(linked: DataFrame, id_column: str) -> DataFrame:
+    """``(group_id, position, id)``: every id of every group of several rows, positions from 0 in the order of ids.
+
+    Positions are counted range by range, so a group of any size takes as many tasks as it needs.
+    """
+    members = linked.filter("group_size > 1").select("group_id", F.col(id_column).alias("id")).filter("id is not null")
+    return number_rows(members, [F.col("id")], "position", 0, ["group_id"]).select("group_id", F.col("position").cast("bigint").alias("position"), "id")
+
+
 def merged_ids(
     linked: DataFrame, id_column: str, separator: str = ", ", per_part: int = IDS_PER_PART
 ) -> DataFrame:
-    """``(group_id, part_no, record_ids, ids)`` for groups of several rows, ids in order.
-
-    A group of up to ``per_part`` ids is a single part.  Larger ones are range-partitioned by
-    ``(group, id)``, numbered inside each range and shifted by the counts of the ranges before, so
-    a group of any size is cut into parts without visiting one task.
-    """
-    members = linked.filter("group_size > 1").select(
-        "group_id", "group_size", F.col(id_column).alias("member")
-    ).filter("member is not null")
-    small = members.filter(F.col("group_size") <= per_part).withColumn("part_no", F.lit(0).cast("bigint"))
-    large = members.filter(F.col("group_size") > per_part)
-    if large.isEmpty():
-        parts = small
-    else:
-        parts = small.unionByName(
-            _positions(large).withColumn(
-                "part_no", F.floor(F.col("position") / per_part).cast("bigint")
-            ).drop("position")
-        )
+    """``(group_id, part_no, record_ids, ids)``: :func:`membership` as texts of at most ``per_part`` ids."""
+    parts = membership(linked, id_column).withColumn("part_no", F.expr(f"position div {per_part}"))
     return parts.groupBy("group_id", "part_no").agg(
-        F.array_join(F.array_sort(F.collect_list("member")), separator).alias("record_ids"),
+        F.array_join(F.array_sort(F.collect_list("id")), separator).alias("record_ids"),
         F.count(F.lit(1)).alias("ids"),
     )
 
 
-def _positions(members: DataFrame) -> DataFrame:
-    """Zero-based position of each member in the order of its group, computed range by range."""
-    ranged = stage(
-        members.repartitionByRange("group_id", "member").withColumn("range_no", F.spark_partition_id()),
-        "member-ranges",
-    )
-    counts = ranged.groupBy("group_id", "range_no").agg(F.count(F.lit(1)).alias("n"))
-    before = F.sum("n").over(
-        W.partitionBy("group_id").orderBy("range_no").rowsBetween(W.unboundedPreceding, -1)
-    )
-    offsets = counts.select("group_id", "range_no", F.coalesce(before, F.lit(0)).alias("offset"))
-    within = F.row_number().over(W.partitionBy("group_id", "range_no").orderBy("member")) - 1
-    return (
-        ranged.withColumn("within", within)
-        .join(offsets, ["group_id", "range_no"])
-        .withColumn("position", F.col("within") + F.col("offset"))
-        .select(*members.columns, "position")
-    )
+def long_id_texts(linked: DataFrame, id_column: str, separator: str = ", ", limit: int = IDS_PER_PART) -> DataFrame:
+    """``(group_id, record_ids)`` of the groups of more than ``limit`` rows, each list whole.
+
+    Sorted parts are joined in order, so a task holds one text, not the rows of its group.
+    """
+    parts = merged_ids(linked.filter(F.col("group_size") > limit), id_column, separator, limit)
+    ordered = F.array_sort(F.collect_list(F.struct("part_no", "record_ids")))
+    return parts.groupBy("group_id").agg(F.array_join(F.transform(ordered, lambda p: p["record_ids"]), separator).alias("record_ids"))
+
+
+def with_id_text(golden: DataFrame, linked: DataFrame, id_column: str, text: str, limit: int = IDS_PER_PART) -> DataFrame:
+    """``golden`` with :func:`sorted_ids` in ``text`` completed for the groups beyond its limit."""
+    long = long_id_texts(linked, id_column, limit=limit).withColumnRenamed("record_ids", "__ids")
+    return golden.join(long, "group_id", "left").withColumn(text, F.coalesce(F.col(text), "__ids")).select(*golden.columns)

@@ -31,7 +31,7 @@ from sparktidy.operators.columns import standardize_columns
 from sparktidy.operators.dedup import dedup_exact
 from sparktidy.operators.linking import link_records
 from sparktidy.operators.quality import Step
-from sparktidy.operators.survivorship import golden_records, merged_ids, sorted_ids
+from sparktidy.operators.survivorship import golden_records, membership, merged_ids, sorted_ids, with_id_text
 from sparktidy.sources.delimited import SOURCE_FILE, read_csv_files
 from sparktidy.workspace import stage
 
@@ -155,6 +155,7 @@ def golden_customers(linked: DataFrame, row_id: str) -> DataFrame:
             "scalone_id": (sorted_ids("id_klienta"), F.coalesce("id_klienta", F.lit(""))),
         },
     )
+    golden = with_id_text(golden, linked, "id_klienta", "scalone_id")
     return golden.withColumn("do_sprawdzenia", quality.join_issues(list(record_issues().values())))
 
 
@@ -185,6 +186,11 @@ class CustomerTables:
             "id_klienta", "imie", "nazwisko", "email", "liczba_rekordow", "scalone_id", "wartosc_zamowien_pln"
         )
 
+    @property
+    def members(self) -> DataFrame:
+        """Every merged customer id with its group and position."""
+        return membership(self.linked, "id_klienta")
+
     @property
     def merged_id_lists(self) -> DataFrame:
         """Id lists of merged customers, whole, in parts of bounded length."""

@@ -94,6 +94,12 @@ def typed_catalog(df: DataFrame, synonyms: Mapping[str, Iterable[str]] = rulepac
     ).select("sku", "nazwa_produktu", "kategoria", "cena_katalogowa")
 
 
+def reject_reason() -> Column:
+    """Unreadable required columns, or a value too large for an amount of money; empty for a good row."""
+    too_large = F.col("ilosc").isNotNull() & F.col("cena_jedn").isNotNull() & line_value(F.col("ilosc"), F.col("cena_jedn")).isNull()
+    return F.concat_ws(", ", F.nullif(quality.unreadable(REQUIRED), F.lit("")), F.when(too_large, F.lit("wartosc_brutto")))
+
+
 def priced_sales(matched: DataFrame) -> DataFrame:
     """Derived columns of the merged table."""
     return matched.withColumns(
@@ -155,7 +161,9 @@ class SalesTables:
 
     @property
     def checks(self) -> DataFrame:
-        return summarize.reconcile(self.sales, self.controls, "oddzial", "wartosc_brutto")
+        """Declared totals beside what was kept, left out as a repeat, and rejected."""
+        apart = {"kwota_powtorek": F.col("is_repeat"), "kwota_odrzuconych": F.expr("not is_repeat and reason <> ''")}
+        return summarize.reconcile(self.every, self.controls, "oddzial", "wartosc_brutto", kept=F.expr(_ACCEPTED), apart=apart)
 
     @property
     def control_difference(self) -> DataFrame:
@@ -268,7 +276,7 @@ def merge_sales(
     """``typed`` from :func:`merge_branches`, ``catalog`` from :func:`typed_catalog`."""
     typed = stage(typed, "sales-typed")
     marked = mark_repeats(typed, DOCUMENT, row_id, F.col("nr_transakcji").isNotNull())
-    marked = marked.withColumn("reason", quality.unreadable(REQUIRED))
+    marked = marked.withColumn("reason", reject_reason())
     matched = enrich(marked, catalog, "sku", row_id, matched="w_katalogu")
     return SalesTables(stage(priced_sales(matched), "sales"), controls, row_id)
 

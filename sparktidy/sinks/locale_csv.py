@@ -11,16 +11,31 @@ from sparktidy.operators.columns import quoted
 BOM = "﻿"
 
 
+def _shortest(value: Column) -> Column:
+    """The fewest digits that give the double back; the JVM itself may print one or two more."""
+    text = value.cast("string")
+    found = text
+    for digits in (16, 15):
+        trial = F.format_string(f"%.{digits - 1}E", value)
+        found = F.when(trial.try_cast("double") == value, trial).otherwise(found)
+    return F.when(F.length(text) <= 16, text).otherwise(found)
+
+
 def _float_text(value: Column) -> Column:
-    """Shortest notation without exponent."""
-    plain = F.regexp_replace(value.try_cast("decimal(38,10)").cast("string"), "(\\.[0-9]*?)0+$", "$1")
-    whole = F.concat(value.try_cast("bigint").cast("string"), F.lit(".0"))
-    short = value.cast("string")
-    return (
-        F.when((value == F.floor(value)) & (F.abs(value) < 1e15), whole)
-        .when((F.abs(value) >= 1e7) | (F.abs(value) < 1e-3), plain)
-        .otherwise(short)
+    """The shortest text of a double, exactly, without exponent: its digits around a moved point."""
+    short = _shortest(value)
+    sign = F.when(F.startswith(short, F.lit("-")), "-").otherwise("")
+    whole = F.regexp_extract(short, r"^-?([0-9]+)\.", 1)
+    digits = F.concat(whole, F.regexp_extract(short, r"\.([0-9]+?)0*(?:E|$)", 1))
+    exponent = F.regexp_extract(short, r"E[+]?(-?[0-9]+)$", 1).try_cast("int")
+    point, n = F.length(whole) + exponent, F.length(digits)
+    zero = F.lit("0")
+    moved = (
+        F.when(point <= 0, F.concat(F.lit("0."), F.repeat(zero, -point), digits))
+        .when(point >= n, F.concat(digits, F.repeat(zero, point - n), F.lit(".0")))
+        .otherwise(F.concat(F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, n)))
     )
+    return F.when(F.contains(short, F.lit("E")), F.concat(sign, moved)).otherwise(short)
 
 
 def render_locale(df: DataFrame) -> DataFrame:

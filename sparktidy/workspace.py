@@ -48,6 +48,29 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Rounds:
+    """Staged tables of an iterative operator, of which only the last ones are needed."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name = spark, name
+        self.paths: list[str] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Write ``df`` as the next table."""
+        path = scratch_path(self.spark, self.name)
+        df.write.parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop_all_but(self, last: int) -> None:
+        """Remove the tables of earlier rounds; nothing may read them any more."""
+        gone = self.paths[: len(self.paths) - last]
+        self.paths = self.paths[len(gone) :]
+        for path in gone:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, for the rounds of an iterative operator."""
     shared_dir(df.sparkSession)

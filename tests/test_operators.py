@@ -83,6 +83,39 @@ def test_a_hot_key_and_oversized_groups(spark, heavy):
     assert [(r.group_id, r.group_size) for r in big] == [(1, 60)]
 
 
+def test_components_match_brute_force(spark, heavy):
+    rng = random.Random(8)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(i, i + 1) for i in range(500, 640)] + [(700, i) for i in range(701, 790)]
+    group = {n: n for e in edges for n in e}
+
+    def top(n):
+        while group[n] != n:
+            n = group[n]
+        return n
+
+    for a, b in edges:
+        group[max(top(a), top(b))] = min(top(a), top(b))
+    df = spark.createDataFrame([(max(e), min(e)) for e in edges], "child bigint, parent bigint")
+    got = sorted(map(tuple, linking.connected_stars(df).collect()))
+    assert got == sorted((n, top(n)) for n in group if n != top(n))
+
+
+def test_a_round_of_linking_is_one_shuffle_an_end(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(linking, "contracted", lambda e, j, real=linking.contracted: rounds.append((e, j)) or real(e, j))
+    chain = spark.range(1, 2000).selectExpr("id as child", "id - 1 as parent")
+    assert linking.connected_stars(chain).filter("parent = 0").count() == 1999
+    assert len(rounds) <= 20  # a path of 2000 nodes
+    edges, joins = spark.range(5).selectExpr("id + 1 as child", "id as parent"), spark.range(5).selectExpr("id as node", "id - 1 as into", "1L as n")
+
+    def hashed(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+    assert hashed(linking.joined_nodes(edges, 0)) == 1
+    # two sides for each end, and the distinct edges
+    assert hashed(linking.contracted(edges, joins)) <= 5
+
+
 def test_linking_nothing(spark):
     df = spark.createDataFrame([(1, None, "a", None), (2, "x", "b", None)], SCHEMA)
     assert sorted(map(tuple, linking.link_records(df, KEYS, "row_id").select("row_id", "group_id", "group_size").collect())) == [(1, 1, 1), (2, 2, 1)]
@@ -142,9 +175,10 @@ def test_golden_record_and_id_lists(spark):
     golden = survivorship.golden_records(linked, ["id", "v"], "d", "row_id", {
         "d": (F.min("d"), F.col("d")), "amount": (F.sum("amount"), F.col("amount")), "n": (F.count(F.lit(1)), F.lit(1).cast("bigint")),
         "ids": (survivorship.sorted_ids("id", limit=2), F.coalesce("id", F.lit("")))})
+    golden = survivorship.with_id_text(golden, linked, "id", "ids", limit=2)
     got = {r.group_id: (r.id, r.v, str(r.d), r.amount, r.n, r.ids) for r in golden.collect()}
-    # v of the earliest dated row that has one; a list above the limit is left to the parts
-    assert got == {1: ("K2", "c", "2024-01-01", 3.5, 3, None), 4: ("K9", None, "None", None, 1, "K9"), 5: ("K5", "x", "None", 2.0, 2, "K5")}
+    # v of the earliest dated row that has one; a list above the limit is filled in from its parts
+    assert got == {1: ("K2", "c", "2024-01-01", 3.5, 3, "K1, K2, K3"), 4: ("K9", None, "None", None, 1, "K9"), 5: ("K5", "x", "None", 2.0, 2, "K5")}
 
 
 @pytest.mark.parametrize("per_part", [3, 1000])

@@ -262,7 +262,23 @@ GOLDEN_CTE = f"{LINK_CTE},{_GOLDEN_CTE}"
 
 ORACLES["link_records"] = f"{LINK_CTE} select row_id, group_id, group_size from linked"
 ORACLES["golden_record"] = f"{GOLDEN_CTE} select * from golden"
-ORACLES["merged_ids"] = f"""{LINK_CTE} select group_id, cast(0 as bigint) part_no, string_agg(id_klienta_txt, ', ' order by id_klienta_txt) record_ids,
+ORACLES["merged_ids"] = f"""{LINK_CTE} select group_id, row_number() over (partition by group_id order by id_klienta_txt) - 1 as position, id_klienta_txt id
+ from linked where group_size > 1 and id_klienta_txt is not null"""
+_LARGE = "select cast(ascii(l_returnflag) as bigint) group_id, 'L' || l_orderkey || '-' || l_linenumber id from lineitem"
+ORACLES["membership_of_large_groups"] = f"select group_id, row_number() over (partition by group_id order by id) - 1 as position, id from ({_LARGE}) l"
+ORACLES["id_texts_of_large_groups"] = f"""select group_id, md5(string_agg(id, ', ' order by id)) digest, cast(length(string_agg(id, ', ' order by id)) as bigint) chars
+ from ({_LARGE}) l group by group_id having count(*) > 10000"""
+ORACLES["link_items"] = f"""select row_id, case when chain % 3 = 0 then 0 else chain * 1000 end group_id,
+ count(*) over (partition by case when chain % 3 = 0 then 0 else chain * 1000 end) group_size from (select row_id, row_id // 1000 chain from {NUMBERED}) l"""
+ORACLES["reject_overflow"] = f"""select row_id, oddzial, concat_ws(', ', case when data is null then 'data' end, case when ilosc is null then 'ilosc' end, case when cena_jedn is null then 'cena_jedn' end,
+ case when ilosc * case when row_id % 100 = 7 then cena_jedn * 1e16 else cena_jedn end >= 1e16 then 'wartosc_brutto' end) reason from ({SALE_ROWS}) t
+ where data is null or ilosc is null or cena_jedn is null or ilosc * case when row_id % 100 = 7 then cena_jedn * 1e16 else cena_jedn end >= 1e16"""
+ORACLES["locale_csv_floats"] = """with n as (select row_id, cast(l_linenumber as varchar) w, rtrim(cast(l_suppkey % 90 + 10 as varchar), '0') f, l_partkey % 60 - 30 e from """ + NUMBERED + """ l),
+d as (select row_id, w || f digits, length(w) + e point from n),
+t as (select row_id, case when point <= 0 then '0.' || repeat('0', cast(-point as bigint)) || digits when point >= length(digits) then digits || repeat('0', cast(point - length(digits) as bigint)) || '.0'
+ else substr(digits, 1, cast(point as bigint)) || '.' || substr(digits, cast(point + 1 as bigint)) end v from d)
+select row_id, replace(v, '.', ',') as value from t"""
+ORACLES["merged_id_parts"] = f"""{LINK_CTE} select group_id, cast(0 as bigint) part_no, string_agg(id_klienta_txt, ', ' order by id_klienta_txt) record_ids,
  count(id_klienta_txt) ids from linked where group_size > 1 and id_klienta_txt is not null group by group_id"""
 ORACLES["record_issues"] = f"""{GOLDEN_CTE}
 select id_klienta, 'email' as rule, i1 issue from issues where i1 is not null
@@ -354,8 +370,11 @@ from sold group by sku, nazwa_produktu order by przychod desc, sku, nazwa_produk
 ORACLES["unmatched_summary"] = f"""{_SALES_CTE} select oddzial, sku, count(*) transakcje, cast(sum(wartosc_brutto) as double) wartosc
 from sold where not w_katalogu group by oddzial, sku"""
 _CHECKS = """select oddzial, suma_z_pliku, (select coalesce(sum(wartosc_brutto), 0) from sold where sold.oddzial = controls.oddzial) suma_po_scaleniu from controls"""
+_APART = f"""select oddzial, sum({money('ilosc * cena_jedn')}) filter (where is_repeat) repeated,
+ sum({money('ilosc * cena_jedn')}) filter (where not is_repeat and (data is null or ilosc is null or cena_jedn is null)) rejected from marked group by oddzial"""
 ORACLES["reconcile_totals"] = f"""{_SALES_CTE} select oddzial, cast(suma_z_pliku as double) suma_z_pliku, cast(suma_po_scaleniu as double) suma_po_scaleniu,
- case when abs(suma_z_pliku - suma_po_scaleniu) < 0.01 then 'TAK' else 'NIE' end zgodne from ({_CHECKS}) checks"""
+ cast(coalesce(repeated, 0) as double) kwota_powtorek, cast(coalesce(rejected, 0) as double) kwota_odrzuconych,
+ case when abs(suma_z_pliku - suma_po_scaleniu) < 0.01 then 'TAK' else 'NIE' end zgodne from ({_CHECKS}) checks left join ({_APART}) apart using (oddzial)"""
 ORACLES["control_difference"] = f"{_SALES_CTE} select cast(coalesce(sum(abs(suma_z_pliku - suma_po_scaleniu)), 0) as double) control_difference from ({_CHECKS}) checks"
 _SAMPLE_ORDER = "row_number() over (partition by oddzial order by data, row_id)"
 ORACLES["sample_per_branch"] = f"""{_SALES_CTE}, pool as (select *, case oddzial when 'C' then 2 else 1 end n, coalesce(sku_raw, '') <> sku messy from sold where w_katalogu),
@@ -407,7 +426,7 @@ ORACLES["report_manifest"] = f"""{_SALES_CTE}, t(name, rows, columns) as (
  union all select 'kategorie', count(distinct kategoria) + 1, 5 from sold
  union all select 'top10_produktow', least(10, count(distinct (sku, nazwa_produktu))), 4 from sold
  union all select 'brak_w_katalogu', count(distinct (oddzial, sku)), 4 from sold where not w_katalogu
- union all select 'sumy_kontrolne', count(*), 4 from controls
+ union all select 'sumy_kontrolne', count(*), 6 from controls
  union all select 'odrzucone', count(*), 8 from marked where not is_repeat and (data is null or ilosc is null or cena_jedn is null)
  union all select 'zdublowane', count(*), 7 from marked where is_repeat
  union all select 'log_zmian', 4 + (select count(*) from controls) + count(distinct oddzial) + count(distinct oddzial) filter (where coalesce(sku_txt, '') <> coalesce(sku, '')), 4 from marked)

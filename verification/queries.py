@@ -273,6 +273,14 @@ def reject_unreadable(spark, sf_dir):
     return quality.split_rejects(sale_rows(spark, sf_dir), sales.REQUIRED)[1].select("row_id", "oddzial", "reason")
 
 
+@query
+def reject_overflow(spark, sf_dir):
+    """Prices so high for some rows that their value is no amount of money: rejects, not sales without a value."""
+    price = F.when(F.col("row_id") % 100 == 7, F.col("cena_jedn") * 1e16).otherwise(F.col("cena_jedn"))
+    rows = sale_rows(spark, sf_dir).withColumn("cena_jedn", price)
+    return rows.select("row_id", "oddzial", sales.reject_reason().alias("reason")).filter("reason <> ''")
+
+
 @query
 def validate_many_to_one(spark, sf_dir):
     return enrich.repeated_keys(table(spark, sf_dir, "part").select("p_name"), "p_name")
@@ -336,10 +344,48 @@ def golden_record(spark, sf_dir):
     return flat(crm.golden_customers(linked, "row_id").select(*crm.CUSTOMER))
 
 
+def linked_customers(spark, sf_dir) -> DataFrame:
+    return linking.link_records(typed_customers(spark, sf_dir), crm.KEY_SETS, "row_id")
+
+
 @query
 def merged_ids(spark, sf_dir):
-    linked = linking.link_records(typed_customers(spark, sf_dir), crm.KEY_SETS, "row_id")
-    return survivorship.merged_ids(linked, "id_klienta")
+    return survivorship.membership(linked_customers(spark, sf_dir), "id_klienta")
+
+
+@query
+def merged_id_parts(spark, sf_dir):
+    return survivorship.merged_ids(linked_customers(spark, sf_dir), "id_klienta")
+
+
+def large_groups(spark, sf_dir) -> DataFrame:
+    """Line items as members of groups of thousands, by return flag."""
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "ascii(l_returnflag) + 0L as group_id", "concat('L', l_orderkey, '-', l_linenumber) as id")
+    return lines.join(lines.groupBy("group_id").agg(F.count(F.lit(1)).alias("group_size")), "group_id")
+
+
+@query
+def membership_of_large_groups(spark, sf_dir):
+    return survivorship.membership(large_groups(spark, sf_dir), "id")
+
+
+@query
+def id_texts_of_large_groups(spark, sf_dir):
+    texts = survivorship.long_id_texts(large_groups(spark, sf_dir), "id")
+    return texts.select("group_id", F.md5("record_ids").alias("digest"), F.length("record_ids").cast("bigint").alias("chars"))
+
+
+@query
+def link_items(spark, sf_dir):
+    """Line items in chains of a thousand, every row linked to the next one; half of the rows of each third chain share a key."""
+    rows = fixture(spark, sf_dir, "select row_id from {lineitem}").selectExpr(
+        "row_id", "row_id div 1000 as chain", "row_id % 1000 as place")
+    keys = rows.selectExpr(
+        "row_id", "concat(chain, '/', place div 2) as pair", "concat(chain, '/', (place + 1) div 2) as next_pair",
+        "case when chain % 3 = 0 and place % 2 = 0 then 'hot' end as hot")
+    linked = linking.link_records(keys, [("pair",), ("next_pair",), ("hot",)], "row_id")
+    return linked.select("row_id", "group_id", "group_size")
 
 
 @query
@@ -661,6 +707,16 @@ def locale_csv(spark, sf_dir):
     return read_locale_csv(spark, path)
 
 
+@query
+def locale_csv_floats(spark, sf_dir):
+    """Doubles of every size, written and read back as text."""
+    number = F.expr("cast(concat(l_linenumber, '.', l_suppkey % 90 + 10, 'e', l_partkey % 60 - 30) as double)")
+    rows = fixture(spark, sf_dir, "select row_id, l_linenumber, l_suppkey, l_partkey from {lineitem}").select("row_id", number.alias("value"))
+    path = scratch_path(spark, "locale-floats")
+    write_locale_csv(rows, path)
+    return read_locale_csv(spark, path).select(F.col("row_id").cast("bigint").alias("row_id"), "value")
+
+
 @query
 def report_manifest(spark, sf_dir):
     tables = sales_tables(spark, sf_dir).report_tables()
