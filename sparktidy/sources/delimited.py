@@ -40,12 +40,11 @@ def missing_to_null(value: Column, words: Sequence[str] = rulepack.CSV_MISSING)
     return F.when(~value.isin(list(words)), value)
 
 
-def header_names(line: str, separator: str, taken: Sequence[str] = ()) -> list[str]:
-    """The cells of a header record as column names, as they stand there.
+def unique_names(cells: Sequence[str | None], taken: Sequence[str] = ()) -> list[str]:
+    """Header cells as column names, as they stand there.
 
     A name that occurs again, or is ``taken``, gets ``.1``, ``.2``; an empty cell is ``_c<position>``.
     """
-    cells = next(csv.reader([line], delimiter=separator), [])
     used, seen = {*taken}, Counter(taken)
     out = []
     for i, cell in enumerate(cells):
@@ -58,6 +57,11 @@ def header_names(line: str, separator: str, taken: Sequence[str] = ()) -> list[s
     return out
 
 
+def header_names(line: str, separator: str, taken: Sequence[str] = ()) -> list[str]:
+    """:func:`unique_names` of a header record."""
+    return unique_names(next(csv.reader([line], delimiter=separator), []), taken)
+
+
 @dataclass
 class CsvFiles:
     """Delimited files as tables.
@@ -86,6 +90,10 @@ def decoded(value: Column, encoding: str) -> Column:
     return recode(F.decode(value.cast("binary"), "ISO-8859-1"), encoding)
 
 
+def csv_options(separator: str) -> dict[str, str]:
+    return {"sep": separator, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+
+
 def read_csv_files(spark: SparkSession, paths: Sequence[str] | str, row_id: str = ROW_ID, keep_short: bool = True) -> CsvFiles:
     """Read delimited files of any encoding and header, record by record.
 
@@ -116,8 +124,7 @@ def read_csv_files(spark: SparkSession, paths: Sequence[str] | str, row_id: str
         own = own.select("file", LINE, decoded(record, kind.encoding).alias("record"))
         cells = [f"c{i}" for i in range(len(names))]
         schema = ", ".join(f"{c} string" for c in [*cells, "odd"])
-        options = {"sep": kind.separator, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "odd"}
-        parsed = own.withColumn("cells", F.from_csv("record", schema, options))
+        parsed = own.withColumn("cells", F.from_csv("record", schema, {**csv_options(kind.separator), "columnNameOfCorruptRecord": "odd"}))
         count = count_cells(F.col("record"), kind.separator)
         odd = parsed.filter("cells.odd is not null").select(
             "file", F.col(LINE).alias(row_id), "record", count.cast("bigint").alias("cells"), F.lit(len(names)).cast("bigint").alias("columns"),

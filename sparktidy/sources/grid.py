@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from sparktidy.sources.delimited import SOURCE_FILE, missing_to_null, recode
-from sparktidy.sources.profile import CODE_PAGES, grid_width, profile_files, raw_lines, readable_path
+from sparktidy.sources.delimited import SOURCE_FILE, csv_options, decoded, missing_to_null, unique_names
+from sparktidy.sources.profile import profile_grids
+from sparktidy.sources.records import LINE, frame_records, numbered_lines
+from sparktidy.workspace import stage
 
 ROW_NO = "row_no"
 
@@ -19,91 +21,64 @@ def cell_columns(grid: DataFrame) -> list[str]:
     return [c for c in grid.columns if c not in (SOURCE_FILE, ROW_NO)]
 
 
-def read_grid(
-    spark: SparkSession, paths: Sequence[str], separator: str, fields: int, encoding: str = "utf-8"
-) -> DataFrame:
-    """Headerless cells ``(source_file, row_no, c0, c1, ...)`` as text; ``row_no`` is in file order."""
-    recoded = encoding in CODE_PAGES
-    names = [f"c{i}" for i in range(fields)]
-    cells = spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).csv(
-        list(paths),
-        header=False,
-        sep=separator,
-        encoding="ISO-8859-1" if recoded else "UTF-8",
-        quote='"',
-        escape='"',
-    )
-    values = [recode(F.col(n), encoding) if recoded else F.col(n) for n in names]
-    return cells.select(
-        F.col("_metadata.file_path").alias(SOURCE_FILE),
-        F.monotonically_increasing_id().alias(ROW_NO),
-        *[missing_to_null(v).alias(n) for v, n in zip(values, names)],
-    )
-
-
-def header_rows(grid: DataFrame) -> DataFrame:
-    """``(source_file, header_row)``: the first row with the largest number of filled cells.
-
-    First the smallest row number per (file, fill level), then the top level per file; both
-    aggregates keep only numbers and are combined before the shuffle.
+def _best_rows(grid: DataFrame) -> DataFrame:
+    """Per file the first row with the largest number of filled cells, whole, and how wide the file is.
+
+    One aggregate that carries the cells of the best row so far, combined before the shuffle.
     """
-    filled = F.lit(0)
-    for c in cell_columns(grid):
-        filled = filled + F.col(c).isNotNull().cast("int")
-    levels = (
-        grid.select(SOURCE_FILE, ROW_NO, filled.alias("filled"))
-        .groupBy(SOURCE_FILE, "filled")
-        .agg(F.min(ROW_NO).alias("first_row"))
-    )
-    return levels.groupBy(SOURCE_FILE).agg(F.max_by("first_row", "filled").alias("header_row"))
+    cells = cell_columns(grid)
+    filled = reduce(lambda a, c: a + F.col(c).isNotNull().cast("int"), cells, F.lit(0))
+    width = F.greatest(F.lit(0), *[F.when(F.col(c).isNotNull(), i + 1).otherwise(0) for i, c in enumerate(cells)])
+    row = F.struct((-filled).alias("less"), F.col(ROW_NO).alias("header_row"), F.array(*cells).alias("cells"))
+    return grid.groupBy(SOURCE_FILE).agg(F.min(row).alias("best"), F.max(width).alias("width"))
 
 
 def detect_header_row(grid: DataFrame) -> DataFrame:
-    """``(source_file, header_row, <cells of that row, trimmed>)``, one row per file.
-
-    The positions are broadcast: one row per file is no more than the file list of the scan, which
-    the driver holds already.
-    """
-    positions = F.broadcast(header_rows(grid).withColumnRenamed("header_row", ROW_NO))
-    return grid.join(positions, [SOURCE_FILE, ROW_NO]).select(
-        SOURCE_FILE,
-        F.col(ROW_NO).alias("header_row"),
-        *[F.trim(c).alias(c) for c in cell_columns(grid)],
-    )
+    """``(source_file, header_row, <cells of that row, trimmed>)``, one row per file."""
+    cells = [F.trim(F.col("best.cells")[i]).alias(c) for i, c in enumerate(cell_columns(grid))]
+    return _best_rows(grid).select(SOURCE_FILE, F.col("best.header_row").alias("header_row"), *cells)
 
 
-def split_grid(grid: DataFrame, headers: DataFrame | None = None) -> list[DataFrame]:
+def split_grid(grid: DataFrame) -> list[DataFrame]:
     """One table per distinct header: the rows below it, without fully empty ones.
 
-    Only the header rows, one per file, come to the driver; that list also bounds the broadcast.
+    Columns without a name that hold anything are ``_c<position>``.  The distinct headers come to the
+    driver, not the files; where the header of a file is, one row per file, is broadcast.
     """
     cells = cell_columns(grid)
-    found = (headers or detect_header_row(grid)).collect()
-    by_header = defaultdict(list)
-    for row in found:
-        by_header[tuple(row[c] for c in cells)].append((row[SOURCE_FILE], row["header_row"]))
+    found = _best_rows(grid).select(SOURCE_FILE, "width", F.col("best.header_row").alias("header_row"), F.transform("best.cells", lambda c: F.trim(c)).alias("header"))
+    found = stage(found, "headers")
     tables = []
-    for header, files in by_header.items():
-        starts = grid.sparkSession.createDataFrame(files, f"{SOURCE_FILE} string, header_row bigint")
+    for kind in found.groupBy("header").agg(F.max("width").alias("width"), F.min(SOURCE_FILE).alias("first")).orderBy("first").collect():
+        header = [name if name or i < kind.width else None for i, name in enumerate(kind.header)]
+        used = [(c, i) for i, c in enumerate(cells) if header[i] or i < kind.width]
+        names = unique_names([header[i] for _, i in used], [SOURCE_FILE, ROW_NO])
+        names = [f"_c{i}" if not header[i] else name for name, (_, i) in zip(names, used)]
+        same = reduce(and_, [F.col("header")[i].eqNullSafe(F.lit(name)) for i, name in enumerate(kind.header)], F.lit(True))
+        starts = found.filter(same).select(SOURCE_FILE, "header_row")
         below = grid.join(F.broadcast(starts), SOURCE_FILE).filter(F.col(ROW_NO) > F.col("header_row"))
-        used = [(c, name) for c, name in zip(cells, header) if name]
-        tables.append(
-            below.dropna(how="all", subset=cells).select(
-                *[F.col(c).alias(name) for c, name in used], SOURCE_FILE, ROW_NO
-            )
-        )
+        tables.append(below.dropna(how="all", subset=cells).select(*[F.col(c).alias(name) for (c, _), name in zip(used, names)], SOURCE_FILE, ROW_NO))
     return tables
 
 
 def read_grid_smart(spark: SparkSession, paths: Sequence[str] | str) -> list[DataFrame]:
-    """Profile the files, read them as cells and split off the headers."""
-    lines = raw_lines(spark, paths)
-    profile = profile_files(lines).select("file", "encoding").join(grid_width(lines), "file")
-    formats = defaultdict(list)
-    for row in profile.collect():
-        formats[row.encoding, row.separator, row.fields].append(readable_path(row.file))
-    return [
-        table
-        for (encoding, separator, fields), files in sorted(formats.items(), key=lambda f: min(f[1]))
-        for table in split_grid(read_grid(spark, sorted(files), separator, fields, encoding))
-    ]
+    """Number the lines, profile the files, read them as cells and split off the headers.
+
+    Cells may go over several lines within quotes.  ``row_no`` is the number of a row's first line over all
+    files, in the order of their names.
+    """
+    lines = numbered_lines(spark, paths)
+    profile = stage(profile_grids(lines.withColumn("value", F.col("value").cast("string"))), "grids")
+    marked = lines.join(F.broadcast(profile.select("file", "separator")), "file").withColumn("value", F.decode("value", "ISO-8859-1"))
+    records = stage(frame_records(marked).filter(F.trim("value") != ""), "records")
+    tables = []
+    formats = profile.groupBy("encoding", "separator", "fields").agg(F.min("file").alias("first")).orderBy("first").collect()
+    for kind in formats:
+        same = (F.col("encoding") == kind.encoding) & (F.col("separator") == kind.separator) & (F.col("fields") == kind.fields)
+        own = records.join(F.broadcast(profile.filter(same).select("file")), "file")
+        cells = [f"c{i}" for i in range(kind.fields)]
+        record = decoded(F.encode("value", "ISO-8859-1"), kind.encoding)
+        parsed = own.select("file", LINE, F.from_csv(record, ", ".join(f"{c} string" for c in cells), csv_options(kind.separator)).alias("cells"))
+        grid = parsed.select(F.col("file").alias(SOURCE_FILE), F.col(LINE).alias(ROW_NO), *[missing_to_null(F.col(f"cells.{c}")).alias(c) for c in cells])
+        tables.extend(split_grid(grid))
+    return tables

@@ -98,14 +98,19 @@ def profile_files(lines: DataFrame) -> DataFrame:
     )
 
 
-def grid_width(lines: DataFrame) -> DataFrame:
-    """``(file, separator, fields)`` for files whose header may sit anywhere: the widest line decides."""
-    widest = lines.groupBy("file").agg(
-        *[F.max(count_separator(F.col("value"), s)).alias(f"n{i}") for i, s in enumerate(SEPARATORS)]
+def profile_grids(lines: DataFrame) -> DataFrame:
+    """``(file, encoding, separator, fields)`` for files whose header may sit anywhere: the widest line decides.
+
+    One aggregate over all lines.
+    """
+    seen = lines.groupBy("file").agg(
+        F.collect_set(_byte_class(F.col("value"))).alias("classes"),
+        *[F.max(count_separator(F.col("value"), s)).alias(f"n{i}") for i, s in enumerate(SEPARATORS)],
     )
     counts = {s: F.col(f"n{i}") for i, s in enumerate(SEPARATORS)}
-    return widest.select(
+    return seen.select(
         "file",
+        _encoding(F.col("classes")).alias("encoding"),
         choose_separator(counts).alias("separator"),
         (F.greatest(*counts.values()) + 1).cast("int").alias("fields"),
     )

@@ -150,6 +150,14 @@ def test_grid_with_titles(spark, tmp_path):
     assert [tuple(r)[:3] for r in table.orderBy("row_no").collect()] == [("G-1", "KAW 001", "2"), ("G-2", None, "1")]
 
 
+def test_grid_keeps_columns_without_a_name(spark, tmp_path):
+    (tmp_path / "g.csv").write_text('Raport;;;;\n;;;;\nNr;SKU;;Cena;\n1;A;;2;\n2;;"uwaga\ni opis";3;\n;;;;\n', encoding="utf-8")
+    (tmp_path / "h.csv").write_text("Nr;SKU;;Cena;\n3;C;;4;\n", encoding="utf-8")
+    (table,) = read_grid_smart(spark, str(tmp_path))
+    assert table.columns == ["Nr", "SKU", "_c2", "Cena", "source_file", "row_no"]
+    assert [tuple(r)[:4] for r in table.orderBy("row_no").collect()] == [("1", "A", None, "2"), ("2", None, "uwaga\ni opis", "3"), ("3", "C", None, "4")]
+
+
 def test_control_totals(spark):
     df = spark.createDataFrame(
         [(1, "K", "2024-01-01", "5,00 zł"), (2, "K", " razem ", "1 234,50 zł"), (3, "K", "SUMA", "9"), (4, "L", "x", "1"), (5, "M", "Total", "?"), (6, "M", None, "2")],

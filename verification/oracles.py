@@ -401,7 +401,7 @@ ORACLES["ingest_separator_profile"] = f"""select distinct oddzial export, case o
  cast(case oddzial when 'A' then 5 when 'B' then 4 else 6 end as bigint) fields from ({SALES}) s"""
 _SALE_CELLS = f"select oddzial, nr_transakcji, cast(data as varchar) as data, sku, ilosc, cena_jedn from ({SALE_ROWS}) t"
 ORACLES["ingest_mixed_csv"] = _SALE_CELLS + " where oddzial <> 'A' or row_id % 50 <> 3"
-ORACLES["ingest_grid"] = _SALE_CELLS + " where oddzial = 'C'"
+ORACLES["ingest_grid"] = _SALE_CELLS
 _NOTE = """case row_id % 7 when 0 then '"said ""hi"";' || chr(10) || 'then, left' || chr(10) || '"' when 1 then '5" pipe' else '' end"""
 _EVEN = "coalesce(nr_transakcji, '') || ';' || data || ';' || sku || ';' || ilosc || ';' || cena_jedn"
 _ODD = "sku || ',' || data || ',' || coalesce(nr_transakcji, '') || ',' || ilosc || ',\"' || cena_jedn || '\",' || " + _NOTE

@@ -688,11 +688,22 @@ def detect_header_rows(spark, sf_dir):
 
 @query
 def ingest_grid(spark, sf_dir):
-    rows = fixture(spark, sf_dir, fixtures.SALES).filter("oddzial = 'C'")
-    path = write_export(
-        spark, rows, ["Raport sprzedaży — oddział;;;;", ";;;;", " Nr paragonu ;Data sprzedaży;SKU;Szt.;Cena brutto"],
-        ["nr_transakcji", "data", "sku", "ilosc", "cena_jedn"], ";", "utf-8", "C")
-    tables = [t.withColumn("oddzial", export_name("source_file")).withColumnRenamed("row_no", "row_id") for t in read_grid_smart(spark, path)]
+    """All branches as grids: titles and empty rows above the header, remarks of several lines in a column without a name."""
+    rows = fixture(spark, sf_dir, fixtures.SALES)
+    # a row with a remark lacks its quantity, so that no row is fuller than the header
+    unknown = F.col("ilosc") == "?"
+    remark, quantity = F.when(unknown, F.lit('"left\nand right"')).otherwise(F.lit("")), F.when(~unknown, F.col("ilosc"))
+    kinds = [
+        ("A", ";", "utf-8", [" Nr paragonu ", "Data sprzedaży", "SKU", "", "Szt.", "Cena brutto"]),
+        ("B", ";", "cp1250", ["Nr paragonu", "Data", "Kod produktu", "", "Ilość", "Cena jedn."]),
+        ("C", "\t", "iso8859_2", ["order_id", "order_date", "SKU", "", "quantity", "Cena brutto"]),
+    ]
+    paths = []
+    for name, separator, codec, header in kinds:
+        above = [separator.join(["Raport sprzedaży", *[""] * 5]), separator * 5, separator.join(header)]
+        cells = ["nr_transakcji", "data", "sku", remark, quantity, "cena_jedn"]
+        paths.append(write_export(spark, rows.filter(F.col("oddzial") == name), above, cells, separator, codec, name))
+    tables = [t.withColumn("oddzial", export_name("source_file")).withColumnRenamed("row_no", "row_id") for t in read_grid_smart(spark, paths)]
     merged = sales.merge_branches(tables, "row_id")
     return flat(merged.select("oddzial", "nr_transakcji", "data", "sku", "ilosc", "cena_jedn"))
 
