@@ -229,9 +229,13 @@ def _scan(shared, least: float, keep: list[str]):
 
 
 def scan_licenses(df: DataFrame, text: str = "text", keep: list[str] | None = None, templates: Mapping[str, str] = TEMPLATES, least: float = 0.8) -> DataFrame:
-    """``keep`` with ``license``, ``first_word``, ``n_words`` and ``containment``: one row per licensed passage."""
+    """``keep`` with ``license``, ``first_word``, ``n_words`` and ``containment``: one row per licensed passage.
+
+    Null and empty texts have none; repeated rows come out each; columns named like the results, in any
+    case, are replaced.
+    """
     added = ("license", "first_word", "n_words", "containment")
-    keep = [c for c in (keep if keep is not None else df.columns) if c not in added]
+    keep = [c for c in (keep if keep is not None else df.columns) if c.lower() not in added]
     fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.select(*keep).schema)
     fields += ", license string, first_word int, n_words int, containment double"
     source = df.select(*keep, F.col(text).cast("string").alias("__text"))

@@ -50,7 +50,7 @@ def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(table(spark, sf_dir, "documents"), "doc_id")
     n_bytes = F.octet_length("kept").cast("bigint") + F.col("n_removed")
-    return kept.select("doc_id", n_bytes.alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return kept.select("doc_id", n_bytes.alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), (F.col("n_spans") > 0).alias("has_repeat"))
 
 
 def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,4 +212,13 @@ ways as (select way.word, way.reached root from way join formed f on f.word = wa
 select f.word, f.form, w.root, f.n, f.n_near, f.form_n from formed f join ways w using (word)
 """
 
-ORACLES: dict[str, str] = {"op3_benchmark_decontamination": LEAKS_SQL, "op11_spelling_variants": SPELLING_SQL, "op13_conversation_trie": TRIE_SQL}
+TOPK_SQL = """
+with v as (select row_number() over () u, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) c from embeddings
+  where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is not null and isfinite(x::double))) = len(embedding)),
+s as (select q.u, q.vec_id query_id, c.u cu, c.vec_id, list_sum(list_transform(range(1, (len(q.c) + 1)::bigint), lambda i: q.c[i] * c.c[i]))::bigint score
+  from v q join v c on q.u <> c.u and len(q.c) = len(c.c) where q.vec_id % 50 = 0),
+r as (select *, row_number() over (partition by u order by score desc, vec_id, cu)::int rank from s)
+select query_id, rank, vec_id, score from r where rank <= 5
+"""
+
+ORACLES: dict[str, str] = {"op10_exact_topk": TOPK_SQL, "op3_benchmark_decontamination": LEAKS_SQL, "op11_spelling_variants": SPELLING_SQL, "op13_conversation_trie": TRIE_SQL}

@@ -26,7 +26,7 @@ from sparktidy.workspace import stage
 
 BLOCK = 2048
 STEP = 16
-_PACKED = "dims int, ids binary, cells binary, big boolean"
+_PACKED = "dims int, rows binary, ids binary, cells binary, big boolean"
 
 
 def whole_numbers(vector: Column, factor: int = 256) -> Column:
@@ -41,19 +41,19 @@ def whole_numbers(vector: Column, factor: int = 256) -> Column:
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks of at most BLOCK vectors of one length, dimension by dimension."""
-    schema = pa.schema([("dims", pa.int32()), ("ids", pa.binary()), ("cells", pa.binary()), ("big", pa.bool_())])
-    waiting: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    schema = pa.schema([("dims", pa.int32()), ("rows", pa.binary()), ("ids", pa.binary()), ("cells", pa.binary()), ("big", pa.bool_())])
+    waiting: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
 
     def block(dims: int) -> pa.RecordBatch:
-        ids = np.concatenate([i for i, _ in waiting[dims]])
-        cells = np.concatenate([c for _, c in waiting.pop(dims)]).reshape(len(ids), dims)
+        rows, ids, cells = (np.concatenate(x) for x in zip(*waiting.pop(dims)))
+        cells = cells.reshape(len(ids), dims)
         big = bool(np.abs(cells).max(initial=0.0) >= 2.0**22)
         layout = np.ascontiguousarray(cells.T, dtype=np.float64 if big else np.int32)
-        return pa.record_batch([[dims], [ids.tobytes()], [layout.tobytes()], [big]], schema=schema)
+        return pa.record_batch([[dims], [rows.tobytes()], [ids.tobytes()], [layout.tobytes()], [big]], schema=schema)
 
     for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        lists = batch.column(1)
+        names, ids = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
+        lists = batch.column(2)
         size = np.diff(lists.offsets.to_numpy())
         flat = lists.flatten().to_numpy(zero_copy_only=False)
         begin = np.cumsum(size) - size
@@ -61,8 +61,8 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = np.flatnonzero(size == dims)
             for part in np.array_split(rows, -(-len(rows) // BLOCK)):
                 at = begin[part][:, None] + np.arange(dims)
-                waiting.setdefault(int(dims), []).append((ids[part].astype(np.int64), flat[at].ravel()))
-                if sum(len(i) for i, _ in waiting[int(dims)]) >= BLOCK:
+                waiting.setdefault(int(dims), []).append((names[part], ids[part], flat[at].ravel()))
+                if sum(len(i) for i, *_ in waiting[int(dims)]) >= BLOCK:
                     yield block(int(dims))
     for dims in list(waiting):
         yield block(dims)
@@ -73,48 +73,60 @@ def _rest(cells: np.ndarray, cuts: list[int]) -> np.ndarray:
     return np.stack([np.sqrt((cells[c:] ** 2).sum(axis=0)) * (1 + 1e-12) + 1e-9 for c in cuts])
 
 
-def best_of_block(query: np.ndarray, cells: np.ndarray, rest: np.ndarray, query_rest: np.ndarray, cuts: list[int], k: int, barred: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and scores of the candidates that may be among the k best, ties included."""
+def best_of_block(query: np.ndarray, cells: np.ndarray, rest: np.ndarray, query_rest: np.ndarray, cuts: list[int], k: int, barred: np.ndarray, known: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and scores of the candidates that may be among the k best, ties included.
+
+    ``known`` is the k-th best score of earlier blocks.
+    """
     alive = np.flatnonzero(~barred)
     total = np.zeros(len(alive))
     for step, cut in enumerate(cuts[:-1]):
         piece = cells[cut : cuts[step + 1]]
         total += query[cut : cuts[step + 1]] @ (piece if len(alive) == cells.shape[1] else piece[:, alive])
         slack = query_rest[step + 1] * rest[step + 1][alive]
+        floor = known
         if len(alive) > k:
-            floor = np.partition(total - slack, len(alive) - k)[len(alive) - k]
-            keep = total + slack >= floor
-            alive, total = alive[keep], total[keep]
+            floor = max(floor, np.partition(total - slack, len(alive) - k)[len(alive) - k])
+        keep = total + slack >= floor
+        alive, total = alive[keep], total[keep]
     return alive, total
 
 
+_FOUND = "query_row bigint, query_id bigint, row bigint, vec_id bigint, score bigint"
+
+
 def _search(k: int):
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+    schema = pa.schema([(n, pa.int64()) for n in ("query_row", "query_id", "row", "vec_id", "score")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, np.ndarray] = {}  # of each block of queries met in this task, the k best scores so far
         for batch in batches:
             for row in batch.to_pylist():
                 dims = row["dims"]
-                load = lambda ids, cells, big: (
+                load = lambda rows, ids, cells, big: (
+                    np.frombuffer(rows, np.int64),
                     np.frombuffer(ids, np.int64),
                     np.frombuffer(cells, np.float64 if big else np.int32).reshape(dims, -1).astype(np.float64),
                 )
-                q_ids, q = load(row["q_ids"], row["q_cells"], row["q_big"])
-                c_ids, c = load(row["ids"], row["cells"], row["big"])
+                q_rows, q_ids, q = load(row["q_rows"], row["q_ids"], row["q_cells"], row["q_big"])
+                c_rows, c_ids, c = load(row["rows"], row["ids"], row["cells"], row["big"])
                 exact = dims * np.abs(q).max(initial=0.0) * np.abs(c).max(initial=0.0) < 2.0**53
                 cuts = [*range(0, dims, STEP), dims] if exact else [0, dims]
                 rest, query_rest = _rest(c, cuts), _rest(q, cuts)
+                top = best.setdefault(row["block"], np.full((len(q_ids), k), -np.inf))
                 out = []
-                for i, own in enumerate(q_ids):
+                for i, own in enumerate(q_rows):
                     if exact:
-                        at, score = best_of_block(q[:, i], c, rest, query_rest[:, i], cuts, k, c_ids == own)
+                        at, score = best_of_block(q[:, i], c, rest, query_rest[:, i], cuts, k, c_rows == own, top[i].min())
+                        order = np.lexsort((c_rows[at], c_ids[at], -score))[:k]
+                        top[i] = np.sort(np.concatenate([top[i], score[order]]))[-k:]
                     else:  # integers beyond doubles; a score beyond 64 bits is an error, as in SQL
-                        at = np.flatnonzero(c_ids != own)
+                        at = np.flatnonzero(c_rows != own)
                         ints = [int(x) for x in q[:, i]]
                         score = np.array([sum(a * int(b) for a, b in zip(ints, c[:, j])) for j in at], dtype=object)
-                    order = sorted(range(len(at)), key=lambda j: (-score[j], c_ids[at[j]]))[:k] if not exact else np.lexsort((c_ids[at], -score))[:k]
-                    out += [(int(own), int(c_ids[at[j]]), int(score[j])) for j in order]
-                columns = list(zip(*out)) or [[], [], []]
+                        order = sorted(range(len(at)), key=lambda j: (-score[j], c_ids[at[j]], c_rows[at[j]]))[:k]
+                    out += [(int(own), int(q_ids[i]), int(c_rows[at[j]]), int(c_ids[at[j]]), int(score[j])) for j in order]
+                columns = list(zip(*out)) or [[]] * len(schema)
                 yield pa.record_batch([pa.array(x, t) for x, t in zip(columns, schema.types)], schema=schema)
 
     return run
@@ -123,22 +135,24 @@ def _search(k: int):
 def top_inner_products(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding", factor: int = 256) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: each query row's ``k`` largest inner products with all other rows.
 
-    Queries are cut into blocks as well, and each block of candidates meets each block of queries in a
-    task of its own, so neither side has to fit anywhere as a whole.
+    Every row is a query and a candidate of its own, also one of a repeated id or vector.  Queries are cut
+    into blocks as well, and each block of candidates meets each block of queries of its length, so
+    neither side has to fit anywhere as a whole; the k-th score found so far prunes the next blocks of a
+    task.  Rows without an id, empty vectors and an empty table have no part; further columns are dropped.
     """
     spark = vectors.sparkSession
     usable = vectors.select(F.col(vec_id).cast("bigint").alias("id"), whole_numbers(F.col(vector), factor).alias("v"), is_query.alias("q"))
-    usable = usable.filter("id is not null and v is not null and size(v) > 0")
-    queries = usable.filter("q").groupBy("id").agg(F.min("v").alias("v")).mapInArrow(_pack, _PACKED)
-    queries = queries.selectExpr("dims", "ids q_ids", "cells q_cells", "big q_big", "monotonically_increasing_id() block")
+    usable = stage(usable.filter("id is not null and v is not null and size(v) > 0").withColumn("row", F.monotonically_increasing_id()), "vectors")
+    queries = usable.filter("q").select("row", "id", "v").mapInArrow(_pack, _PACKED)
+    queries = queries.selectExpr("dims", "rows q_rows", "ids q_ids", "cells q_cells", "big q_big", "monotonically_increasing_id() block")
     queries = stage(queries, "query-blocks")
     # one number for each block of queries
     numbers = bounded(queries.groupBy("dims").agg(F.sort_array(F.collect_list("block")).alias("blocks")))
     salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    candidates = usable.select("id", "v").mapInArrow(_pack, _PACKED).withColumn("salt", F.pmod(F.xxhash64("ids"), F.lit(salts)))
+    candidates = usable.select("row", "id", "v").mapInArrow(_pack, _PACKED).withColumn("salt", F.pmod(F.xxhash64("rows"), F.lit(salts)))
     pairs = candidates.join(numbers, "dims").withColumn("block", F.explode("blocks")).drop("blocks")
     found = pairs.join(queries.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumn("salt", F.col("salt").cast("bigint")), ["dims", "block", "salt"])
-    found = found.mapInArrow(_search(k), "query_id bigint, vec_id bigint, score bigint")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = found.mapInArrow(_search(k), _FOUND)
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -1,10 +1,10 @@
 """Toxic passages: all maximal scoring segments over word log-odds, calibrated by extreme values.
 
-Words and their prefixes (word families in inflected languages) are hashed into ``2^bits`` buckets, so
-the table of counts has a fixed size whatever the vocabulary.  The counts of both classes cover every
-labelled training row.  A bucket scores the lower confidence bound of its log-odds under an informative
-Dirichlet prior (the corpus frequencies); a word scores the best of its buckets, less a constant, so
-that ordinary text has a negative drift.  A linear scan (Ruzzo and Tompa) finds every
+Words and their prefixes (word families in inflected languages) are counted by exact 64-bit hash in a
+grouped table over every labelled training row.  Each scores the lower confidence bound of its log-odds
+under an informative Dirichlet prior (the corpus frequencies), less a constant; the lexicon holds those
+with evidence for toxicity, ``lexicon`` at most, by strength.  A word scores the best of itself and its
+prefixes, any other word a negative constant, so that ordinary text drifts down.  A linear scan (Ruzzo and Tompa) finds every
 maximal segment of a text.  Karlin and Altschul's theory gives a segment of score ``S`` in a text of
 ``m`` words the expected count ``K m exp(-lambda S)``; ``lambda`` solves its equation on the words of
 clean training rows and ``K`` is fitted to their maxima.  A text sums what its segments with a count
@@ -26,15 +26,20 @@ from pyspark.sql import functions as F
 
 from sparktidy.llm._frames import bounded, sample_by_hash
 from sparktidy.llm._text import Words, row_slices
+from sparktidy.workspace import stage
 
 EULER = 0.5772156649015329
-BITS = 19
+LEXICON = 1_000_000  # entries of a model at most, those of the strongest evidence
+PENDING = 500_000  # distinct hashes that a counting task holds
+SIEVE = 20  # bits
 PREFIXES = (4, 5, 6, 7, 8)  # bytes
 
 
 @dataclass
 class ToxicModel:
-    scores: np.ndarray  # per bucket
+    hashes: np.ndarray  # of words and prefixes that speak for toxicity, in order
+    scores: np.ndarray  # of each of them
+    other: float  # of any other word
     rate: float  # lambda
     log_k: float
     slope: float
@@ -67,51 +72,77 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(int(a), int(b), float(s - r)) for a, b, r, s in found]
 
 
-def _buckets(words: Words, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """``(words, bucket)`` of the words themselves and of each length of prefix shorter than the word."""
-    shift = np.uint64(64 - bits)
-    out = [(np.arange(len(words.hash)), (words.hash >> shift).astype(np.int64))]
-    out += [(at, (h >> shift).astype(np.int64)) for at, h in words.prefixes(PREFIXES)]
-    return out
+def _hashes(words: Words) -> list[tuple[np.ndarray, np.ndarray]]:
+    """``(words, hash)`` of the words themselves and of each length of prefix shorter than the word."""
+    return [(np.arange(len(words.hash)), words.hash), *words.prefixes(PREFIXES)]
 
 
-def _word_scores(words: Words, scores: np.ndarray, bits: int) -> np.ndarray:
-    (_, whole), *prefixes = _buckets(words, bits)
-    best = scores[whole]
-    for at, bucket in prefixes:
-        best[at] = np.maximum(best[at], scores[bucket])
-    return best
+class Lexicon:
+    """Scores by exact 64-bit hash; a sieve of their first bits spares most searches."""
 
+    def __init__(self, hashes: np.ndarray, scores: np.ndarray, other: float):
+        self.hashes, self.scores, self.other = hashes, scores, other
+        self.sieve = np.zeros(1 << SIEVE, bool)
+        self.sieve[self._first(hashes)] = True
 
-def _count(bits: int):
-    schema = pa.schema([("bucket", pa.int64()), ("toxic", pa.int32()), ("n", pa.int64())])
+    @staticmethod
+    def _first(hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - SIEVE)).astype(np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, 1 << bits), np.int64)
-        for batch in batches:
-            for part in row_slices(batch, "text"):
-                words = Words(part.column("text"))
-                label = part.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)
-                for at, bucket in _buckets(words, bits):
-                    for kind in (0, 1):
-                        counts[kind] += np.bincount(bucket[label[words.doc[at]] == kind], minlength=1 << bits)
-        for kind in (0, 1):
-            at = np.flatnonzero(counts[kind])
-            yield pa.record_batch([pa.array(at), pa.array(np.full(len(at), kind, np.int32)), pa.array(counts[kind][at])], schema=schema)
+    def of_words(self, words: Words) -> np.ndarray:
+        """The best score of each word and its prefixes."""
+        best = np.full(len(words.hash), self.other)
+        if not len(self.hashes):
+            return best
+        for at, h in _hashes(words):
+            near = np.flatnonzero(self.sieve[self._first(h)])
+            place = np.minimum(np.searchsorted(self.hashes, h[near]), len(self.hashes) - 1)
+            held = self.hashes[place] == h[near]
+            np.maximum.at(best, at[near[held]], self.scores[place[held]])
+        return best
+
+
+_COUNTED = pa.schema([("hash", pa.int64()), ("toxic", pa.int64()), ("clean", pa.int64())])
 
-    return run
 
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Occurrences of every word and prefix in toxic and in other texts."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-def log_odds(toxic: np.ndarray, clean: np.ndarray, sigmas: float = 3.0, drift: float = 0.5) -> np.ndarray:
-    """Lower confidence bound of the log-odds of each bucket, less the drift."""
-    n1, n0, both = toxic.sum(), clean.sum(), toxic + clean
-    prior = both * (n1 / both.sum())  # as many pseudo-counts as the toxic class has words
-    seen = both > 0
-    a, b = toxic[seen] + prior[seen], clean[seen] + prior[seen]
-    delta = np.log(a / (2 * n1 - a + 1e-9)) - np.log(b / (n0 + n1 - b + 1e-9))
-    out = np.full(len(toxic), -drift)
-    out[seen] = np.maximum(delta - sigmas * np.sqrt(1 / a + 1 / b), -2.0) - drift
-    return out
+    def combined() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        value, toxic, n = (np.concatenate(x) for x in zip(*held))
+        value, back = np.unique(value, return_inverse=True)
+        return value, np.bincount(back, toxic, len(value)).astype(np.int64), np.bincount(back, n, len(value)).astype(np.int64)
+
+    def rows() -> pa.RecordBatch:
+        value, toxic, n = combined()
+        held.clear()
+        return pa.record_batch([pa.array(value.view(np.int64)), pa.array(toxic), pa.array(n - toxic)], schema=_COUNTED)
+
+    for batch in batches:
+        for part in row_slices(batch, "text"):
+            words = Words(part.column("text"))
+            label = part.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)
+            found = _hashes(words)
+            value, kind = np.concatenate([h for _, h in found]), label[words.doc[np.concatenate([at for at, _ in found])]]
+            held.append((value, kind, np.ones(len(value), np.int64)))
+            held[:] = [combined()]
+            if len(held[0][0]) > PENDING:
+                yield rows()
+    if held:
+        yield rows()
+
+
+def lexicon_table(counts: DataFrame, toxic: int, clean: int, sigmas: float, drift: float) -> DataFrame:
+    """``(hash, score, toxic, clean)``: lower confidence bound of the log-odds, less the drift, where it is positive.
+
+    The Dirichlet prior has as many pseudo-counts of a word as the toxic class has words, by its share.
+    """
+    prior = (F.col("toxic") + F.col("clean")) * F.lit(toxic / (toxic + clean))
+    a, b = F.col("toxic") + prior, F.col("clean") + prior
+    delta = F.log(a / (2 * toxic - a + 1e-9)) - F.log(b / (clean + toxic - b + 1e-9))
+    bound = delta - sigmas * F.sqrt(1 / a + 1 / b)
+    return counts.filter("toxic > 0").withColumn("bound", bound).filter("bound > 0").select("hash", (F.col("bound") - drift).alias("score"), "toxic", "clean")
 
 
 def karlin_rate(scores: np.ndarray, weights: np.ndarray) -> float:
@@ -129,9 +160,9 @@ def karlin_rate(scores: np.ndarray, weights: np.ndarray) -> float:
     return high
 
 
-def _segments(texts: pa.Array, scores: np.ndarray, bits: int) -> Iterator[tuple[Words, int, list[tuple[int, int, float]], int, int]]:
+def _segments(texts: pa.Array, lexicon: Lexicon) -> Iterator[tuple[Words, int, list[tuple[int, int, float]], int, int]]:
     words = Words(texts)
-    value, at = _word_scores(words, scores, bits), words.per_doc()
+    value, at = lexicon.of_words(words), words.per_doc()
     positive = np.zeros(len(at) - 1, bool)
     positive[words.doc[value > 0]] = True
     for d in range(len(at) - 1):
@@ -139,14 +170,14 @@ def _segments(texts: pa.Array, scores: np.ndarray, bits: int) -> Iterator[tuple[
         yield words, d, maximal_segments(value[first:end]) if positive[d] else [], first, end - first
 
 
-def _maxima(shared, bits: int):
+def _maxima(shared):
     schema = pa.schema([("toxic", pa.int32()), ("words", pa.int64()), ("segments", pa.list_(pa.float64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores = np.frombuffer(shared.value)
+        lexicon = Lexicon(*shared.value)
         for batch in batches:
             for part in row_slices(batch, "text"):
-                rows = [(n, [s for *_, s in found]) for _, _, found, _, n in _segments(part.column("text"), scores, bits)]
+                rows = [(n, [s for *_, s in found]) for _, _, found, _, n in _segments(part.column("text"), lexicon)]
                 yield pa.record_batch([part.column("toxic").cast(pa.int32()), pa.array([n for n, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.list_(pa.float64()))], schema=schema)
 
     return run
@@ -164,20 +195,27 @@ def logistic_curve(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float
     return max(float(w[0]), 0.0), float(w[1])
 
 
-def train(labelled: DataFrame, bits: int = BITS, calibration: int = 20_000) -> ToxicModel | None:
-    """From ``(id, text, toxic 0/1)``: counts over all rows, calibration on a bounded sample."""
+def train(labelled: DataFrame, calibration: int = 20_000, lexicon: int = LEXICON, sigmas: float = 3.0, drift: float = 0.5, other: float = -2.5) -> ToxicModel | None:
+    """From ``(id, text, toxic 0/1)``: counts over all rows, calibration on a bounded sample.
+
+    Words and prefixes are counted by exact hash in a grouped table.  Only those with evidence for
+    toxicity come to the driver, at most ``lexicon``; every other word scores ``other``.
+    """
     spark = labelled.sparkSession
-    rows = labelled.mapInArrow(_count(bits), "bucket bigint, toxic int, n bigint").groupBy("bucket", "toxic").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros((2, 1 << bits))  # at most 2^(bits + 1) rows
-    counts[rows["toxic"].to_numpy(), rows["bucket"].to_numpy()] = rows["n"].to_numpy()
-    if not counts.sum(axis=1).all():
+    counts = labelled.mapInArrow(_count, "hash bigint, toxic bigint, clean bigint").groupBy("hash").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counts = stage(counts, "word-counts")
+    totals = counts.agg(F.sum("toxic"), F.sum("clean")).first()
+    if not (totals[0] and totals[1]):
         return None
-    scores = log_odds(counts[1], counts[0])
-    rate = karlin_rate(scores, counts[0])
-    shared = spark.sparkContext.broadcast(scores.tobytes())
-    seen = sample_by_hash(labelled, "id", calibration).mapInArrow(_maxima(shared, bits), "toxic int, words bigint, segments array<double>").limit(2 * calibration).collect()
+    found = lexicon_table(counts, *totals, sigmas, drift).orderBy(F.desc("score"), "hash").limit(lexicon).toArrow()
+    hashes = found["hash"].to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    hashes, scores, clean = hashes[order], found["score"].to_numpy()[order], found["clean"].to_numpy()[order].astype(float)
+    rate = karlin_rate(np.append(scores, other), np.append(clean, totals[1] - clean.sum()))
+    shared = spark.sparkContext.broadcast((hashes, scores, other))
+    seen = sample_by_hash(labelled, "id", calibration).mapInArrow(_maxima(shared), "toxic int, words bigint, segments array<double>").limit(2 * calibration).collect()
     top = np.array([rate * max(r.segments) - np.log(r.words) for r in seen if not r.toxic and r.segments])
-    model = ToxicModel(scores, rate, float(top.mean() - EULER) if len(top) else 0.0, 1.0, 0.0)
+    model = ToxicModel(hashes, scores, other, rate, float(top.mean() - EULER) if len(top) else 0.0, 1.0, 0.0)
     gains = np.array([total_gain(model, r.segments, r.words) for r in seen])
     model.slope, model.offset = logistic_curve(gains, np.array([float(r.toxic) for r in seen]))
     shared.unpersist()
@@ -189,37 +227,35 @@ def total_gain(model: ToxicModel, segments: list[float], words: int) -> float:
     return float(sum(g for g in gains if g > 0))
 
 
-def _score(shared, bits: int):
+def _score(shared, keep: list[str]):
     out = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("gain", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, *numbers = shared.value
-        model = ToxicModel(np.frombuffer(raw), *numbers)
+        model = ToxicModel(*shared.value)
+        lexicon = Lexicon(model.hashes, model.scores, model.other)
         for batch in batches:
             for part in row_slices(batch, "__text"):
                 gains, passages = [], []
-                for words, _, found, first, n in _segments(part.column("__text"), model.scores, bits):
+                for words, _, found, first, n in _segments(part.column("__text"), lexicon):
                     significant = [(a, b, g) for a, b, s in found if (g := model.gain(s, n)) > 0]
                     gains.append(sum(g for *_, g in significant))
                     passages.append([{"begin": a, "end": b, "gain": g} for a, b, g in significant])
-                columns = [c for c, name in zip(part.columns, part.schema.names) if name != "__text"]
-                names = [name for name in part.schema.names if name != "__text"]
                 p = model.probability(np.array(gains, float))
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(p), pa.array(passages, out)], names=[*names, "score", "passages"])
+                yield pa.RecordBatch.from_arrays([*map(part.column, keep), pa.array(p), pa.array(passages, out)], names=[*keep, "score", "passages"])
 
     return run
 
 
-def score_toxicity(df: DataFrame, model: ToxicModel | None, text: str = "text", keep: list[str] | None = None, bits: int = BITS) -> DataFrame:
-    """Columns ``keep`` (all others than ``score`` and ``passages`` by default) with both: the probability
-    that a text is toxic, and its significant passages as word positions."""
-    keep = [c for c in (keep if keep is not None else df.columns) if c not in ("score", "passages")]
+def score_toxicity(df: DataFrame, model: ToxicModel | None, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Columns ``keep`` (all by default) with ``score``, the probability that a text is toxic, and ``passages``, its
+    significant passages as word positions.  Columns of these names, in any case, are replaced."""
+    keep = [c for c in (keep if keep is not None else df.columns) if c.lower() not in ("score", "passages")]
     kind = "array<struct<begin:int,end:int,gain:double>>"
     if model is None:
         return df.select(*keep, F.lit(0.0).alias("score"), F.array().cast(kind).alias("passages"))
-    shared = df.sparkSession.sparkContext.broadcast((model.scores.tobytes(), model.rate, model.log_k, model.slope, model.offset))
+    shared = df.sparkSession.sparkContext.broadcast((model.hashes, model.scores, model.other, model.rate, model.log_k, model.slope, model.offset))
     fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.select(*keep).schema)
-    return df.select(*keep, F.col(text).cast("string").alias("__text")).mapInArrow(_score(shared, bits), f"{fields}, score double, passages {kind}")
+    return df.select(*keep, F.col(text).cast("string").alias("__text")).mapInArrow(_score(shared, keep), f"{fields}, score double, passages {kind}")
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, training: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -562,9 +562,72 @@ def test_pages_query_against_brute_force(spark):
         assert got.text[i] == want and got.n_chars[i] == len(want)
 
 
+def test_topk_of_repeated_rows(spark):
+    rows = [(50, [1.0, 0.0], "a"), (50, [3.0, 0.0], "b"), (1, [1.0, 1.0], "c"), (2, [2.0, 0.0], "d"), (2, [2.0, 0.0], "d"), (None, [9.0, 9.0], "e"), (100, [], "f")]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, score string")
+    got = sorted(tuple(r) for r in top_inner_products(df, F.col("vec_id") % 50 == 0, k=2, factor=1).collect())
+    assert got == sorted([(50, 1, 50, 3), (50, 2, 2, 2), (50, 1, 2, 6), (50, 2, 2, 6)])
+    assert top_inner_products(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+@pytest.mark.parametrize("name", ["op10_exact_topk"])
+def test_topk_query_equals_sql(spark, name):
+    assert compare.compare(spark, compare.duck(SF), SF, QUERIES[name], ORACLES[name]).startswith("ok")
+
+
 # Queries and pipeline
 
 
+def test_results_replace_columns_of_their_names(spark):
+    docs = docs_of(spark, ["such trash here", None, ""]).selectExpr("doc_id", "text", "1 as Score", "'x' as License", "2 as Passages")
+    assert toxicity.score_toxicity(docs, None).columns == ["doc_id", "text", "License", "score", "passages"]
+    assert licenses.scan_licenses(docs).columns == ["doc_id", "text", "Score", "Passages", "license", "first_word", "n_words", "containment"]
+    labelled = spark.createDataFrame([(i, "trash word" if i % 2 else f"fine word {i}", i % 2) for i in range(200)], "id bigint, text string, toxic int")
+    scored = toxicity.score_toxicity(docs.unionAll(docs), toxicity.train(labelled))
+    assert scored.columns == ["doc_id", "text", "License", "score", "passages"] and scored.count() == 6
+    assert toxicity.train(labelled.limit(0)) is None and toxicity.score_toxicity(docs.limit(0), None).count() == 0
+    assert licenses.scan_licenses(docs.limit(0)).count() == 0
+
+
+def test_rules_against_brute_force(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").toPandas()
+    got = QUERIES["op1_url_filters"](spark, "/root/testdata/sf0.01").toPandas().set_index("page_id")
+    for i, url in zip(pages.page_id, pages.url):
+        rest = url.split("://", 1)[1] if "://" in url else ""
+        host = re.split("[/?#]", rest)[0]
+        path = re.split("[?#]", rest[len(host) :])[0]
+        host = "".join(c.lower() if c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" else c for c in host)
+        fits = []
+        for rule in URL_RULES:
+            domain, _, prefix = rule.text.partition("/")
+            if (host == domain or host.endswith("." + domain)) and path.startswith("/" + prefix):
+                fits.append((len(rule.text), rule.text, rule.action))
+        row = got.loc[i]
+        assert (row.host, row.path, row["rule"]) == (host, path, max(fits)[1] if fits else None)
+        assert row.verdict == max(fits)[2] if fits else row.verdict in ("allow", "block")
+
+
+def test_licenses_against_brute_force(spark, real):
+    texts = [*real.text, *[" ".join(real.text[i].split()[:300]) + "\n" + t + "\n" + real.text[i + 1] for i, t in enumerate(licenses.TEMPLATES.values())]]
+
+    def grams(text):
+        w = words(text)
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    got = defaultdict(set)
+    for r in licenses.scan_licenses(docs_of(spark, texts)).collect():
+        got[r.doc_id].add(r.license)
+    for i, text in enumerate(texts):
+        own = grams(text)
+        whole = {n for n, t in licenses.TEMPLATES.items() if len(own & grams(t)) >= 0.8 * len(grams(t))}
+        # what is found is in the text as a whole; what stands there word for word is found, or a larger one over it
+        assert got[i] <= whole
+        flat = " ".join(words(text))
+        for n, t in licenses.TEMPLATES.items():
+            if " ".join(words(t)) in flat:
+                assert got[i] and (n in got[i] or any(" ".join(words(t)) in " ".join(words(licenses.TEMPLATES[m])) for m in got[i]))
+
+
 def test_every_operator_has_its_query():
     assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
