@@ -44,6 +44,7 @@ SHINGLE = 5
 BANDS, ROWS = 32, 4
 T = BANDS * ROWS
 SMALL_BUCKET = 64
+GROWTH = 16  # of the hubs of a bucket from round to round
 PARITIES = 512  # bits, in longs of 64
 LONGS = PARITIES // 64
 MISMATCHES = 32  # of 128 signature bits; at similarity 0.8 expect 12.8, and more than 32 once in ten million
@@ -185,11 +186,21 @@ def _may_be_similar(least: float, here: str = "", there: str = "hub_") -> Column
     return (lighter >= heavier * least - 1e-6) & (unlike(OUTLINE[3:]) <= total * ((1 - least) / (1 + least)) + 1e-6) & (unlike(OUTLINE[1:3]) <= MISMATCHES)
 
 
-def _merge(links: DataFrame, buckets: DataFrame) -> DataFrame:
-    """``buckets`` with the component ``label`` of each row."""
-    labels = components(links)
-    joined = buckets.join(labels, buckets.row == labels.node, "left")
-    return joined.select("bucket", "row", F.coalesce("label", "row").alias("label"))
+def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``(node, label)`` of the linked rows, the smallest row of each component, after further ``(a, b)`` links.
+
+    Links are first taken to the components they connect, so that however many rows of two groups are
+    linked, one edge is left of them.
+    """
+    if labels is None:
+        return components(links)
+    ends = links.join(labels.select(F.col("node").alias("a"), F.col("label").alias("label_a")), "a", "left")
+    ends = ends.join(labels.select(F.col("node").alias("b"), F.col("label").alias("label_b")), "b", "left")
+    edges = ends.select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
+    edges = edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    merged = components(edges)
+    moved = labels.join(merged.select(F.col("node").alias("label"), F.col("label").alias("now")), "label", "left")
+    return stage(moved.select("node", F.coalesce("now", "label").alias("label")).union(merged.select("node", "label")).distinct(), "labels")
 
 
 def _first_pairs(buckets: DataFrame) -> DataFrame:
@@ -263,26 +274,29 @@ def _classes(texts: DataFrame, least: float) -> DataFrame:
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     buckets = stage(members.join(shared, "bucket"), "buckets")
     tried = stage(_first_pairs(buckets), "pairs")
-    links = stage(verify(tried, texts, least).distinct(), "links")
+    merged = _joined(None, stage(verify(tried, texts, least).distinct(), "links"))
     open_buckets = buckets.select("bucket", "row")
     hubs = 1
     while True:
-        labelled = stage(_merge(links, open_buckets), "labelled")
+        labelled = open_buckets.join(merged, open_buckets.row == merged.node, "left")
+        labelled = stage(labelled.select("bucket", "row", F.coalesce("label", "row").alias("label")), "labelled")
         mixed = labelled.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("bucket", "n")
         open_rows = stage(labelled.join(mixed, "bucket").join(outlines, "row"), "open")
         if open_rows.isEmpty():
             break
-        hubs *= 8
+        hubs *= GROWTH
         chosen = (F.col("n") <= SMALL_BUCKET) | (F.pmod(F.xxhash64("row", F.lit(hubs)), F.col("n")) < hubs)
         hub_rows = open_rows.filter(chosen).select("bucket", *[F.col(c).alias("hub" if c == "row" else "hub_" + c) for c in ("row", "label", *OUTLINE)])
         met = open_rows.join(hub_rows, "bucket").filter((F.col("label") != F.col("hub_label")) & _may_be_similar(least))
         fresh = met.select(F.least("row", "hub").alias("b"), F.greatest("row", "hub").alias("a")).distinct()
         fresh = stage(fresh.join(tried, ["a", "b"], "left_anti").select("a", "b"), "pairs")
-        links = stage(links.unionByName(verify(fresh, texts, least).distinct()), "links")
+        links = stage(verify(fresh, texts, least).distinct(), "links")
+        if not links.isEmpty():
+            merged = _joined(merged, links)
         tried = tried.unionByName(fresh)
         # a hub has met all others of its bucket
         open_buckets = open_rows.filter(~chosen).select("bucket", "row")
-    merged = components(links).withColumnRenamed("node", "class")
+    merged = merged.withColumnRenamed("node", "class")
     named = classes.join(merged, "class", "left").select("row", F.coalesce("label", "class").alias("class_id"))
     rest = texts.filter("text is null").select("row").distinct().join(classes.select("row"), "row", "left_anti").select("row", F.col("row").alias("class_id"))
     return named.unionByName(rest)
