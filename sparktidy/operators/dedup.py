@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparktidy.operators.skew import lookup_per_key
+from sparktidy.operators.skew import key_marks, lookup_per_key
 
 
 def dedup_exact(
@@ -29,17 +29,22 @@ def dedup_exact(
 def mark_repeats(
     df: DataFrame, keys: Sequence[str], row_id: str, only_where: Column, flag: str = "is_repeat"
 ) -> DataFrame:
-    """Flag every row but the first of its key, among rows ``only_where`` holds; null = null."""
+    """Flag every row but the first of its key, among rows ``only_where`` holds; null = null.
+
+    Keys go by 128-bit marks, so wide ones cost no more than narrow ones.
+    """
+    holds = F.coalesce(only_where, F.lit(False))
+    marks = ["__mark1", "__mark2"]
+    eligible = df.filter(holds).select("*", *key_marks(keys, marks))
     firsts = (
-        df.filter(only_where)
-        .groupBy(*keys)
+        eligible.groupBy(*marks)
         .agg(F.min(row_id).alias("__first"), F.count(F.lit(1)).alias("__n"))
         .filter("__n > 1")
     )
-    marked = lookup_per_key(df, firsts, keys, weight="__n", spread_by=row_id, eligible=only_where)
-    return marked.withColumn(
-        flag, F.coalesce(F.col(row_id) > F.col("__first"), F.lit(False))
-    ).drop("__first", "__n")
+    marked = lookup_per_key(eligible, firsts, marks, weight="__n", spread_by=row_id)
+    repeats = marked.withColumn(flag, F.coalesce(F.col(row_id) > F.col("__first"), F.lit(False)))
+    # the other rows are read once more, but neither shuffled nor joined
+    return repeats.select(*df.columns, flag).unionByName(df.filter(~holds).withColumn(flag, F.lit(False)))
 
 
 def dedup_keep_first(

@@ -17,20 +17,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparktidy.operators.skew import lookup_per_key
+from sparktidy.operators.skew import key_marks, lookup_per_key
 from sparktidy.workspace import Rounds, stage
 
 
 def star_edges(df: DataFrame, key_set: Sequence[str], row_id: str) -> DataFrame:
     """``(child, parent)``: each row of a shared key to the smallest row id of that key."""
-    complete = df.select(row_id, *key_set).dropna(subset=list(key_set))
+    marks = ["__mark1", "__mark2"]
+    complete = df.select(row_id, *key_set).dropna(subset=list(key_set)).select(row_id, *key_marks(key_set, marks))
     hubs = (
-        complete.groupBy(*key_set)
+        complete.groupBy(*marks)
         .agg(F.min(row_id).alias("__hub"), F.count(F.lit(1)).alias("__n"))
         .filter("__n > 1")
     )
     return (
-        lookup_per_key(complete, hubs, key_set, weight="__n", spread_by=row_id)
+        lookup_per_key(complete, hubs, marks, weight="__n", spread_by=row_id)
         .filter(F.col(row_id) > F.col("__hub"))
         .select(F.col(row_id).alias("child"), F.col("__hub").alias("parent"))
     )

@@ -25,6 +25,12 @@ def text_bytes(columns: Sequence[str]) -> Column:
     return width
 
 
+def key_marks(keys: Sequence[str], names: Sequence[str] = ("__mark1", "__mark2")) -> list[Column]:
+    """128 bits for the values of a key, null = null: what is shuffled and broadcast in place of wide keys."""
+    parts = [p for k in keys for p in (F.col(k), F.col(k).isNull())]
+    return [F.xxhash64(F.lit(seed), *parts).alias(name) for seed, name in enumerate(names)]
+
+
 def lookup_per_key(
     df: DataFrame,
     per_key: DataFrame,

@@ -51,6 +51,9 @@ CUSTOMER = (
 DELIVERED = ("imie", "nazwisko", "email", "telefon", "miasto", "kod_pocztowy", "data_rejestracji", "wartosc_zamowien_pln")
 
 
+REPORT_ORDER = {"klienci": ["id_klienta"], "scalone_duplikaty": ["id_klienta"], "do_weryfikacji": ["id_klienta"], "log_zmian": ["step_no"]}
+
+
 def distinct_rows(
     df: DataFrame, row_id: str, synonyms: Mapping[str, Iterable[str]] = rulepack.CUSTOMER_HEADERS
 ) -> DataFrame:
@@ -220,12 +223,8 @@ class CustomerTables:
 
     def report_tables(self) -> dict[str, DataFrame]:
         """The delivered tables, in delivery order."""
-        return {
-            "klienci": self.final.orderBy("id_klienta"),
-            "scalone_duplikaty": self.merged.orderBy("id_klienta"),
-            "do_weryfikacji": self.to_verify.orderBy("id_klienta"),
-            "log_zmian": self.log.orderBy("step_no"),
-        }
+        tables = {"klienci": self.final, "scalone_duplikaty": self.merged, "do_weryfikacji": self.to_verify, "log_zmian": self.log}
+        return {name: table.orderBy(*REPORT_ORDER[name]) for name, table in tables.items()}
 
 
 def headline_stats(log: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +34,18 @@ MERGED = (
 _ACCEPTED = "not is_repeat and reason = ''"
 
 
+REPORT_ORDER = {
+    "dane": ["data", "oddzial"],
+    "miesiace_x_oddzialy": ["miesiac"],
+    "kategorie": ["kategoria"],
+    "brak_w_katalogu": ["oddzial", "sku"],
+    "sumy_kontrolne": ["oddzial"],
+    "odrzucone": ["oddzial", "data"],
+    "zdublowane": ["oddzial", "data"],
+    "log_zmian": ["step_no", "step"],
+}
+
+
 def canonical_sales(
     df: DataFrame, row_id: str, source: str, synonyms: Mapping[str, Iterable[str]] = rulepack.SALE_HEADERS
 ) -> DataFrame:
@@ -140,17 +152,23 @@ class SalesTables:
     def rejects(self) -> DataFrame:
         return self.every.filter("not is_repeat and reason <> ''").select(*TYPED, "reason")
 
+    @cached_property
+    def cube(self) -> DataFrame:
+        """Revenue by month, category and branch: the one aggregate of the facts that all pivots roll up."""
+        cells = self.sales.groupBy("miesiac", "kategoria", "oddzial").agg(F.sum("wartosc_brutto").alias("wartosc_brutto"))
+        return stage(cells, "sales-cube")
+
     @property
     def by_month(self) -> DataFrame:
-        return summarize.pivot_with_totals(self.sales, "miesiac", "oddzial", "wartosc_brutto")
+        return summarize.pivot_with_totals(self.cube, "miesiac", "oddzial", "wartosc_brutto")
 
     @property
     def by_category(self) -> DataFrame:
-        return summarize.pivot_with_totals(self.sales, "kategoria", "oddzial", "wartosc_brutto")
+        return summarize.pivot_with_totals(self.cube, "kategoria", "oddzial", "wartosc_brutto")
 
     @property
     def monthly(self) -> DataFrame:
-        return summarize.pivot_sum(self.sales, "miesiac", "oddzial", "wartosc_brutto")
+        return summarize.pivot_sum(self.cube, "miesiac", "oddzial", "wartosc_brutto")
 
     def top_products(self, n: int = 10) -> DataFrame:
         return top_products(self.sales, n)
@@ -173,22 +191,40 @@ class SalesTables:
     def log(self) -> DataFrame:
         return sales_log(self.every, self.controls)
 
+    @property
+    def headline(self) -> DataFrame:
+        """The figures of the summary: rows in, sales, repaired codes, what was left out, and the control difference."""
+        accepted = F.expr(_ACCEPTED)
+        totals = self.every.agg(
+            F.count(F.lit(1)).alias("rows_in"),
+            F.count_if(accepted).alias("sales"),
+            F.count_if(F.coalesce("sku_txt", F.lit("")) != F.coalesce("sku", F.lit(""))).alias("fixed_skus"),
+            F.count_if("is_repeat").alias("repeats"),
+            F.count_if(F.expr("not is_repeat and reason <> ''")).alias("rejects"),
+            F.count_if(accepted & ~F.col("w_katalogu")).alias("unmatched"),
+            F.coalesce(F.sum(F.when(accepted, F.col("wartosc_brutto"))), F.lit(0)).cast("decimal(38,2)").alias("revenue"),
+        )
+        gap = self.control_difference.first()["control_difference"]
+        return totals.withColumn("control_difference", F.lit(gap).cast("decimal(38,2)"))
+
     def sample(self, sizes: dict[str, int], default: int = 1) -> DataFrame:
         return branch_sample(self.sales, self.row_id, sizes, default)
 
     def report_tables(self) -> dict[str, DataFrame]:
         """The delivered tables, in delivery order."""
-        return {
-            "dane": self.final.orderBy("data", "oddzial"),
-            "miesiace_x_oddzialy": self.by_month.orderBy("miesiac"),
-            "kategorie": self.by_category.orderBy("kategoria"),
+        tables = {
+            "dane": self.final,
+            "miesiace_x_oddzialy": self.by_month,
+            "kategorie": self.by_category,
             "top10_produktow": self.top_products(),
-            "brak_w_katalogu": self.unmatched.orderBy("oddzial", "sku"),
-            "sumy_kontrolne": self.checks.orderBy("oddzial"),
-            "odrzucone": self.rejects.orderBy("oddzial", "data"),
-            "zdublowane": self.repeats.orderBy("oddzial", "data"),
-            "log_zmian": self.log.orderBy("step_no", "step"),
+            "brak_w_katalogu": self.unmatched,
+            "sumy_kontrolne": self.checks,
+            "odrzucone": self.rejects,
+            "zdublowane": self.repeats,
+            "log_zmian": self.log,
         }
+        # the ranking is in its own order
+        return {name: table.orderBy(*REPORT_ORDER[name]) if name in REPORT_ORDER else table for name, table in tables.items()}
 
 
 def top_products(sales: DataFrame, n: int = 10) -> DataFrame:
@@ -274,7 +310,7 @@ def merge_sales(
     typed: DataFrame, catalog: DataFrame, controls: DataFrame, row_id: str = "row_id"
 ) -> SalesTables:
     """``typed`` from :func:`merge_branches`, ``catalog`` from :func:`typed_catalog`."""
-    typed = stage(typed, "sales-typed")
+    typed, catalog, controls = stage(typed, "sales-typed"), stage(catalog, "catalog"), stage(controls, "controls")
     marked = mark_repeats(typed, DOCUMENT, row_id, F.col("nr_transakcji").isNotNull())
     marked = marked.withColumn("reason", reject_reason())
     matched = enrich(marked, catalog, "sku", row_id, matched="w_katalogu")
@@ -319,6 +355,6 @@ def from_files(
     )
     listed = read_csv_files(spark, catalog, row_id)
     products = reduce(DataFrame.unionByName, [typed_catalog(t.drop(SOURCE_FILE, row_id)) for t in listed.tables])
-    merged = merge_sales(merge_branches(data, row_id), products, stage(declared, "controls"), row_id)
+    merged = merge_sales(merge_branches(data, row_id), products, declared, row_id)
     unread = read.rejects.unionByName(listed.rejects)
     return SalesFiles(merged, unread, read.profile.unionByName(listed.profile))

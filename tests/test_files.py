@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sparktidy import parse_pl_number, read_csv_smart, read_grid_smart, standardize_columns, write_locale_csv
 from sparktidy.operators.numbering import number_rows
-from sparktidy.sinks.bundle import read_report, write_report
+from sparktidy.sinks.bundle import delivered_order, read_report, write_report
 from sparktidy.sinks.locale_csv import read_locale_csv
 from sparktidy.sources.delimited import append_tables, header_names, read_csv_files
 from sparktidy.sources.profile import profile_files, raw_lines
@@ -189,6 +189,24 @@ def test_report_bundle(spark, tmp_path):
     assert {n: t.count() for n, t in tables.items()} == {"x": 5, "y": 0}
 
 
+def test_order_is_proven_by_the_parts(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id % 97 as k", "id as v").withColumn("n", F.when(F.col("v") % 5 > 0, F.col("v")))
+    tables = {"sorted": rows.repartition(6).orderBy("k", "n"), "mixed": rows.repartition(3), "parts_only": rows.repartition(3, "k").sortWithinPartitions("k")}
+    write_report(tables, str(tmp_path / "r"), {"sorted": ["k", "n"], "mixed": ["k"], "parts_only": ["k"]})
+    got = {r.name: (r.rows, r.in_order) for r in delivered_order(spark, str(tmp_path / "r")).collect()}
+    assert got == {"sorted": (1000, True), "mixed": (1000, False), "parts_only": (1000, False)}
+    parts = spark.read.parquet(str(tmp_path / "r" / "parts")).filter("name = 'sorted'")
+    assert parts.filter("least like '{\"k\":0%'").count() >= 1 and parts.agg(F.sum("rows")).first()[0] == 1000
+
+
+def test_floats_keep_their_shortest_digits(spark, tmp_path):
+    values = [1e30, 1.23e-12, 0.00012345678901234, 3.66e22, -5e-300, 1.7976931348623157e308, 0.1 + 0.2, 1e15, -0.0, 123456789.125, 9007199254740993.0]
+    write_locale_csv(spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double"), str(tmp_path / "f"))
+    for i, text in ((int(r.i), r.v) for r in read_locale_csv(spark, str(tmp_path / "f")).collect()):
+        assert "E" not in text and float(text.replace(",", ".")) == values[i]
+        assert len(text.replace(",", "").replace("-", "").strip("0")) <= len(repr(values[i]).split("e")[0].replace(".", "").replace("-", "").strip("0"))
+
+
 def test_file_names_with_spaces_brackets_and_percent_signs(spark, tmp_path):
     for name in ("sprzedaz maj.csv", "maj[1].csv", "rabat%20.csv"):
         (tmp_path / name).write_text("a;b\n1;2\n", encoding="utf-8")

@@ -135,6 +135,21 @@ def test_keep_first_matches_brute_force(spark, heavy):
     assert {r.row_id for r in removed.collect()} == {r[0] for r in rows} - expected
 
 
+def test_keep_first_joins_eligible_rows_only(spark):
+    wide = "concat(repeat('x', 10000), case when id % 2 = 0 then 'hot' else cast(id as string) end)"
+    df = spark.range(400).selectExpr("id as row_id", f"{wide} as doc", "id % 4 = 3 as missing").selectExpr("row_id", "case when not missing then doc end as doc")
+    kept, removed = dedup.dedup_keep_first(df, ["doc"], "row_id", "doc")
+    assert sorted(r.row_id for r in kept.select("row_id").collect()) == sorted([0, *range(1, 400, 2)])
+    assert removed.count() == 199
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    union = plan[plan.index("Union") :]
+    # the branch of rows without a key is a plain filter
+    last = union.split("Range (0, 400")[-2]
+    assert "Exchange" not in last.split("+- *(")[-1] and "Join" not in last.split("+- *(")[-1]
+    # wide keys are neither shuffled nor broadcast as keys
+    assert "hashpartitioning(doc" not in plan
+
+
 def test_exact_dedup_keeps_the_first_id(spark):
     df = spark.createDataFrame([(3, None, "a"), (1, None, "a"), (2, "x", "a"), (4, None, "a")], "row_id long, p string, q string")
     assert sorted(map(tuple, dedup.dedup_exact(df, "row_id").select("row_id", "copies").collect())) == [(1, 3), (2, 1)]

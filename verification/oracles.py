@@ -165,7 +165,8 @@ select raw, {city('raw')} city, count(*) as rows from (
 ORACLES["normalize_email"] = f"select row_id, email, {email('email')} as value from ({CRM}) c"
 ORACLES["normalize_phone"] = f"select row_id, telefon, {phone('telefon')} as value from ({CRM}) c"
 ORACLES["normalize_postal_code"] = f"select row_id, kod_pocztowy, {postal('kod_pocztowy')} as value from ({CRM}) c"
-ORACLES["phone_from_number_column"] = f"select row_id, {phone('n')} phone from (select row_id, cast(500000000 + row_id * 7919 as varchar) n from ({CRM}) c) x"
+ORACLES["phone_from_number_column"] = f"""select row_id, {phone('n')} phone
+ from (select c_custkey row_id, cast(500000000 + cast(floor(abs(c_acctbal) * 100) as bigint) as varchar) n from customer) x"""
 ORACLES["normalize_skus"] = f"""
 select row_id, {sku('sku')} code from (select row_id, sku from ({SALES}) s union all select p_partkey + 5000000000000, p_brand from part) x"""
 ORACLES["parse_number"] = f"""
@@ -203,10 +204,9 @@ select row_id, oddzial, concat_ws(', ', case when data is null then 'data' end,
 from ({SALE_ROWS}) t where data is null or ilosc is null or cena_jedn is null"""
 ORACLES["validate_many_to_one"] = "select p_name, count(*) as rows from part group by p_name having count(*) > 1"
 ORACLES["null_safe_lookup"] = """
-with d as (select distinct nullif(o_orderpriority, '1-URGENT') p, cast(length(o_orderpriority) as bigint) width from orders
- where nullif(o_orderpriority, '1-URGENT') is null or o_orderpriority <> '5-LOW')
-select o_orderkey, nullif(o_orderpriority, '1-URGENT') priority, width, width is not null matched
-from orders left join d on nullif(o_orderpriority, '1-URGENT') is not distinct from p"""
+with d as (select distinct nullif(o_orderpriority, '1-URGENT') p, cast(length(o_orderpriority) as bigint) width from orders),
+f as (select o_orderkey, nullif(o_orderpriority, '1-URGENT') || case when o_orderkey % 11 = 0 then '?' else '' end priority from orders)
+select o_orderkey, priority, width, width is not null matched from f left join d on priority is not distinct from p"""
 ORACLES["enrich_catalog"] = f"""
 with t as ({SALE_ROWS}), k as ({TYPED_CATALOG})
 select row_id, t.sku, nazwa_produktu, coalesce(kategoria, 'Brak w katalogu') kategoria, cena_katalogowa, k.sku is not null w_katalogu,
@@ -431,3 +431,14 @@ ORACLES["report_manifest"] = f"""{_SALES_CTE}, t(name, rows, columns) as (
  union all select 'zdublowane', count(*), 7 from marked where is_repeat
  union all select 'log_zmian', 4 + (select count(*) from controls) + count(distinct oddzial) + count(distinct oddzial) filter (where coalesce(sku_txt, '') <> coalesce(sku, '')), 4 from marked)
 select name, cast(rows as bigint) as rows, cast(columns as bigint) as columns from t"""
+_BUNDLES = {
+    "klienci": "clean_customers", "scalone_duplikaty": "merged_customers", "do_weryfikacji": "review_queue", "log_zmian": "change_log",
+}
+ORACLES["delivered_order"] = f"select 'sales' as bundle, name, rows, true in_order from ({ORACLES['report_manifest']}) m where name <> 'top10_produktow'" + "".join(
+    f" union all select 'customers', '{name}', (select count(*) from ({ORACLES[query]}) t), true" for name, query in _BUNDLES.items()
+)
+ORACLES["sales_headline"] = f"""{_SALES_CTE} select (select count(*) from marked) rows_in, (select count(*) from sold) sales,
+ (select count(*) from marked where coalesce(sku_txt, '') <> coalesce(sku, '')) fixed_skus, (select count(*) from marked where is_repeat) repeats,
+ (select count(*) from marked where not is_repeat and (data is null or ilosc is null or cena_jedn is null)) rejects,
+ (select count(*) from sold where not w_katalogu) unmatched, (select cast(sum(wartosc_brutto) as double) from sold) revenue,
+ (select control_difference from ({ORACLES['control_difference']}) c) control_difference"""

@@ -33,6 +33,7 @@ from sparktidy.functions.text import (
 from sparktidy.operators import columns, dedup, enrich, linking, quality, summarize, survivorship
 from sparktidy.plans import crm, sales
 from sparktidy.session import tune
+from sparktidy.sinks import bundle
 from sparktidy.sinks.bundle import write_report
 from sparktidy.sinks.locale_csv import read_locale_csv, write_locale_csv
 from sparktidy.sources.delimited import number_rows, read_csv_files, spread_scan
@@ -188,7 +189,9 @@ crm_rule("normalize_postal_code", normalize_postal_code_pl, "kod_pocztowy")
 
 @query
 def phone_from_number_column(spark, sf_dir):
-    rows = crm_rows(spark, sf_dir).select("row_id", (500000000 + F.col("row_id") * 7919).cast("double").alias("number"))
+    # digits of the supplied balances, as a spreadsheet column that took phone numbers for numbers
+    number = (500000000 + F.floor(F.abs("c_acctbal") * 100)).cast("double")
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("row_id"), number.alias("number"))
     return rows.select("row_id", normalize_phone_pl(plain_text(F.col("number"), "double")).alias("phone"))
 
 
@@ -288,8 +291,9 @@ def validate_many_to_one(spark, sf_dir):
 
 @query
 def null_safe_lookup(spark, sf_dir):
-    facts = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "nullif(o_orderpriority, '1-URGENT') as priority")
-    dimension = table(spark, sf_dir, "orders").selectExpr("nullif(o_orderpriority, '1-URGENT') as priority", "length(o_orderpriority) as width").where("priority is null or priority <> '5-LOW'").distinct()
+    facts = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "concat(nullif(o_orderpriority, '1-URGENT'), case when o_orderkey % 11 = 0 then '?' else '' end) as priority")
+    dimension = table(spark, sf_dir, "orders").selectExpr("nullif(o_orderpriority, '1-URGENT') as priority", "length(o_orderpriority) as width").distinct()
     return flat(enrich.null_safe_lookup(facts, dimension, "priority", "o_orderkey"))
 
 
@@ -732,3 +736,19 @@ def locale_csv_floats(spark, sf_dir):
 def report_manifest(spark, sf_dir):
     tables = sales_tables(spark, sf_dir).report_tables()
     return write_report(tables, scratch_path(spark, "report"))
+
+
+@query
+def delivered_order(spark, sf_dir):
+    """The promised order of both bundles, proven from the manifest of their parts."""
+    proofs = []
+    for name, job, order in (("sales", sales_tables(spark, sf_dir), sales.REPORT_ORDER), ("customers", customer_tables(spark, sf_dir), crm.REPORT_ORDER)):
+        path = scratch_path(spark, name)
+        write_report(job.report_tables(), path, order)
+        proofs.append(bundle.delivered_order(spark, path).select(F.lit(name).alias("bundle"), "*"))
+    return proofs[0].unionByName(proofs[1])
+
+
+@query
+def sales_headline(spark, sf_dir):
+    return flat(sales_tables(spark, sf_dir).headline)
