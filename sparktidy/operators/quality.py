@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparktidy import rulepack
@@ -107,6 +107,17 @@ def change_log(df: DataFrame, steps: Sequence[Step]) -> DataFrame:
     return totals.select(F.inline(entries))
 
 
+def step_counts(steps: Sequence[Step]) -> dict[str, Column]:
+    """The counts of ``steps`` as named aggregates, to be taken while a table is written."""
+    return {f"c{i}": s.count.cast("bigint") for i, s in enumerate(steps)}
+
+
+def written_log(spark: SparkSession, steps: Sequence[Step], counts: Mapping[str, int | None]) -> DataFrame:
+    """:func:`change_log` from counts that were taken on the way."""
+    rows = [(i + 1, s.name, s.category, counts[f"c{i}"] or 0) for i, s in enumerate(steps)]
+    return spark.createDataFrame(rows, "step_no int, step string, category string, count bigint")
+
+
 def join_logs(logs: Sequence[tuple[DataFrame, int]]) -> DataFrame:
     """Append ``(log, number of steps)`` pairs, numbering the steps through."""
     parts, shift = [], 0

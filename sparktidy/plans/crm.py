@@ -33,7 +33,7 @@ from sparktidy.operators.linking import link_records
 from sparktidy.operators.quality import Step
 from sparktidy.operators.survivorship import golden_records, membership, merged_ids, sorted_ids, with_id_text
 from sparktidy.sources.delimited import SOURCE_FILE, read_csv_files
-from sparktidy.workspace import stage
+from sparktidy.workspace import stage, stage_counted
 
 RAW = list(rulepack.CUSTOMER_HEADERS)
 ISSUE_FIELDS = {"email": "e-mail", "telefon": "telefon", "data_rejestracji": "data rejestracji"}
@@ -170,6 +170,7 @@ class CustomerTables:
     linked: DataFrame
     golden: DataFrame
     row_id: str
+    counts: tuple[dict, dict]  # of the cleaning and the outcome steps, taken while the tables were written
 
     @property
     def customers(self) -> DataFrame:
@@ -201,13 +202,9 @@ class CustomerTables:
 
     @property
     def log(self) -> DataFrame:
-        cleaning, outcome = cleaning_steps(), outcome_steps()
-        return quality.join_logs(
-            [
-                (quality.change_log(self.typed, cleaning), len(cleaning)),
-                (quality.change_log(self.golden, outcome), len(outcome)),
-            ]
-        )
+        spark = self.typed.sparkSession
+        logs = zip((cleaning_steps(), outcome_steps()), self.counts)
+        return quality.join_logs([(quality.written_log(spark, steps, counts), len(steps)) for steps, counts in logs])
 
     @property
     def headline(self) -> DataFrame:
@@ -263,16 +260,20 @@ def repaired_customers(typed: DataFrame, row_id: str, n: int = 6) -> DataFrame:
 
 
 def typed_customers(raw: DataFrame, row_id: str = "row_id") -> DataFrame:
-    """Distinct typed rows, staged: the log, the linking rounds and the golden records all read them."""
+    """Distinct typed rows, staged: the linking rounds and the golden records read them."""
     return stage(typed_rows(distinct_rows(raw, row_id), row_id), "customers-typed")
 
 
 def clean_customers(raw: DataFrame, row_id: str = "row_id") -> CustomerTables:
-    """Run the job on a raw table with any of the known header spellings plus a row id."""
-    typed = typed_customers(raw, row_id)
+    """Run the job on a raw table with any of the known header spellings plus a row id.
+
+    The change log is counted while the typed rows and the golden customers are written.
+    """
+    rows = typed_rows(distinct_rows(raw, row_id), row_id)
+    typed, cleaned = stage_counted(rows, "customers-typed", quality.step_counts(cleaning_steps()))
     linked = link_records(typed.filter("not blank"), KEY_SETS, row_id)
-    golden = stage(golden_customers(linked, row_id), "customers-golden")
-    return CustomerTables(typed, linked, golden, row_id)
+    golden, outcome = stage_counted(golden_customers(linked, row_id), "customers-golden", quality.step_counts(outcome_steps()))
+    return CustomerTables(typed, linked, golden, row_id, (cleaned, outcome))
 
 
 @dataclass

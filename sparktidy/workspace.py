@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -48,6 +49,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_counted(df: DataFrame, name: str, counts: Mapping[str, Column]) -> tuple[DataFrame, dict]:
+    """:func:`stage`, with aggregates of the rows that are taken while they are written.
+
+    They come with the finished tasks of the write, once for each, so there is no second scan.
+    """
+    watch = Observation(name)
+    return stage(df.observe(watch, *[c.alias(n) for n, c in counts.items()]), name), watch.get
+
+
 class Rounds:
     """Staged tables of an iterative operator, of which only the last ones are needed."""
 
