@@ -14,7 +14,8 @@ buckets with probability 1 - 5e-8.  Pairs are never listed within a whole bucket
 2. each class is compared with the most central class that it shares a bucket with, and the pairs
    that are similar enough are merged into components;
 3. buckets that still hold several components are compared across components: small ones whole,
-   larger ones against hubs, of which every round takes more, until all such pairs are decided.
+   larger ones against hubs, of which every round takes more, until all such pairs are decided, each
+   in the first bucket that its rows share.
    Pairs whose weights, parities or signature bits rule the similarity out are not looked at.
 
 Parities: every unit of weight flips one of ``PARITIES`` bits, so two texts differ in at least as many
@@ -186,6 +187,16 @@ def _may_be_similar(least: float, here: str = "", there: str = "hub_") -> Column
     return (lighter >= heavier * least - 1e-6) & (unlike(OUTLINE[3:]) <= total * ((1 - least) / (1 + least)) + 1e-6) & (unlike(OUTLINE[1:3]) <= MISMATCHES)
 
 
+def _first_common() -> Column:
+    """Whether the bucket of this band is the first that two rows share.
+
+    They meet there alone.  As long as they are of two components that bucket stays open, until one of
+    them is a hub in it.
+    """
+    same = F.zip_with(F.slice("bands", F.lit(1), F.col("band")), F.slice("hub_bands", F.lit(1), F.col("band")), lambda x, y: x == y)
+    return ~F.exists(same, lambda x: x)
+
+
 def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     """``(node, label)`` of the linked rows, the smallest row of each component, after further ``(a, b)`` links.
 
@@ -267,27 +278,27 @@ def _classes(texts: DataFrame, least: float) -> DataFrame:
     classes = worded.select("row", "mark1", "mark2").join(firsts, ["mark1", "mark2"]).select("row", "class")
     classes = stage(classes.unionByName(bare_class).groupBy("row").agg(F.min("class").alias("class")), "classes")
 
-    outlines = worded.select("row", *OUTLINE).dropDuplicates(["row"])
-    heads = worded.join(classes.filter("row = class").select("row"), "row", "left_semi")
     # one row of each class: repeated rows have the same bands
-    members = heads.select("row", F.posexplode("bands").alias("band", "hash")).select("row", F.xxhash64("band", "hash").alias("bucket")).distinct()
+    heads = worded.join(classes.filter("row = class").select("row"), "row", "left_semi").dropDuplicates(["row"])
+    heads = stage(heads.select("row", "bands", *OUTLINE), "heads")
+    members = heads.select("row", F.posexplode("bands").alias("band", "hash")).select("row", "band", F.xxhash64("band", "hash").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     buckets = stage(members.join(shared, "bucket"), "buckets")
     tried = stage(_first_pairs(buckets), "pairs")
     merged = _joined(None, stage(verify(tried, texts, least).distinct(), "links"))
-    open_buckets = buckets.select("bucket", "row")
+    open_buckets = buckets.select("bucket", "band", "row")
     hubs = 1
     while True:
         labelled = open_buckets.join(merged, open_buckets.row == merged.node, "left")
-        labelled = stage(labelled.select("bucket", "row", F.coalesce("label", "row").alias("label")), "labelled")
+        labelled = stage(labelled.select("bucket", "band", "row", F.coalesce("label", "row").alias("label")), "labelled")
         mixed = labelled.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("bucket", "n")
-        open_rows = stage(labelled.join(mixed, "bucket").join(outlines, "row"), "open")
+        open_rows = stage(labelled.join(mixed, "bucket").join(heads, "row"), "open")
         if open_rows.isEmpty():
             break
         hubs *= GROWTH
         chosen = (F.col("n") <= SMALL_BUCKET) | (F.pmod(F.xxhash64("row", F.lit(hubs)), F.col("n")) < hubs)
-        hub_rows = open_rows.filter(chosen).select("bucket", *[F.col(c).alias("hub" if c == "row" else "hub_" + c) for c in ("row", "label", *OUTLINE)])
-        met = open_rows.join(hub_rows, "bucket").filter((F.col("label") != F.col("hub_label")) & _may_be_similar(least))
+        hub_rows = open_rows.filter(chosen).select("bucket", *[F.col(c).alias("hub" if c == "row" else "hub_" + c) for c in ("row", "label", "bands", *OUTLINE)])
+        met = open_rows.join(hub_rows, "bucket").filter((F.col("label") != F.col("hub_label")) & _may_be_similar(least) & _first_common())
         fresh = met.select(F.least("row", "hub").alias("b"), F.greatest("row", "hub").alias("a")).distinct()
         fresh = stage(fresh.join(tried, ["a", "b"], "left_anti").select("a", "b"), "pairs")
         links = stage(verify(fresh, texts, least).distinct(), "links")
@@ -295,7 +306,7 @@ def _classes(texts: DataFrame, least: float) -> DataFrame:
             merged = _joined(merged, links)
         tried = tried.unionByName(fresh)
         # a hub has met all others of its bucket
-        open_buckets = open_rows.filter(~chosen).select("bucket", "row")
+        open_buckets = open_rows.filter(~chosen).select("bucket", "band", "row")
     merged = merged.withColumnRenamed("node", "class")
     named = classes.join(merged, "class", "left").select("row", F.coalesce("label", "class").alias("class_id"))
     rest = texts.filter("text is null").select("row").distinct().join(classes.select("row"), "row", "left_anti").select("row", F.col("row").alias("class_id"))
