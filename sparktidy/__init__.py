@@ -25,7 +25,7 @@ from sparktidy.operators.linking import link_records
 from sparktidy.operators.quality import change_log, count_changed
 from sparktidy.sinks.bundle import write_report
 from sparktidy.sinks.locale_csv import write_locale_csv
-from sparktidy.sources.delimited import read_csv_smart
+from sparktidy.sources.delimited import read_csv_files, read_csv_smart
 from sparktidy.sources.grid import read_grid_smart
 
 __all__ = [
@@ -33,6 +33,6 @@ __all__ = [
     "dedup_keep_first", "link_records", "mark_whitespace", "month_bucket", "normalize_city",
     "normalize_email", "normalize_key", "normalize_person_name", "normalize_phone_pl",
     "normalize_postal_code_pl", "normalize_sku", "parse_mixed_dates", "parse_pl_number",
-    "read_csv_smart", "read_grid_smart", "split_full_name", "standardize_columns", "strip_accents",
+    "read_csv_files", "read_csv_smart", "read_grid_smart", "split_full_name", "standardize_columns", "strip_accents",
     "write_locale_csv", "write_report",
 ]
