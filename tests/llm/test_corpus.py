@@ -20,6 +20,7 @@ from sparktidy.llm.line_dedup import KEY_WORDS, aligned_lines, drop_repeated_blo
 from sparktidy.llm.queries import ORACLES, PIECES, QUERIES, URL_RULES
 from sparktidy.llm.topk import top_inner_products
 from sparktidy.llm.url_filter import filter_urls
+from sparktidy.workspace import stage
 from verification import compare
 
 SF = "/root/testdata/sf0.001"
@@ -575,7 +576,62 @@ def test_topk_query_equals_sql(spark, name):
     assert compare.compare(spark, compare.duck(SF), SF, QUERIES[name], ORACLES[name]).startswith("ok")
 
 
-# Queries and pipeline
+# Edges of the operators and of the pipeline
+
+
+def test_pieces_of_frames(spark):
+    model = pieces.load_model(PIECES)
+    texts = ["Hello world", None, "", "x" * 100_000, "naïve 中文\n", "Hello world"]
+    docs = docs_of(spark, texts).selectExpr("doc_id", "text", "'mine' as Ids", "1 as decoded")
+    coded = pieces.encode(docs, model, check=True)
+    assert coded.columns == ["doc_id", "text", "decoded", "ids", "round_trip"]
+    back = {r.doc_id: r for r in pieces.decode(coded, model).collect()}
+    assert [back[i].decoded for i in range(6)] == texts and [back[i].round_trip for i in range(6)] == [True, None, True, True, True, True]
+    assert back[1].ids is None and back[2].ids == [] and back[0].ids == back[5].ids
+    only = pieces.encode(docs, model, keep=["doc_id"])
+    assert only.columns == ["doc_id", "ids"] and {r.doc_id: r.ids for r in only.collect()} == {i: r.ids for i, r in back.items()}
+    assert pieces.encode(docs.limit(0), model, check=True).count() == 0 and pieces.decode(coded.limit(0), model).count() == 0
+
+
+def test_quality_of_odd_tables(spark):
+    docs = docs_of(spark, ["some words here", "some words here", None], [1, 1, None])
+    described = quality.describe(docs, "text", ["doc_id", "score"])
+    model = quality.fit(np.random.default_rng(0).random((40, len(quality.NAMES))), np.arange(40) % 2)
+    got = quality.score_quality(described, model)
+    assert sorted(r.doc_id for r in got.collect() if r.doc_id is not None) == [1, 1] and got.count() == 3
+    assert quality.score_quality(quality.describe(docs.limit(0), "text", ["doc_id"]), model).count() == 0
+
+
+def test_line_dedup_of_long_texts(spark):
+    line = " ".join(f"w{i}" for i in range(60))
+    long = "\n".join(f"line {i} of a long text with a few more words {i * 7}" for i in range(20_000))
+    docs = docs_of(spark, [long, f"start\n{line}", f"{line}\n{long}\nend", "z" * 300_000])
+    got = {r.doc_id: r.text for r in drop_repeated_blocks(docs, "doc_id").collect()}
+    assert got == {0: long, 1: f"start\n{line}", 2: "end", 3: "z" * 300_000}
+
+
+ODD = "doc_id bigint, text string, lang string, source string, n_chars bigint, IDS string, Score int, row string"
+
+
+def through_all_stages(spark, docs):
+    for _, step in corpus_pipeline.STAGES:
+        docs = stage(step(spark, docs, SF), "odd")
+    return docs
+
+
+def test_pipeline_of_odd_rows(spark):
+    prose = [" ".join(f"{c}{i}" for i in range(50)) for c in "abcd"]
+    texts = [(1, prose[0]), (2, prose[0]), (3, None), (None, prose[1]), (None, None), (4, ""), (5, prose[2]), (5, prose[2]), (5, prose[3]), (6, "!!!")]
+    rows = [(i, t, "en", None, len(t) if t is not None else None, "mine", 7, "x") for i, t in texts]
+    out = through_all_stages(spark, spark.createDataFrame(rows, ODD))
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "Score", "row", "ids", "n_pieces", "round_trip"]
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    assert sorted(got, key=str) == sorted([(1, prose[0]), (3, None), (None, prose[1]), (None, None), (4, ""), (5, prose[2]), (5, prose[3]), (6, "!!!")], key=str)
+    assert all(r.Score == 7 and r.row == "x" and (r.round_trip or r.text is None) for r in out.collect())
+
+
+def test_pipeline_of_nothing(spark):
+    assert through_all_stages(spark, spark.createDataFrame([], ODD)).count() == 0
 
 
 def test_results_replace_columns_of_their_names(spark):
