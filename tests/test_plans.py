@@ -108,7 +108,7 @@ def test_nothing_disappears(merged):
 def test_sales_summaries(merged):
     assert {r.miesiac: (r.A and str(r.A), r.B and str(r.B), str(r.RAZEM)) for r in merged.by_month.collect()} == {
         "2025-01": ("29.00", "60.00", "89.00"), "2025-02": ("4.00", None, "4.00"), "2025-03": (None, "1234.50", "1234.50"), "RAZEM": ("33.00", "1294.50", "1327.50")}
-    assert [tuple(map(str, r)) for r in merged.checks.collect()] == [("B", "1294.50", "1294.50", "TAK")]
+    assert [tuple(map(str, r)) for r in merged.checks.collect()] == [("B", "1294.50", "1294.50", "0.00", "0.00", "TAK")]
     assert [(r.oddzial, r.sku, r.transakcje) for r in merged.unmatched.orderBy("oddzial").collect()] == [("A", None, 1), ("B", "ZZZ-009", 1)]
     top = merged.top_products(2).collect()
     assert [(r.sku, r.sprzedane_szt, str(r.przychod)) for r in top] == [("ZZZ-009", 1, "1234.50"), ("KAW-001", 8, "80.00")]
