@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparktidy.sources.delimited import SOURCE_FILE, csv_options, decoded, missing_to_null, unique_names
+from sparktidy.sources.delimited import SOURCE_FILE, cells_of, csv_options, decoded, missing_to_null, unique_names
 from sparktidy.sources.profile import profile_grids
 from sparktidy.sources.records import LINE, frame_records, numbered_lines
 from sparktidy.workspace import stage
@@ -78,7 +78,7 @@ def read_grid_smart(spark: SparkSession, paths: Sequence[str] | str) -> list[Dat
         own = records.join(F.broadcast(profile.filter(same).select("file")), "file")
         cells = [f"c{i}" for i in range(kind.fields)]
         record = decoded(F.encode("value", "ISO-8859-1"), kind.encoding)
-        parsed = own.select("file", LINE, F.from_csv(record, ", ".join(f"{c} string" for c in cells), csv_options(kind.separator)).alias("cells"))
-        grid = parsed.select(F.col("file").alias(SOURCE_FILE), F.col(LINE).alias(ROW_NO), *[missing_to_null(F.col(f"cells.{c}")).alias(c) for c in cells])
+        parsed = own.select("file", LINE, cells_of(record, cells, csv_options(kind.separator)))
+        grid = parsed.select(F.col("file").alias(SOURCE_FILE), F.col(LINE).alias(ROW_NO), *[missing_to_null(F.col(c)).alias(c) for c in cells])
         tables.extend(split_grid(grid))
     return tables

@@ -219,3 +219,16 @@ def test_locale_csv_keeps_spaces_and_line_breaks(spark, tmp_path):
     df = spark.createDataFrame([(1, " KAW-1 "), (2, "two\nlines")], "i int, t string")
     write_locale_csv(df, str(tmp_path / "out"))
     assert sorted(r[1] for r in read_locale_csv(spark, str(tmp_path / "out")).collect()) == [" KAW-1 ", "two\nlines"]
+
+
+def test_records_meet_only_the_parser_of_their_format(spark, tmp_path):
+    """No filter holds the parser: it would be moved below the join with the files, to the records of all formats."""
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n3,\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text("x;y\n4;5\n6\n7;8;9\n", encoding="utf-8")
+    files = read_csv_files(spark, str(tmp_path))
+    assert sorted((r.x, r.y) for t in files.tables for r in t.collect()) == [("1", "2"), ("3", None), ("4", "5"), ("6", None)]
+    grids = read_grid_smart(spark, str(tmp_path))
+    for table in [*files.tables, files.rejects, *grids]:
+        plan = table._jdf.queryExecution().optimizedPlan().toString()
+        assert "from_csv" in plan
+        assert not [line for line in plan.splitlines() if "Filter" in line and "from_csv" in line]
