@@ -31,7 +31,7 @@ def star_edges(df: DataFrame, key_set: Sequence[str], row_id: str) -> DataFrame:
         .filter("__n > 1")
     )
     return (
-        lookup_per_key(complete, hubs, marks, weight="__n", spread_by=row_id)
+        lookup_per_key(complete, stage(hubs, "hubs"), marks, weight="__n", spread_by=row_id)
         .filter(F.col(row_id) > F.col("__hub"))
         .select(F.col(row_id).alias("child"), F.col("__hub").alias("parent"))
     )
@@ -86,7 +86,7 @@ def connected_stars(edges: DataFrame) -> DataFrame:
     # a node whose name stands for a component may have been told where it went, or not
     members = places.unionByName(places.select(F.col("into").alias("node"), "into")).distinct()
     smallest = members.groupBy("into").agg(F.min("node").alias("parent"), F.count(F.lit(1)).alias("n"))
-    ends = lookup_per_key(members, smallest, ["into"], weight="n", spread_by="node").select(F.col("node").alias("child"), "parent")
+    ends = lookup_per_key(members, stage(smallest, "smallest"), ["into"], weight="n", spread_by="node").select(F.col("node").alias("child"), "parent")
     return stage(ends.filter("child <> parent"), "stars")
 
 
@@ -94,7 +94,7 @@ def link_labels(df: DataFrame, key_sets: Sequence[Sequence[str]], row_id: str) -
     """``(row_id, group_id, group_size)`` for the rows that are linked to at least one other row."""
     edges = reduce(DataFrame.unionAll, [star_edges(df, keys, row_id) for keys in key_sets])
     stars = connected_stars(edges)
-    sizes = stars.groupBy("parent").agg((F.count(F.lit(1)) + 1).alias("group_size"))
+    sizes = stage(stars.groupBy("parent").agg((F.count(F.lit(1)) + 1).alias("group_size")), "sizes")
     children = lookup_per_key(
         stars, sizes, ["parent"], weight="group_size", spread_by="child"
     ).select(F.col("child").alias(row_id), F.col("parent").alias("group_id"), "group_size")

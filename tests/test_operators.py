@@ -285,3 +285,27 @@ def test_messiest_rows(spark):
     df = spark.createDataFrame([(1, " a ", "b"), (2, "a", "brak"), (3, " a", " b"), (4, None, "x")], "row_id long, p string, q string")
     out = quality.messiest_rows(df, ["p", "q"], "row_id", n=3).collect()
     assert [(r.row_id, r.score) for r in out] == [(3, 2), (1, 1), (2, 1)]
+
+
+def test_repeats_by_broadcast_and_by_shuffle(spark, monkeypatch):
+    """Both ways give the same flags, null keys too; few repeated keys salt and shuffle no rows."""
+    from sparktidy.operators import dedup
+
+    rows = spark.createDataFrame([(i, None if i % 7 == 0 else f"k{i % 40}", "d" if i % 5 else None) for i in range(200)], "row_id long, key string, doc string")
+    want = {}
+    for r in sorted(rows.collect()):
+        want[r.row_id] = r.doc is not None and any(o.doc is not None and o.key == r.key and o.row_id < r.row_id for o in rows.collect())
+    for keys in (dedup.BROADCAST_KEYS, 0):
+        monkeypatch.setattr(dedup, "BROADCAST_KEYS", keys)
+        marked = dedup.mark_repeats(rows, ["key"], "row_id", F.col("doc").isNotNull())
+        assert {r.row_id: r.is_repeat for r in marked.collect()} == want
+        assert ("__salt" in marked._jdf.queryExecution().optimizedPlan().toString()) == (keys == 0)
+
+
+def test_large_dimension_counts_keys_of_the_cheaper_table(spark):
+    facts = spark.createDataFrame([(i, None if i % 9 == 0 else f"s{i % 5}") for i in range(100)], "row_id long, sku string")
+    costly = facts.withColumn("n", F.xxhash64("sku"))
+    catalog = spark.createDataFrame([("s1", 1.0), ("s2", 2.0), (None, 9.0)], "sku string, price double")
+    got = enrich.enrich(costly, catalog, "sku", "row_id", max_broadcast_bytes=0, counted=facts.select("sku"))
+    small = enrich.enrich(costly, catalog, "sku", "row_id")
+    assert sorted(got.collect()) == sorted(small.select(*got.columns).collect())
