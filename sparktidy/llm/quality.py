@@ -6,7 +6,8 @@ with ``partners`` rows of the other one, and a logistic loss on the differences
 gives the document score.  The threshold is the score quantile that leaves the training share of low
 quality below it; a score is the Bradley-Terry probability of beating a document at the threshold.
 
-About ``sample`` labelled rows, chosen by the hash of the id, train the model (never more than twice as many).  Null, empty and
+All labelled training rows train the model: quantiles, pairs and the threshold are taken over all of them, in tasks.
+Null, empty and
 wordless texts get the score of their all-zero statistics; without both labels every score is 1.
 """
 
@@ -20,8 +21,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparktidy.llm._frames import bounded, sample_by_hash
+from sparktidy.llm._frames import bounded
 from sparktidy.llm._text import Words, row_slices, shingles, utf8
+from sparktidy.operators.numbering import number_rows
+from sparktidy.workspace import stage
 
 NAMES = (
     "log_words", "word_length", "word_spread", "long_words", "short_words", "distinct_words", "top_word", "repeated_next",
@@ -141,13 +144,86 @@ def fit(features: np.ndarray, good: np.ndarray, steps: int = 10, partners: int =
     return model
 
 
-def train(described: DataFrame, label: str, sample: int = 8_000) -> RankModel | None:
-    """From ``(id, __features, label)``."""
-    rows = sample_by_hash(described, "id", sample).select("__features", label).limit(2 * sample).collect()
-    good = np.array([r[1] for r in rows], int)
-    if len(set(good.tolist())) < 2:
+def _cells(features: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Per row the position of its step of each feature."""
+    return np.stack([j * (len(c) + 1) + np.searchsorted(c, features[:, j], side="right") for j, c in enumerate(cuts)], 1)
+
+
+def _matrix(column: pa.Array, rows: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
+
+
+def _stepped(cuts: np.ndarray, others: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                cells = pa.array(list(_cells(_matrix(batch.column("__features"), len(batch)), cuts).astype(np.int16)), pa.list_(pa.int16()))
+                yield pa.RecordBatch.from_arrays([*map(batch.column, others), cells], names=[*others, "cells"])
+
+    return run
+
+
+def _sums_of_pairs(w: np.ndarray):
+    """Per task the Hessian of the loss over its pairs, with the gradient as the last column."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(w), len(w) + 1))
+        for batch in batches:
+            better, worse = (_matrix(batch.column(c), len(batch)) for c in ("better", "worse"))
+            for at in range(0, len(batch), 4096):
+                up, down = better[at : at + 4096], worse[at : at + 4096]
+                difference, rows = np.zeros((len(up), len(w)), np.float32), np.arange(len(up))[:, None]
+                difference[rows, up] += 1
+                difference[rows, down] -= 1
+                p = 1 / (1 + np.exp(-np.clip(w[up].sum(1) - w[down].sum(1), -30, 30)))
+                total[:, :-1] += (difference * (p * (1 - p))[:, None].astype(np.float32)).T @ difference
+                total[:, -1] += difference.T @ (p - 1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(w)), pa.int32()), pa.array(list(total), pa.list_(pa.float64()))], names=["i", "sums"])
+
+    return run
+
+
+def _ranks(w: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array(w[_matrix(batch.column("cells"), len(batch))].sum(1))], names=["rank"])
+
+    return run
+
+
+def train(described: DataFrame, label: str, steps: int = 10, partners: int = 2, ridge: float = 1.0, rounds: int = 12) -> RankModel | None:
+    """From all rows of ``(id, __features, label)``: :func:`fit` over tasks, which send the sums of their pairs."""
+    rows = stage(described.select("id", "__features", label), "quality-training")
+    counts = {r[0]: r[1] for r in rows.groupBy(label).agg(F.count(F.lit(1))).collect()}
+    if len(counts) < 2:
         return None
-    return fit(np.array([r[0] for r in rows]), good)
+    shares = np.linspace(0, 1, steps + 1)[1:-1].tolist()
+    cuts = np.array(rows.agg(*[F.percentile_approx(F.col("__features")[j], shares, 10_000).alias(f"q{j}") for j in range(len(NAMES))]).first())
+    id_type = rows.schema["id"].dataType.simpleString()
+    cells = stage(rows.mapInArrow(_stepped(cuts, ["id", label]), f"id {id_type}, {label} int, cells array<smallint>"), "quality-cells")
+
+    # every row of the larger class meets ``partners`` rows of the other one, which take turns
+    large = max(counts, key=lambda k: (counts[k], k))
+    many = number_rows(cells.filter(F.col(label) == large).select("id", "cells"), [F.xxhash64("id", F.lit(11)), F.col("id")], "place", 0)
+    few = number_rows(cells.filter(F.col(label) != large).select("id", "cells"), [F.xxhash64("id", F.lit(13)), F.col("id")], "place", 0)
+    turn = F.explode(F.transform(F.sequence(F.lit(0), F.lit(partners - 1)), lambda k: F.pmod(F.col("place") * partners + k, F.lit(counts[1 - large]))))
+    mine, other = ("better", "worse") if large == 1 else ("worse", "better")
+    pairs = many.select(F.col("cells").alias(mine), turn.alias("place")).join(bounded(few.select("place", F.col("cells").alias(other))), "place")
+    pairs = stage(pairs.select("better", "worse"), "quality-pairs")
+    w = np.zeros(len(NAMES) * steps)
+    for _ in range(rounds):
+        sums = pairs.mapInArrow(_sums_of_pairs(w), "i int, sums array<double>").select("i", F.posexplode("sums").alias("j", "x"))
+        total = np.zeros((len(w), len(w) + 1))
+        for i, xs in sums.groupBy("i", "j").agg(F.sum("x").alias("x")).groupBy("i").agg(F.array_sort(F.collect_list(F.struct("j", "x")))["x"]).collect():
+            total[i] = xs
+        step = np.linalg.solve(total[:, :-1] + ridge * np.eye(len(w)), total[:, -1] + ridge * w)
+        w = w - step
+        if np.abs(step).max() < 1e-6:
+            break
+    low = counts.get(0, 0) / sum(counts.values())
+    threshold = cells.select("cells").mapInArrow(_ranks(w), "rank double").agg(F.percentile_approx("rank", F.lit(low), F.lit(100_000))).first()[0]
+    return RankModel(cuts, w.reshape(-1, steps), float(threshold))
 
 
 def _rate(shared, others: list[str]):

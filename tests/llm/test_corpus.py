@@ -694,3 +694,14 @@ def test_pipeline(spark, real):
     assert out.doc_id.is_unique and out.round_trip.all() and set(out.doc_id) <= set(real.doc_id)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line dedup", "near dedup", "decontamination", "sentencepiece"]
     assert 0.5 * len(real) < len(out) < len(real)
+
+
+def test_quality_learns_from_every_labelled_row(spark):
+    """The only rows of low quality are those that a sample by the hash of the id would leave out."""
+    rows = spark.range(20_000).select("id", F.array(*[F.rand(j) for j in range(len(quality.NAMES))]).alias("__features"))
+    late = F.pmod(F.xxhash64("id", F.lit(17)), F.lit(1 << 40)) >= int(0.9 * (1 << 40))
+    rows = rows.withColumn("quality", F.when(late, 0).otherwise(1)).withColumn("__features", F.when(late, F.transform("__features", lambda x: x * 0.5)).otherwise(F.col("__features")))
+    model = quality.train(rows, "quality")
+    described = rows.select("id", "quality", "__features")
+    shares = {r[0]: r[1] for r in quality.score_quality(described, model).groupBy("quality").agg(F.avg((F.col("score") < 0.5).cast("int"))).collect()}
+    assert shares[0] > 0.9 and shares[1] < 0.05
