@@ -232,3 +232,16 @@ def test_records_meet_only_the_parser_of_their_format(spark, tmp_path):
         plan = table._jdf.queryExecution().optimizedPlan().toString()
         assert "from_csv" in plan
         assert not [line for line in plan.splitlines() if "Filter" in line and "from_csv" in line]
+
+
+def test_profile_keeps_no_lines_for_a_header(spark, tmp_path):
+    """Lines are not sorted by file, also if only the separator is asked for."""
+    from sparktidy.sources.profile import profile_files, raw_lines
+
+    (tmp_path / "a.csv").write_text("\n  \na;b;c\n1;2;3\n")
+    (tmp_path / "b.csv").write_text("x,y\n" * 50)
+    found = profile_files(raw_lines(spark, str(tmp_path))).select("separator", "fields", "header")
+    assert sorted(map(tuple, found.collect())) == [(",", 2, "x,y"), (";", 3, "a;b;c")]
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    (tmp_path / "c.csv").write_text("  \n\n")
+    assert sorted(map(str, (r.header for r in profile_files(raw_lines(spark, str(tmp_path))).collect()))) == ["None", "a;b;c", "x,y"]
