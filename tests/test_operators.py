@@ -309,3 +309,40 @@ def test_large_dimension_counts_keys_of_the_cheaper_table(spark):
     got = enrich.enrich(costly, catalog, "sku", "row_id", max_broadcast_bytes=0, counted=facts.select("sku"))
     small = enrich.enrich(costly, catalog, "sku", "row_id")
     assert sorted(got.collect()) == sorted(small.select(*got.columns).collect())
+
+
+def test_large_dimension_is_hashed_and_rows_carry_no_salt(spark, monkeypatch):
+    from sparktidy.operators import skew
+
+    facts = spark.createDataFrame([(i, None if i % 9 == 0 else f"s{i % 5}") for i in range(100)], "row_id long, sku string")
+    catalog = spark.createDataFrame([("s1", 1.0), ("s2", 2.0), (None, 9.0), ("s9", 3.0)], "sku string, price double")
+    want = sorted(enrich.enrich(facts, catalog, "sku", "row_id").collect())
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    got = enrich.enrich(facts, catalog, "sku", "row_id", max_broadcast_bytes=0)
+    assert sorted(got.collect()) == want
+    assert "ShuffledHashJoin" in plan(got) and "SortMergeJoin" not in plan(got) and "__salt" not in plan(got)
+    # heavy keys are answered by a broadcast and their rows spread, as before
+    monkeypatch.setattr(skew, "HEAVY_ROWS", 15)
+    heavy = enrich.enrich(facts, catalog, "sku", "row_id", max_broadcast_bytes=0)
+    assert sorted(heavy.collect()) == want and "__salt" in plan(heavy)
+    # partitions that do not fit are sorted
+    monkeypatch.setattr(enrich, "HASHED_BYTES", 0)
+    large = enrich.enrich(facts, catalog, "sku", "row_id", max_broadcast_bytes=0)
+    assert sorted(large.collect()) == want and "ShuffledHashJoin" not in plan(large)
+
+
+def test_total_rows_are_seen_before_cleaning(spark):
+    from sparktidy.sources.totals import is_total_row
+
+    cells = ["RAZEM", " razem\xa0", "\u2003Suma\t", "total", "suma 1", "2024-01-01", "", None, "TOTALA", "\x1cTotal\x1f", "-", "ra zem"]
+    rows = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "i int, c string")
+    found = rows.select("i", is_total_row(F.col("c")).alias("t"), is_total_row(F.col("c"), ["GRAND TOTAL", "razem"]).alias("own"))
+    assert [r.i for r in found.orderBy("i").collect() if r.t] == [0, 1, 2, 3, 9]
+    assert not any(r.own for r in found.collect())
+    label = spark.createDataFrame([(" grand \t total",)], "c string").select(is_total_row(F.col("c"), ["GRAND TOTAL"])).first()[0]
+    assert label is True
+    # data rows are told by a search for the labels alone
+    assert "Contains" in found._jdf.queryExecution().optimizedPlan().toString()

@@ -152,3 +152,13 @@ def test_shared_folder_comes_from_the_session(spark):
     if named:
         assert workspace.shared_dir(spark) == named.rstrip("/")
     assert workspace.scratch_path(spark, "x") != workspace.scratch_path(spark, "x")
+
+
+def test_exports_take_their_totals_from_the_written_rows(spark):
+    from verification import fixtures, queries
+
+    sf_dir = "/root/testdata/sf0.001"
+    got, want = queries.exports(spark, sf_dir), queries.fixture(spark, sf_dir, fixtures.EXPORTS)
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert not [f for f in got.inputFiles() if "lineitem" in f]
