@@ -11,6 +11,7 @@ with a null id take no part in deduplication, but a toxic or leaking one goes.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,11 +21,23 @@ from sparktidy.llm.decontaminate import drop_leaks
 from sparktidy.llm.line_dedup import drop_repeated_blocks
 from sparktidy.llm.near_dup import keep_one_of_each
 from sparktidy.llm.queries import PIECES, toxic_training, table
+from sparktidy.session import bound_batches
 from sparktidy.workspace import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def in_small_batches(step: Stage) -> Stage:
+    """The step in a session whose batches for Python are bounded: executors hold those of all their tasks at once."""
+
+    @wraps(step)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return step(bound_batches(spark), docs, sf_dir)
+
+    return run
+
+
+@in_small_batches
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labelled = toxicity.labelled_rows(docs, table(spark, sf_dir, "labels"), "toxic", toxic_training())
     # the whole row in one column, as a further column may be named like a result
@@ -33,20 +46,24 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.filter("score < 0.5").select("row.*")
 
 
+@in_small_batches
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cut = drop_repeated_blocks(docs, "doc_id")
     cut = cut.filter(F.col("__runs").isNull() | (F.trim("text") != ""))
     return cut.withColumn("n_chars", F.when(F.col("__runs").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint"))).select(*docs.columns)
 
 
+@in_small_batches
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_one_of_each(docs, "doc_id")
 
 
+@in_small_batches
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
+@in_small_batches
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     added = ("ids", "n_pieces", "round_trip")
     rows = docs.select(*[c for c in docs.columns if c.lower() not in added])

@@ -75,10 +75,22 @@ class PieceModel:
             self.text[i] = bytes([value])
         for i in special:
             self.text[i] = b""
+        self._start()
+
+    def _start(self) -> None:
         self.pairs, self.holds = np.zeros(0, np.int64), np.zeros(0, bool)
         self.recent, self.recent_holds = np.full(_SLOTS, -1, np.int64), np.zeros(_SLOTS, bool)
         self._forget()
 
+    def __getstate__(self) -> dict:
+        """The model alone; what it has learnt stays with the process."""
+        learnt = ("pairs", "holds", "recent", "recent_holds", "index", "known_ids", "known_begin")
+        return {name: value for name, value in self.__dict__.items() if name not in learnt}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._start()
+
     def _forget(self) -> None:
         self.index = _Numbered()
         self.known_ids, self.known_begin = np.zeros(0, np.int64), np.zeros(1, np.int64)
@@ -280,6 +292,7 @@ def _open(shared) -> PieceModel:
     held = shared.value
     if "model" not in held:
         held["model"] = cloudpickle.loads(held["pickled"])
+        del held["pickled"]
     return held["model"]
 
 
@@ -297,7 +310,8 @@ def _encode(shared, text: str, keep: list[str], check: bool):
                     rows = zip(texts, ends, ends[1:])
                     columns.append(pa.array((model.decode(ids[a:b].tolist()) == t.as_py() if t.is_valid else None for t, a, b in rows), pa.bool_()))
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, "ids", *["round_trip"] * check])
-        give_back()
+            # else what a batch freed adds up over a long task
+            give_back()
 
     return run
 

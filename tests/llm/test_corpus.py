@@ -10,6 +10,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -705,3 +706,25 @@ def test_quality_learns_from_every_labelled_row(spark):
     described = rows.select("id", "quality", "__features")
     shares = {r[0]: r[1] for r in quality.score_quality(described, model).groupBy("quality").agg(F.avg((F.col("score") < 0.5).cast("int"))).collect()}
     assert shares[0] > 0.9 and shares[1] < 0.05
+
+
+def test_stages_send_small_batches_to_python(spark):
+    docs = spark.createDataFrame([(0, "a line of text", "en", "web", 14)], "doc_id long, text string, lang string, source string, n_chars long")
+    corpus_pipeline.cut_repeated_lines(spark, docs, "")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "bytes"])
+
+    wide = spark.range(4000, numPartitions=1).select("id", F.repeat(F.lit("x"), 4000).alias("text"))
+    got = wide.mapInArrow(sizes, "n long, bytes long").collect()
+    assert sum(r.n for r in got) == 4000 and max(r.bytes for r in got) < 5 << 20
+
+
+def test_a_model_is_sent_without_what_it_learnt():
+    model, texts = pieces.load_model(PIECES), ["A text about texts, žluťoučký 字 end.", "more words \n again"]
+    ids, ends = model.encode(texts)
+    sent = cloudpickle.dumps(model)
+    again = cloudpickle.loads(sent)
+    assert len(sent) < 8 << 20 and not len(again.pairs) and not again.index
+    assert all(np.array_equal(a, b) for a, b in zip(again.encode(texts), (ids, ends)))
