@@ -302,6 +302,19 @@ def test_repeats_by_broadcast_and_by_shuffle(spark, monkeypatch):
         assert ("__salt" in marked._jdf.queryExecution().optimizedPlan().toString()) == (keys == 0)
 
 
+def test_rows_of_many_repeated_keys_are_not_sorted(spark, monkeypatch):
+    from sparktidy.operators import dedup
+
+    rows = spark.createDataFrame([(i, f"k{i % 40}", "x" * 20) for i in range(200)], "row_id long, key string, note string")
+    want = {(i, i >= 40) for i in range(200)}
+    monkeypatch.setattr(dedup, "BROADCAST_KEYS", 0)
+    for size, sorts in ((100, False), (1 << 40, True)):
+        monkeypatch.setattr(dedup, "KEY_BYTES", size)
+        marked = dedup.mark_repeats(rows, ["key"], "row_id", F.col("key").isNotNull())
+        assert {(r.row_id, r.is_repeat) for r in marked.collect()} == want
+        assert ("strategy=shuffle_hash" in marked._jdf.queryExecution().optimizedPlan().toString()) != sorts
+
+
 def test_large_dimension_counts_keys_of_the_cheaper_table(spark):
     facts = spark.createDataFrame([(i, None if i % 9 == 0 else f"s{i % 5}") for i in range(100)], "row_id long, sku string")
     costly = facts.withColumn("n", F.xxhash64("sku"))

@@ -133,6 +133,43 @@ def test_status_filters_reach_the_scan(merged):
     assert "ReadSchema: struct<oddzial:string,sku:string,is_repeat:boolean,reason:string,w_katalogu:boolean,wartosc_brutto:decimal(18,2)>" in plan
 
 
+def test_summaries_take_few_columns_through_a_large_catalog(spark, monkeypatch, merged):
+    """A catalog that is not broadcast: the same results, and only what summaries read is shuffled or staged for them."""
+    from sparktidy.operators import enrich
+
+    lookup = enrich.null_safe_lookup
+    monkeypatch.setattr(sales, "null_safe_lookup", lambda *a, **k: lookup(*a, max_broadcast_bytes=0, **k))
+    typed = spark.createDataFrame(
+        [(i, "AB"[i % 2], None if i % 3 else f"D{i % 12}", f"kaw {i % 5}", f"2025-0{i % 4 + 1}-03", "?" if i % 7 == 0 else "2", "10,50 zł") for i in range(60)],
+        "row_id long, oddzial string, nr_transakcji string, sku string, data string, ilosc string, cena_jedn string")
+    catalog = spark.createDataFrame([(f"KAW-00{i}", f"Kawa {i}", "Napoje" if i else None, 10.0) for i in range(3)], "sku string, nazwa_produktu string, kategoria string, cena_katalogowa double")
+    controls = spark.createDataFrame([("A", "100.00", 1)], "oddzial string, suma_z_pliku string, total_rows long")
+    controls = controls.withColumn("suma_z_pliku", F.col("suma_z_pliku").cast("decimal(18,2)"))
+
+    def merge():
+        return sales.merge_sales(sales.typed_sales(typed, "row_id"), catalog, controls)
+
+    def rows(df):
+        return sorted(map(str, df.collect()))
+
+    few, every = merge(), merge()
+    assert every.every.count() == 60
+    assert few.amounts.columns == list(sales.SUMMED)
+    for name in ("by_month", "by_category", "monthly", "unmatched", "checks", "log", "headline"):
+        assert rows(getattr(few, name)) == rows(getattr(every, name))
+    assert every.amounts is every.every
+    assert rows(few.final) == rows(every.final)
+    assert "every" not in few.__dict__  # the merged table is computed where it is written
+    shuffled = [line for line in re.findall(r"Exchange\nInput \[\d+\]: (.*)", plan_text(few.final)) if "cena_jedn" in line]
+    assert shuffled and not re.search("row_id|sku_raw|sku_fixed|is_repeat", " ".join(shuffled))
+    told = re.findall(r"Exchange\nInput \[\d+\]: (.*)\nArguments: rangepart", plan_text(every.report_tables()["dane"]))
+    assert len(told) == 1 and not re.search("miesiac|rabat|wartosc", told[0])
+    keys = [(r.data, r.oddzial) for r in every.report_tables()["dane"].collect()]
+    assert keys == sorted(keys) and rows(every.report_tables()["dane"]) == rows(every.final)
+    # the small catalog of the other tests: rows of all outputs agree too
+    assert rows(merged.final) == rows(merged.sales.select(*sales.MERGED))
+
+
 def test_rules_run_on_a_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.csv").write_text("a@gmial.com;123456789;05.03.24;1,50\nbrak;1;x;y\n")
