@@ -14,6 +14,7 @@ other queries; a query id that comes with several vectors is answered once, for
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,10 @@ from sparktidy.workspace import stage
 
 BLOCK = 2048
 STEP = 16
-_PACKED = "dims int, rows binary, ids binary, cells binary, big boolean"
+PART_CELLS = 1 << 22  # components of the queries that a task holds at once
+PAIRS = 1 << 22  # of vectors at least that a task of their own is worth
+_PACKED = "dims int, part int, rows binary, ids binary, cells binary, width int"
+_WIDTHS = {1: np.int8, 2: np.int16, 4: np.int32, 8: np.float64}
 
 
 def whole_numbers(vector: Column, factor: int = 256) -> Column:
@@ -40,32 +44,33 @@ def whole_numbers(vector: Column, factor: int = 256) -> Column:
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of at most BLOCK vectors of one length, dimension by dimension."""
-    schema = pa.schema([("dims", pa.int32()), ("rows", pa.binary()), ("ids", pa.binary()), ("cells", pa.binary()), ("big", pa.bool_())])
-    waiting: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
-
-    def block(dims: int) -> pa.RecordBatch:
-        rows, ids, cells = (np.concatenate(x) for x in zip(*waiting.pop(dims)))
-        cells = cells.reshape(len(ids), dims)
-        big = bool(np.abs(cells).max(initial=0.0) >= 2.0**22)
-        layout = np.ascontiguousarray(cells.T, dtype=np.float64 if big else np.int32)
-        return pa.record_batch([[dims], [rows.tobytes()], [ids.tobytes()], [layout.tobytes()], [big]], schema=schema)
+    """Blocks of at most BLOCK vectors of one length and part, dimension by dimension, in the narrowest type that holds them."""
+    schema = pa.schema([("dims", pa.int32()), ("part", pa.int32()), ("rows", pa.binary()), ("ids", pa.binary()), ("cells", pa.binary()), ("width", pa.int32())])
+    waiting: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+
+    def block(key: tuple[int, int]) -> pa.RecordBatch:
+        rows, ids, cells = (np.concatenate(x) for x in zip(*waiting.pop(key)))
+        cells = cells.reshape(len(ids), key[0])
+        most = np.abs(cells).max(initial=0.0)
+        width = next((w for w in (1, 2, 4) if most < 2.0 ** (8 * w - 1)), 8)
+        layout = np.ascontiguousarray(cells.T, dtype=_WIDTHS[width])
+        return pa.record_batch([[key[0]], [key[1]], [rows.tobytes()], [ids.tobytes()], [layout.tobytes()], [width]], schema=schema)
 
     for batch in batches:
-        names, ids = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
+        names, ids, parts = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1, 3))
         lists = batch.column(2)
         size = np.diff(lists.offsets.to_numpy())
         flat = lists.flatten().to_numpy(zero_copy_only=False)
         begin = np.cumsum(size) - size
-        for dims in np.unique(size):
-            rows = np.flatnonzero(size == dims)
-            for part in np.array_split(rows, -(-len(rows) // BLOCK)):
-                at = begin[part][:, None] + np.arange(dims)
-                waiting.setdefault(int(dims), []).append((names[part], ids[part], flat[at].ravel()))
-                if sum(len(i) for i, *_ in waiting[int(dims)]) >= BLOCK:
-                    yield block(int(dims))
-    for dims in list(waiting):
-        yield block(dims)
+        for dims, part in np.unique(np.stack([size, parts], axis=1), axis=0).tolist():
+            rows, key = np.flatnonzero((size == dims) & (parts == part)), (dims, part)
+            for some in np.array_split(rows, -(-len(rows) // BLOCK)):
+                at = begin[some][:, None] + np.arange(dims)
+                waiting.setdefault(key, []).append((names[some], ids[some], flat[at].ravel()))
+                if sum(len(i) for i, *_ in waiting[key]) >= BLOCK:
+                    yield block(key)
+    for key in list(waiting):
+        yield block(key)
 
 
 def _rest(cells: np.ndarray, cuts: list[int]) -> np.ndarray:
@@ -98,18 +103,17 @@ _FOUND = "query_row bigint, query_id bigint, row bigint, vec_id bigint, score bi
 def _search(k: int):
     schema = pa.schema([(n, pa.int64()) for n in ("query_row", "query_id", "row", "vec_id", "score")])
 
+    def load(dims: int, rows: bytes, ids: bytes, cells: bytes, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return np.frombuffer(rows, np.int64), np.frombuffer(ids, np.int64), np.frombuffer(cells, _WIDTHS[width]).reshape(dims, -1).astype(np.float64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, np.ndarray] = {}  # of each block of queries met in this task, the k best scores so far
         for batch in batches:
-            for row in batch.to_pylist():
+            for n in range(batch.num_rows):
+                row = batch.slice(n, 1).to_pylist()[0]
                 dims = row["dims"]
-                load = lambda rows, ids, cells, big: (
-                    np.frombuffer(rows, np.int64),
-                    np.frombuffer(ids, np.int64),
-                    np.frombuffer(cells, np.float64 if big else np.int32).reshape(dims, -1).astype(np.float64),
-                )
-                q_rows, q_ids, q = load(row["q_rows"], row["q_ids"], row["q_cells"], row["q_big"])
-                c_rows, c_ids, c = load(row["rows"], row["ids"], row["cells"], row["big"])
+                q_rows, q_ids, q = load(dims, row["q_rows"], row["q_ids"], row["q_cells"], row["q_width"])
+                c_rows, c_ids, c = load(dims, row["rows"], row["ids"], row["cells"], row["width"])
                 exact = dims * np.abs(q).max(initial=0.0) * np.abs(c).max(initial=0.0) < 2.0**53
                 cuts = [*range(0, dims, STEP), dims] if exact else [0, dims]
                 rest, query_rest = _rest(c, cuts), _rest(q, cuts)
@@ -132,27 +136,41 @@ def _search(k: int):
     return run
 
 
+def _grid(rows: int, asked: int, cells: int, tasks: int) -> tuple[int, int]:
+    """Into how many parts the queries are cut, and into how many shards all rows.
+
+    Each task takes a part and a shard, so the rows are copied once for each part and the queries once for
+    each shard, where each finds its k best.  With these numbers the copies of both take about the same
+    room, for as many tasks as there are, or fewer if that is little work for them.
+    """
+    tasks = max(1, min(tasks, rows * asked // PAIRS))
+    parts = max(1, -(-cells // PART_CELLS), round(math.sqrt(2 * tasks * asked / max(rows, 1))))
+    return parts, -(-tasks // parts)
+
+
 def top_inner_products(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding", factor: int = 256) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: each query row's ``k`` largest inner products with all other rows.
 
     Every row is a query and a candidate of its own, also one of a repeated id or vector.  Queries are cut
-    into blocks as well, and each block of candidates meets each block of queries of its length, so
+    into parts and all rows into shards, and each shard meets each part by a shuffle, never a broadcast, so
     neither side has to fit anywhere as a whole; the k-th score found so far prunes the next blocks of a
     task.  Rows without an id, empty vectors and an empty table have no part; further columns are dropped.
     """
     spark = vectors.sparkSession
     usable = vectors.select(F.col(vec_id).cast("bigint").alias("id"), whole_numbers(F.col(vector), factor).alias("v"), is_query.alias("q"))
     usable = stage(usable.filter("id is not null and v is not null and size(v) > 0").withColumn("row", F.monotonically_increasing_id()), "vectors")
-    queries = usable.filter("q").select("row", "id", "v").mapInArrow(_pack, _PACKED)
-    queries = queries.selectExpr("dims", "rows q_rows", "ids q_ids", "cells q_cells", "big q_big", "monotonically_increasing_id() block")
+    rows, asked, cells = usable.agg(F.count(F.lit(1)), F.count_if("q"), F.coalesce(F.sum(F.when(F.col("q"), F.size("v"))), F.lit(0))).first()
+    parts, shards = _grid(rows, asked, cells, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    queries = usable.filter("q").select("row", "id", "v", F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int").alias("part")).mapInArrow(_pack, _PACKED)
+    queries = queries.selectExpr("dims", "part", "rows q_rows", "ids q_ids", "cells q_cells", "width q_width", "monotonically_increasing_id() block")
     queries = stage(queries, "query-blocks")
-    # one number for each block of queries
-    numbers = bounded(queries.groupBy("dims").agg(F.sort_array(F.collect_list("block")).alias("blocks")))
-    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    candidates = usable.select("row", "id", "v").mapInArrow(_pack, _PACKED).withColumn("salt", F.pmod(F.xxhash64("rows"), F.lit(salts)))
-    pairs = candidates.join(numbers, "dims").withColumn("block", F.explode("blocks")).drop("blocks")
-    found = pairs.join(queries.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumn("salt", F.col("salt").cast("bigint")), ["dims", "block", "salt"])
-    found = found.mapInArrow(_search(k), _FOUND)
+    # the parts that have queries of a length
+    numbers = bounded(queries.groupBy("dims").agg(F.collect_set("part").alias("parts")))
+    candidates = usable.select("row", "id", "v", F.lit(0).alias("part")).mapInArrow(_pack, _PACKED).drop("part").withColumn("shard", F.pmod(F.xxhash64("rows"), F.lit(shards)).cast("int"))
+    pairs = candidates.join(numbers, "dims").withColumn("part", F.explode("parts")).drop("parts")
+    # the optimizer takes the copies for no larger than one of them, and would broadcast them
+    copies = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).hint("merge")
+    found = pairs.join(copies, ["dims", "part", "shard"]).mapInArrow(_search(k), _FOUND)
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -14,7 +14,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sparktidy.llm import html_text, licenses, near_dup, pieces, prefix_trie, quality, repeats, spelling, toxicity
+from sparktidy.llm import html_text, licenses, near_dup, pieces, prefix_trie, quality, repeats, spelling, topk, toxicity
 from sparktidy.llm._frames import sample_by_count
 from sparktidy.llm.decontaminate import MASKS, drop_leaks, find_leaks
 from sparktidy.llm.line_dedup import KEY_WORDS, aligned_lines, drop_repeated_blocks, patience
@@ -572,6 +572,38 @@ def test_topk_of_repeated_rows(spark):
     assert top_inner_products(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_topk_never_broadcasts_queries(spark):
+    rows = [(i, [float(i % 7), float(i % 3)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    plan = top_inner_products(df, F.col("vec_id") % 50 == 0)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [dims" in plan and plan.count("BroadcastExchange") == 1  # that of the parts of each length
+
+
+def test_topk_in_parts_and_shards(spark, monkeypatch):
+    monkeypatch.setattr(topk, "PART_CELLS", 40)
+    monkeypatch.setattr(topk, "PAIRS", 1)
+    rng = np.random.default_rng(4)
+    size = [100, 30_000, 2**20, 100]  # integers of one, two and four bytes
+    vectors = [(i % 290, [int(x) for x in rng.integers(-size[i // 80], size[i // 80], 6 if i % 9 else 4)]) for i in range(300)]
+    vectors.append((300, [2**32, 0, 0, 0, 0, 1]))
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in vectors], "vec_id bigint, embedding array<double>")
+    assert topk._grid(301, 43, 240, 8) == (6, 2)
+    want = []
+    for n, (i, v) in enumerate(vectors):
+        if i % 7 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(v, c)), j) for m, (j, c) in enumerate(vectors) if m != n and len(c) == len(v))
+            want += [(i, rank, j, -s) for rank, (s, j) in enumerate(scores[:4], 1)]
+    got = top_inner_products(df, F.col("vec_id") % 7 == 0, k=4, factor=1).collect()
+    assert sorted(tuple(r) for r in got) == sorted(want)
+
+
+def test_topk_grid():
+    assert topk._grid(51_282, 1_026, 64 * 1_026, 12) == (1, 12)
+    assert topk._grid(720_000, 14_400, 64 * 14_400, 600) == (5, 120)
+    assert topk._grid(25_000_000, 500_000, 64 * 500_000, 200) == (8, 25)  # parts of 4 million components
+    assert topk._grid(100, 100, 6400, 200) == topk._grid(0, 0, 0, 200) == (1, 1)
+
+
 @pytest.mark.parametrize("name", ["op10_exact_topk"])
 def test_topk_query_equals_sql(spark, name):
     assert compare.compare(spark, compare.duck(SF), SF, QUERIES[name], ORACLES[name]).startswith("ok")
