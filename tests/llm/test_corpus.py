@@ -549,6 +549,45 @@ def test_long_and_deep_pages():
     assert html_text.page_text("<a b=\"" * 20_000 + "x", None) is not None
 
 
+def test_template_of_long_pages(spark):
+    def page(i):
+        own = "".join(f"<{t}>{t} {i}.{k}</{t}>" for k in range(200 + 40 * i) for t in ("h2", "p"))
+        return page_of(f"<div class=c>{own}</div><div class=x><p>Read our daily letter</p></div>")
+
+    pages = spark.createDataFrame([(i, f"http://a.com/{i}", page(i)) for i in range(8)], "page_id bigint, url string, html string")
+    for r in html_text.extract_text(pages).collect():
+        assert r.text == " ".join(f"{t} {r.page_id}.{k}" for k in range(200 + 40 * r.page_id) for t in ("h2", "p"))
+
+
+def test_trees_are_whole():
+    deep = html_text.Page("<div>" * 400 + "deep" + "</div>" * 400)
+    wide = html_text.Page("".join(f"<p class=k{chr(97 + i % 26)}{chr(97 + i // 26)}>{i}</p>" for i in range(600)))
+    assert deep.skeleton.count(";") == 400 and [deep.place[b.node] for b in deep.blocks] == [400]
+    assert [wide.place[b.node] for b in wide.blocks] == list(range(1, 601))
+    more = html_text.Page("<div>" * 2500 + "<p>x<ul><li>y")
+    to = html_text.align(html_text.Page("<div>" * 2500 + "<ul><li>y").skeleton, more.skeleton)
+    assert to[:2501] == tuple(range(2501)) and to[2501:] == (2502, 2503)
+
+
+@pytest.mark.parametrize("room", [1 << 21, 0])
+def test_matching_of_large_trees(monkeypatch, room):
+    monkeypatch.setattr(html_text, "REMEMBERED", room)
+    rng = np.random.default_rng(5)
+    for n, labels, stay in ((8, 2, 0.5), (40, 1, 0.5), (90, 3, 0.4), (150, 2, 0.3), (150, 6, 0.2), (200, 2, 0.6)):
+        trees = []
+        for _ in range(8):
+            source, depth = [], 0
+            for _ in range(int(rng.integers(1, n))):
+                source.append(f"<div class={'abcdef'[rng.integers(labels)]}>")
+                depth += 1
+                while depth and rng.random() > stay:
+                    source.append("</div>")
+                    depth -= 1
+            trees.append(html_text.Page("".join(source)).skeleton)
+        for a, b in combinations(trees, 2):
+            assert html_text._Matching(a, b).nodes() == html_text._match_narrow(a, b)
+
+
 @pytest.mark.parametrize("name", ["op11_spelling_variants", "op13_conversation_trie"])
 def test_query_equals_sql(spark, name):
     assert compare.compare(spark, compare.duck(SF), SF, QUERIES[name], ORACLES[name]).startswith("ok")
