@@ -4,6 +4,7 @@ Vectors are packed into blocks stored dimension by dimension (vertical layout).
 block of queries and one of candidates, accumulates the products a few dimensions at a time, and
 after each of these steps compacts the candidates that can still reach the k best: what the
 remaining dimensions can add is at most the product of the remaining lengths (Cauchy-Schwarz).
+The first steps, which rule out few, are taken for many queries at once.
 Partial results of the blocks, k per query, are merged by a grouped aggregate.
 
 All arithmetic is on integers below 2^53, where doubles are exact; larger ones use Python integers.
@@ -27,8 +28,10 @@ from sparktidy.workspace import stage
 
 BLOCK = 2048
 STEP = 16
-PART_CELLS = 1 << 22  # components of the queries that a task holds at once
-PAIRS = 1 << 22  # of vectors at least that a task of their own is worth
+TILE = 256  # queries
+PART_CELLS = 1 << 23  # components of the queries that a task holds at once
+PAIRS = 1 << 26  # of vectors that a task of their own is worth
+FEW = 16  # tasks that may have a sixteenth of that
 _PACKED = "dims int, part int, rows binary, ids binary, cells binary, width int"
 _WIDTHS = {1: np.int8, 2: np.int16, 4: np.int32, 8: np.float64}
 
@@ -78,22 +81,22 @@ def _rest(cells: np.ndarray, cuts: list[int]) -> np.ndarray:
     return np.stack([np.sqrt((cells[c:] ** 2).sum(axis=0)) * (1 + 1e-12) + 1e-9 for c in cuts])
 
 
-def best_of_block(query: np.ndarray, cells: np.ndarray, rest: np.ndarray, query_rest: np.ndarray, cuts: list[int], k: int, barred: np.ndarray, known: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
+def best_of_block(query: np.ndarray, cells: np.ndarray, ahead: np.ndarray, first: int, rest: np.ndarray, query_rest: np.ndarray, cuts: list[int], k: int, barred: np.ndarray, known: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
     """Positions and scores of the candidates that may be among the k best, ties included.
 
-    ``known`` is the k-th best score of earlier blocks.
+    ``ahead`` has the products over the dimensions before cut ``first``, ``known`` is the k-th best score of
+    earlier blocks.
     """
-    alive = np.flatnonzero(~barred)
-    total = np.zeros(len(alive))
-    for step, cut in enumerate(cuts[:-1]):
-        piece = cells[cut : cuts[step + 1]]
-        total += query[cut : cuts[step + 1]] @ (piece if len(alive) == cells.shape[1] else piece[:, alive])
-        slack = query_rest[step + 1] * rest[step + 1][alive]
-        floor = known
+    alive = np.flatnonzero((ahead + query_rest[first] * rest[first] >= known) & ~barred)
+    total = ahead[alive]
+    for step in range(first, len(cuts)):
         if len(alive) > k:
-            floor = max(floor, np.partition(total - slack, len(alive) - k)[len(alive) - k])
-        keep = total + slack >= floor
-        alive, total = alive[keep], total[keep]
+            slack = query_rest[step] * rest[step][alive]
+            floor = max(known, np.partition(total - slack, len(alive) - k)[len(alive) - k])
+            keep = total + slack >= floor
+            alive, total = alive[keep], total[keep]
+        if step + 1 < len(cuts):
+            total = total + query[cuts[step] : cuts[step + 1]] @ cells[cuts[step] : cuts[step + 1]][:, alive]
     return alive, total
 
 
@@ -119,9 +122,14 @@ def _search(k: int):
                 rest, query_rest = _rest(c, cuts), _rest(q, cuts)
                 top = best.setdefault(row["block"], np.full((len(q_ids), k), -np.inf))
                 out = []
+                first = max(1, 3 * (len(cuts) - 1) // 4)  # the first steps rule out few, so many queries take them at once
                 for i, own in enumerate(q_rows):
                     if exact:
-                        at, score = best_of_block(q[:, i], c, rest, query_rest[:, i], cuts, k, c_rows == own, top[i].min())
+                        if i % TILE == 0:
+                            ahead = q[: cuts[first], i : i + TILE].T @ c[: cuts[first]]
+                        at, score = best_of_block(q[:, i], c, ahead[i % TILE], first, rest, query_rest[:, i], cuts, k, c_rows == own, top[i].min())
+                        if not len(at):
+                            continue
                         order = np.lexsort((c_rows[at], c_ids[at], -score))[:k]
                         top[i] = np.sort(np.concatenate([top[i], score[order]]))[-k:]
                     else:  # integers beyond doubles; a score beyond 64 bits is an error, as in SQL
@@ -143,7 +151,8 @@ def _grid(rows: int, asked: int, cells: int, tasks: int) -> tuple[int, int]:
     each shard, where each finds its k best.  With these numbers the copies of both take about the same
     room, for as many tasks as there are, or fewer if that is little work for them.
     """
-    tasks = max(1, min(tasks, rows * asked // PAIRS))
+    pairs = rows * asked
+    tasks = max(1, min(tasks, max(pairs // PAIRS, min(FEW, 16 * pairs // PAIRS))))
     parts = max(1, -(-cells // PART_CELLS), round(math.sqrt(2 * tasks * asked / max(rows, 1))))
     return parts, -(-tasks // parts)
 

@@ -638,8 +638,8 @@ def test_topk_in_parts_and_shards(spark, monkeypatch):
 
 def test_topk_grid():
     assert topk._grid(51_282, 1_026, 64 * 1_026, 12) == (1, 12)
-    assert topk._grid(720_000, 14_400, 64 * 14_400, 600) == (5, 120)
-    assert topk._grid(25_000_000, 500_000, 64 * 500_000, 200) == (8, 25)  # parts of 4 million components
+    assert topk._grid(720_000, 14_400, 64 * 14_400, 600) == (2, 77)
+    assert topk._grid(25_000_000, 500_000, 64 * 500_000, 200) == (4, 50)  # parts of 8 million components
     assert topk._grid(100, 100, 6400, 200) == topk._grid(0, 0, 0, 200) == (1, 1)
 
 
